@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference reads only bounded files and in-memory sequences; it has no
+watermarks, windows over event time or stateful stream operators.  Every
+operator in this package is a batch DataFrame function, and each one also runs
+unchanged on a micro-batch inside ``foreachBatch`` if a stream is wanted.
+"""
