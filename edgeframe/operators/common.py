@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeframe.session import checkpoint_dir
+import uuid
+
+from edgeframe.session import checkpoint_dir, scratch_path
 
 # Largest side (in rows) that an explicit broadcast strategy may replicate.
 # Two bigint columns are ~16 B/row in a hash relation plus overhead, so two
@@ -33,6 +35,18 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return df, False
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the session's shuffle partitions.
+
+    Used on the streamed side of a broadcast join whose output is much larger
+    than its input (wedge walks, 2-paths): a small materialised table may sit
+    in one partition after adaptive coalescing, which would serialise the
+    whole fan-out into one task.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` into the shared checkpoint folder and drop its lineage.
 
@@ -43,6 +57,28 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def bucketed_table(df: DataFrame, key: str, name: str, buckets: int | None = None,
+                   shuffle: bool = True) -> DataFrame:
+    """Write ``df`` as a table bucketed by ``key`` in the shared folder; return it.
+
+    The written table cuts lineage like a checkpoint and also records its hash
+    layout in the catalog, so later joins on ``key`` with another table of the
+    same bucket count run without an exchange on either side, and a join with
+    an unbucketed frame shuffles only that frame.  Iterative operators keep
+    the large, loop-invariant edge table bucketed once and rewrite only the
+    small per-round state.  ``shuffle=False`` skips the repartition when the
+    frame is already hash-partitioned by ``key`` into ``buckets`` partitions
+    (e.g. the output of a join with another bucketed table).
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, name)
+    table = f"edgeframe_{name}_{uuid.uuid4().hex[:12]}"
+    src = df.repartition(n, key) if shuffle else df
+    src.write.bucketBy(n, key).option("path", path).mode("overwrite").saveAsTable(table)
+    return spark.table(table)
+
+
 def chunked_lists(pairs: DataFrame, key: str, item: str, max_group: int = DEFAULT_MAX_GROUP
                   ) -> DataFrame:
     """Group ``item`` values by ``key`` into lists of bounded length.

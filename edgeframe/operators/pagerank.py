@@ -5,11 +5,12 @@ vertex's new rank is the sum it receives plus an equal share of the mass held
 by dangling vertices (no out-edge).  With damping d the result is
 ``(1-d)/n + d * (received + dangling/n)``.
 
-Plan: the weighted edge table and the vertex table are hash-partitioned by
-vertex id once and materialised; the rank frame keeps that partitioning, so a
-round shuffles only the per-target partial sums, never the edges.  The
-dangling mass is a scalar subquery evaluated by Spark, not a driver loop.  Each
-round's ranks are checkpointed to the shared folder, which bounds lineage.
+Plan: the weighted edge table and the vertex table are written once as tables
+bucketed by vertex id (same bucket count) in the shared folder.  Each round's
+ranks are written the same way, which cuts lineage and keeps the layout, so
+the rank/edge join and the vertex/contribution join need no exchange; a round
+shuffles only the per-target partial sums, never the edges.  The dangling mass
+is a scalar subquery evaluated by Spark, not a driver loop.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeframe.operators.common import cut_lineage
+from edgeframe.operators.common import bucketed_table
 from edgeframe.sources.tables import vertices_of
 
 
@@ -37,15 +38,13 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, iters: int = 1
     verts = (vertices if vertices is not None else vertices_of(edges)).select("id").distinct()
     inside = edges.join(verts.select(F.col("id").alias("dst")), "dst", "left_semi")
     od = inside.groupBy("src").agg(F.count(F.lit(1)).alias("od"))
-    adj = cut_lineage(
+    adj = bucketed_table(
         inside.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w"))
         .join(od, "src")
-        .select("src", "dst", (F.col("w") / F.col("od")).alias("share"))
-        .repartition(n_parts, "src"))
-    vt = cut_lineage(
+        .select("src", "dst", (F.col("w") / F.col("od")).alias("share")), "src", "pr_edges", n_parts)
+    vt = bucketed_table(
         verts.join(od.select(F.col("src").alias("id"), F.lit(False).alias("dangling")), "id", "left")
-        .select("id", F.coalesce("dangling", F.lit(True)).alias("dangling"))
-        .repartition(n_parts, "id"))
+        .select("id", F.coalesce("dangling", F.lit(True)).alias("dangling")), "id", "pr_vertices", n_parts)
     n = vt.count()
     pr = vt.select("id", "dangling", F.lit(1.0 / n).alias("pr")) if n else \
         vt.select("id", "dangling", F.lit(0.0).alias("pr"))
@@ -56,7 +55,8 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, iters: int = 1
         dmass = pr.where("dangling").agg(F.coalesce(F.sum("pr"), F.lit(0.0))).scalar()
         new_pr = F.lit(damping) * (F.coalesce(F.col("c"), F.lit(0.0)) + dmass / F.lit(float(n))) \
             + F.lit((1.0 - damping) / n)
-        nxt = cut_lineage(vt.join(recv, "id", "left").select("id", "dangling", new_pr.alias("pr")))
+        nxt = bucketed_table(vt.join(recv, "id", "left").select("id", "dangling", new_pr.alias("pr")),
+                             "id", f"pr_round{i}", n_parts, shuffle=False)
         traces.append(pr.where("dangling").agg(F.coalesce(F.sum("pr"), F.lit(0.0)).alias("value"))
                       .select(F.lit(i).cast("bigint").alias("round"),
                               F.lit("delta").alias("metric"), "value"))

@@ -29,7 +29,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from edgeframe.operators.common import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from edgeframe.operators.common import (DEFAULT_BROADCAST_ROWS, bounded_broadcast, cut_lineage,
+                                        spread)
 
 SEMANTICS = ("join", "semi", "distinct_pairs")
 def _zero():
@@ -97,18 +98,30 @@ def closed_pairs(edges: DataFrame) -> DataFrame:
 
 def _count_path_plan(edges: DataFrame, semantics: str, strategy: str,
                      max_broadcast_rows: int) -> DataFrame:
-    m = multiplicity(edges)
-    p = _weighted_paths(m, strategy, max_broadcast_rows)
+    """2-paths of the multiplicity table joined with the closing edge.
+
+    ``shuffle``: both joins are shuffle joins (the reduce-side plan).
+    ``broadcast``: the edge table is replicated to both probes when proven small.
+    """
+    m = cut_lineage(multiplicity(edges))   # read three times below: compute once
+    a = m.select(F.col("src").alias("a"), F.col("dst").alias("b"), F.col("w").alias("w1"))
+    b = m.select(F.col("src").alias("b2"), F.col("dst").alias("c"), F.col("w").alias("w2"))
     close = m.select(F.col("src").alias("cs"), F.col("dst").alias("cd"), F.col("w").alias("wc"))
     if strategy == "broadcast":
-        close, _ = bounded_broadcast(close, max_broadcast_rows)
-    j = p.join(close, (F.col("dst") == F.col("cs")) & (F.col("src") == F.col("cd")))
+        b, small = bounded_broadcast(b, max_broadcast_rows)
+        if small:
+            close = F.broadcast(close)
+            a = spread(a)
+    else:
+        b, close = b.hint("merge"), close.hint("merge")
+    p = a.join(b, F.col("b") == F.col("b2"))
+    j = p.join(close, (F.col("c") == F.col("cs")) & (F.col("a") == F.col("cd")))
     if semantics == "join":
-        hits = F.sum(F.col("w") * F.col("wc"))
+        hits = F.sum(F.col("w1") * F.col("w2") * F.col("wc"))
     elif semantics == "semi":
-        hits = F.sum("w")
+        hits = F.sum(F.col("w1") * F.col("w2"))
     else:
-        hits = F.count(F.lit(1))
+        return j.select("a", "c").distinct().agg(F.count(F.lit(1)).alias("hits"))
     return j.agg(F.coalesce(hits, _zero()).alias("hits"))
 
 
@@ -138,6 +151,12 @@ def _oriented_edges(m: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     pairs = nl.groupBy(lo.alias("lo"), hi.alias("hi")).agg(
         F.coalesce(F.sum(F.when(F.col("src") < F.col("dst"), F.col("w"))), _zero()).alias("up"),
         F.coalesce(F.sum(F.when(F.col("src") > F.col("dst"), F.col("w"))), _zero()).alias("dn"))
+    _, _, oriented = _oriented_edges_from(pairs)
+    return loops, pairs, oriented
+
+
+def _oriented_edges_from(pairs: DataFrame) -> tuple[None, DataFrame, DataFrame]:
+    """Orient undirected ``pairs`` from lower to higher rank."""
     deg = pairs.select(F.col("lo").alias("v")).union(pairs.select(F.col("hi").alias("v"))) \
         .groupBy("v").agg(F.count(F.lit(1)).alias("d"))
     dl = deg.select(F.col("v").alias("lv"), F.col("d").alias("ld"))
@@ -149,18 +168,27 @@ def _oriented_edges(m: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         F.when(lo_first, F.col("hi")).otherwise(F.col("lo")).alias("y"),
         F.when(lo_first, F.col("up")).otherwise(F.col("dn")).alias("f"),
         F.when(lo_first, F.col("dn")).otherwise(F.col("up")).alias("r"))
-    return loops, pairs, oriented
+    return None, pairs, oriented
 
 
-def _triangles(oriented: DataFrame) -> DataFrame:
+def _triangles(oriented: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Each undirected triangle once: ``(x, y, z)`` in rank order with the six
     directed multiplicities: a1=m(x,y) b1=m(y,z) c1=m(z,x) (cycle x->y->z->x)
-    and a2=m(x,z) b2=m(z,y) c2=m(y,x) (cycle x->z->y->x)."""
+    and a2=m(x,z) b2=m(z,y) c2=m(y,x) (cycle x->z->y->x).
+
+    When the oriented table is proven small it is broadcast to both probes, so
+    the wedge walk and the closing lookup run in one map-side pipeline with no
+    shuffle of wedges; otherwise both joins are shuffle joins (AQE splits a
+    skewed key)."""
     o1 = oriented.select(F.col("x"), F.col("y"), F.col("f").alias("fxy"), F.col("r").alias("ryx"))
     o2 = oriented.select(F.col("x").alias("y2"), F.col("y").alias("z"),
                          F.col("f").alias("fyz"), F.col("r").alias("rzy"))
     o3 = oriented.select(F.col("x").alias("x3"), F.col("y").alias("z3"),
                          F.col("f").alias("fxz"), F.col("r").alias("rzx"))
+    o2, small = bounded_broadcast(o2, max_broadcast_rows)
+    if small:
+        o3 = F.broadcast(o3)
+        o1 = spread(o1)
     wedges = o1.join(o2, F.col("y") == F.col("y2"))
     tri = wedges.join(o3, (F.col("x") == F.col("x3")) & (F.col("z") == F.col("z3")))
     return tri.select("x", "y", "z",
@@ -185,9 +213,26 @@ def _semi_terms(a: Column, b: Column, c: Column) -> Column:
     return F.when((a > 0) & (b > 0) & (c > 0), a * b + b * c + c * a).otherwise(_zero())
 
 
+def _oriented_inputs(edges: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Materialised loops, pairs and oriented edges from one aggregation.
+
+    One pass groups the raw edges by their unordered endpoint pair and counts
+    both directions (and self-loops, where lo = hi); the result is the only
+    table derived from the full edge list.
+    """
+    lo, hi = F.least("src", "dst"), F.greatest("src", "dst")
+    und = cut_lineage(edges.groupBy(lo.alias("lo"), hi.alias("hi")).agg(
+        F.count_if(F.col("src") < F.col("dst")).alias("up"),
+        F.count_if(F.col("src") > F.col("dst")).alias("dn"),
+        F.count_if(F.col("src") == F.col("dst")).alias("s")))
+    loops = und.where(F.col("lo") == F.col("hi")).select(F.col("lo").alias("v"), "s")
+    pairs = und.where(F.col("lo") < F.col("hi")).select("lo", "hi", "up", "dn")
+    _, _, oriented = _oriented_edges_from(pairs)
+    return loops, pairs, cut_lineage(oriented)
+
+
 def _count_oriented(edges: DataFrame, semantics: str) -> DataFrame:
-    m = multiplicity(edges)
-    loops, pairs, oriented = _oriented_edges(m)
+    loops, pairs, oriented = _oriented_inputs(edges)
     tri = _triangles(oriented)
     lc = _loop_two_cycles(loops, pairs)
     if semantics == "join":
@@ -223,8 +268,7 @@ def closed_pair_edges(tri: DataFrame, loops: DataFrame, lc: DataFrame) -> DataFr
 
 def closed_pairs_oriented(edges: DataFrame) -> DataFrame:
     """Same set as :func:`closed_pairs`, reported as the 2-path endpoints ``(a, c)``."""
-    m = multiplicity(edges)
-    loops, pairs, oriented = _oriented_edges(m)
+    loops, pairs, oriented = _oriented_inputs(edges)
     e = closed_pair_edges(_triangles(oriented), loops, _loop_two_cycles(loops, pairs))
     return e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
 

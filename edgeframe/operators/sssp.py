@@ -1,7 +1,8 @@
 """Single-source shortest paths and eccentricity summaries.
 
 Unit weights run a frontier BFS: each round joins only the newly reached
-vertices with the edge table (pre-partitioned by ``src`` and materialised once),
+vertices with the edge table (written once as a table bucketed by ``src``, so
+only the frontier is shuffled, or broadcast when AQE sees it is small),
 removes already-seen vertices with an anti-join, and materialises the new
 frontier to the shared checkpoint folder.  Every edge is expanded at most once.
 Weighted graphs run Bellman-Ford with an active set (only vertices improved in
@@ -19,7 +20,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeframe.operators.common import cut_lineage
+from edgeframe.operators.common import bucketed_table, cut_lineage
 from edgeframe.sources.tables import vertices_of
 
 SENTINEL = 2147483647
@@ -40,7 +41,7 @@ def bfs(edges: DataFrame, source: int, rounds: int) -> tuple[DataFrame, DataFram
 
     Returns ``(dist(id, dist), trace(round, n_updated))``.
     """
-    adj = cut_lineage(edges.select("src", "dst").distinct().repartition("src"))
+    adj = bucketed_table(edges.select("src", "dst").distinct(), "src", "bfs_edges")
     frontier = cut_lineage(_seed(edges, source))
     pieces = [frontier]
     trace = []
@@ -68,8 +69,8 @@ def bellman_ford(edges: DataFrame, source: int, rounds: int, weight: str = "w"
 
     Returns ``(dist(id, dist), trace(round, n_updated))``.
     """
-    adj = cut_lineage(edges.groupBy("src", "dst").agg(F.min(weight).cast("bigint").alias("w"))
-                      .repartition("src"))
+    adj = bucketed_table(edges.groupBy("src", "dst").agg(F.min(weight).cast("bigint").alias("w")),
+                         "src", "bf_edges")
     dist = cut_lineage(_seed(edges, source))
     active = dist
     trace = []

@@ -22,6 +22,7 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 # skewed join partitions are split and tiny shuffles are coalesced at run time.
 LOCAL_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -37,6 +38,11 @@ def local_session(cpus: int | str = "*", partitions: int = 8, app: str = "edgefr
     conf = dict(LOCAL_CONF)
     conf["spark.sql.shuffle.partitions"] = str(partitions)
     conf["spark.driver.memory"] = os.environ.get("EDGEFRAME_DRIVER_MEMORY", "16g")
+    # private folders for a local run: checkpoints / written tables and the
+    # (otherwise ./spark-warehouse) catalog location
+    base = tempfile.mkdtemp(prefix="edgeframe-")
+    conf.setdefault(CHECKPOINT_CONF, os.path.join(base, "checkpoints"))
+    conf["spark.sql.warehouse.dir"] = os.path.join(base, "warehouse")
     if extra:
         conf.update(extra)
     for k, v in conf.items():
