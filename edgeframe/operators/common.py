@@ -57,6 +57,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet in the shared folder and read it back (a lineage cut
+    that later scans read column-pruned and with pushed filters)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def bucketed_table(df: DataFrame, key: str, name: str, buckets: int | None = None,
                    shuffle: bool = True) -> DataFrame:
     """Write ``df`` as a table bucketed by ``key`` in the shared folder; return it.

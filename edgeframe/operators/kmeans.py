@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgeframe.functions.scalar import nearest_value
-from edgeframe.operators.common import cut_lineage
+from edgeframe.operators.common import cut_lineage, written_table
 
 
 def value_range(points: DataFrame, col: str = "v") -> DataFrame:
@@ -55,15 +55,21 @@ def cluster_update(points: DataFrame, centroids, col: str = "v") -> DataFrame:
         F.sum((c - v) * (c - v)).alias("sse"))
 
 
-def kmeans_1d(points: DataFrame, seeds, iters: int = 10, col: str = "v"
-              ) -> tuple[DataFrame, DataFrame]:
+def kmeans_1d(points: DataFrame, seeds, iters: int = 10, col: str = "v",
+              materialize: bool = True) -> tuple[DataFrame, DataFrame]:
     """Run ``iters`` rounds.  Returns ``(clusters, trace)``.
 
+    ``materialize`` writes the point column once to the shared folder (use it
+    when points are derived, e.g. follower counts); a plain column of a
+    parquet table is re-scanned each round instead.
+
     ``clusters``: ``(centroid, n, sse)`` of the last round (updated centroid,
     size, SSE against the centroid the points were assigned to).
     ``trace``: ``(round, sse)`` total SSE per round.
     """
-    pts = cut_lineage(points.select(F.col(col).alias("v")).where(F.col("v").isNotNull()))
+    pts = points.select(F.col(col).alias("v")).where(F.col("v").isNotNull())
+    if materialize:
+        pts = written_table(pts, "kmeans_points")
     cs = _centroid_list(seeds)
     rounds, last = [], None
     for r in range(1, iters + 1):

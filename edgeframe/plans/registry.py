@@ -602,20 +602,22 @@ def q_cluster_update(spark, d):
                                f"SELECT centroid, n, sse FROM g{ROUNDS}"))
 def q_kmeans_1d(spark, d):
     pts = points_chars(spark, d)
-    clusters, _ = kmeans.kmeans_1d(pts, kmeans.equal_interval_seeds(pts, K_SEEDS), ROUNDS)
+    clusters, _ = kmeans.kmeans_1d(pts, kmeans.equal_interval_seeds(pts, K_SEEDS), ROUNDS,
+                                   materialize=False)
     return clusters
 
 
 @register("kmeans_1d_bad_seeds", _km_sql("pts", _PTS, _BAD, f"SELECT centroid, n, sse FROM g{ROUNDS}"))
 def q_kmeans_1d_bad_seeds(spark, d):
-    clusters, _ = kmeans.kmeans_1d(points_chars(spark, d), BAD_SEEDS, ROUNDS)
+    clusters, _ = kmeans.kmeans_1d(points_chars(spark, d), BAD_SEEDS, ROUNDS, materialize=False)
     return clusters
 
 
 @register("kmeans_sse", _km_sql("pts", _PTS, o.seeds_sql("pts", K_SEEDS), _km_trace_sql()))
 def q_kmeans_sse(spark, d):
     pts = points_chars(spark, d)
-    _, trace = kmeans.kmeans_1d(pts, kmeans.equal_interval_seeds(pts, K_SEEDS), ROUNDS)
+    _, trace = kmeans.kmeans_1d(pts, kmeans.equal_interval_seeds(pts, K_SEEDS), ROUNDS,
+                                materialize=False)
     return trace
 
 

@@ -38,11 +38,11 @@ def local_session(cpus: int | str = "*", partitions: int = 8, app: str = "edgefr
     conf = dict(LOCAL_CONF)
     conf["spark.sql.shuffle.partitions"] = str(partitions)
     conf["spark.driver.memory"] = os.environ.get("EDGEFRAME_DRIVER_MEMORY", "16g")
-    # private folders for a local run: checkpoints / written tables and the
-    # (otherwise ./spark-warehouse) catalog location
-    base = tempfile.mkdtemp(prefix="edgeframe-")
-    conf.setdefault(CHECKPOINT_CONF, os.path.join(base, "checkpoints"))
-    conf["spark.sql.warehouse.dir"] = os.path.join(base, "warehouse")
+    # a private catalog location for a local run (otherwise ./spark-warehouse);
+    # the checkpoint folder is left to the environment and only filled in by
+    # checkpoint_dir() below when nothing names one
+    conf["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="edgeframe-warehouse-")
+    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     if extra:
         conf.update(extra)
     for k, v in conf.items():
@@ -74,7 +74,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
                 f"{CHECKPOINT_CONF} is not set; iterative operators and round-trip sinks "
                 "need a folder shared by all executors (e.g. on HDFS or an object store)")
         conf = tempfile.mkdtemp(prefix="edgeframe-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, conf)
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir()
 
