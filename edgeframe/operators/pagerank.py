@@ -50,12 +50,7 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, iters: int = 1
         vt.select("id", "dangling", F.lit(0.0).alias("pr"))
     traces = []
     for i in range(1, iters + 1):
-        recv = pr.join(adj, pr["id"] == adj["src"]) \
-            .groupBy(adj["dst"].alias("id")).agg(F.sum(pr["pr"] * adj["share"]).alias("c"))
-        dmass = pr.where("dangling").agg(F.coalesce(F.sum("pr"), F.lit(0.0))).scalar()
-        new_pr = F.lit(damping) * (F.coalesce(F.col("c"), F.lit(0.0)) + dmass / F.lit(float(n))) \
-            + F.lit((1.0 - damping) / n)
-        nxt = bucketed_table(vt.join(recv, "id", "left").select("id", "dangling", new_pr.alias("pr")),
+        nxt = bucketed_table(pagerank_round(pr, adj, vt, n, damping),
                              "id", f"pr_round{i}", n_parts, shuffle=False)
         traces.append(pr.where("dangling").agg(F.coalesce(F.sum("pr"), F.lit(0.0)).alias("value"))
                       .select(F.lit(i).cast("bigint").alias("round"),
@@ -68,6 +63,21 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, iters: int = 1
     return pr.select("id", "pr"), trace
 
 
+def pagerank_round(pr: DataFrame, adj: DataFrame, vt: DataFrame, n: int,
+                   damping: float = 1.0) -> DataFrame:
+    """One round: ``(id, dangling, pr)`` from the previous ranks.
+
+    ``pr`` and ``vt`` are bucketed by ``id`` and ``adj`` by ``src`` with one
+    bucket count, so the only exchange is the partial per-target sums.
+    """
+    recv = pr.join(adj, pr["id"] == adj["src"]) \
+        .groupBy(adj["dst"].alias("id")).agg(F.sum(pr["pr"] * adj["share"]).alias("c"))
+    dmass = pr.where("dangling").agg(F.coalesce(F.sum("pr"), F.lit(0.0))).scalar()
+    new_pr = F.lit(damping) * (F.coalesce(F.col("c"), F.lit(0.0)) + dmass / F.lit(float(n))) \
+        + F.lit((1.0 - damping) / n)
+    return vt.join(recv, "id", "left").select("id", "dangling", new_pr.alias("pr"))
+
+
 def in_contributions(edges: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
     """One propagation step from rank 1 everywhere: ``(id, contrib)``.
 

@@ -67,12 +67,15 @@ def bellman_ford(edges: DataFrame, source: int, rounds: int, weight: str = "w"
                  ) -> tuple[DataFrame, DataFrame]:
     """Hop-bounded weighted distances; ``edges`` carries a non-negative ``weight``.
 
+    The edge table and the distance table are bucketed by vertex id with the
+    same bucket count: a round shuffles only the candidate minima of the
+    active vertices, and the merged distances are written back bucket by bucket.
     Returns ``(dist(id, dist), trace(round, n_updated))``.
     """
     adj = bucketed_table(edges.groupBy("src", "dst").agg(F.min(weight).cast("bigint").alias("w")),
                          "src", "bf_edges")
-    dist = cut_lineage(_seed(edges, source))
-    active = dist
+    dist = bucketed_table(_seed(edges, source), "id", "bf_dist0")
+    active = cut_lineage(dist)
     trace = []
     for r in range(1, rounds + 1):
         cand = active.join(adj, active["id"] == adj["src"]).groupBy(adj["dst"].alias("id")) \
@@ -85,8 +88,9 @@ def bellman_ford(edges: DataFrame, source: int, rounds: int, weight: str = "w"
         if improved.isEmpty():
             break
         upd = improved.select("id", F.col("dist").alias("nd"))
-        dist = cut_lineage(dist.join(upd, "id", "full_outer")
-                           .select("id", F.coalesce("nd", "dist").alias("dist")))
+        dist = bucketed_table(dist.join(upd, "id", "full_outer")
+                              .select("id", F.coalesce("nd", "dist").alias("dist")),
+                              "id", f"bf_dist{r}", shuffle=False)
         trace.append(improved.agg(F.lit(r).cast("bigint").alias("round"),
                                   F.count(F.lit(1)).alias("n_updated")))
         active = improved

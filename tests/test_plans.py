@@ -42,3 +42,23 @@ def test_no_python_or_cartesian_anywhere(spark):
         p = plan_text(fn(spark, SF001))
         assert "PythonUDF" not in p and "ArrowEvalPython" not in p, name
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def test_pagerank_round_does_not_move_edges(spark):
+    from pyspark.sql import functions as F
+    from edgeframe.operators.common import bucketed_table
+    from edgeframe.operators.pagerank import pagerank_round
+    e = edges_ps(spark, SF001)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        adj = bucketed_table(e.groupBy("src", "dst").agg(F.lit(0.5).alias("share")), "src", "t_adj")
+        vt = bucketed_table(e.select(F.col("src").alias("id")).distinct()
+                            .select("id", F.lit(False).alias("dangling")), "id", "t_vt")
+        pr = vt.select("id", "dangling", F.lit(0.1).alias("pr"))
+        p = plan_text(pagerank_round(pr, adj, vt, 10))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    main = p.split("Subqueries")[0].split("\n\n")[0]
+    # one exchange for the partial contribution sums; none over the edge table
+    assert main.count("Exchange") == 1, main
+    assert "SortMergeJoin" in main
