@@ -10,7 +10,8 @@ bucketed by vertex id (same bucket count) in the shared folder.  Each round's
 ranks are written the same way, which cuts lineage and keeps the layout, so
 the rank/edge join and the vertex/contribution join need no exchange; a round
 shuffles only the per-target partial sums, never the edges.  The dangling mass
-is a scalar subquery evaluated by Spark, not a driver loop.
+of each round's ranks is an observed metric of the job that writes them (one
+double per round reaches the driver).
 """
 
 from __future__ import annotations
@@ -45,13 +46,20 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, iters: int = 1
     vt = bucketed_table(
         verts.join(od.select(F.col("src").alias("id"), F.lit(False).alias("dangling")), "id", "left")
         .select("id", F.coalesce("dangling", F.lit(True)).alias("dangling")), "id", "pr_vertices", n_parts)
-    n = vt.count()
+    counts = vt.agg(F.count(F.lit(1)).alias("n"), F.count_if("dangling").alias("nd")).first()
+    n = counts["n"]
     pr = vt.select("id", "dangling", F.lit(1.0 / n).alias("pr")) if n else \
         vt.select("id", "dangling", F.lit(0.0).alias("pr"))
+    dmass = counts["nd"] / n if n else 0.0
     traces = []
     for i in range(1, iters + 1):
-        nxt = bucketed_table(pagerank_round(pr, adj, vt, n, damping),
-                             "id", f"pr_round{i}", n_parts, shuffle=False)
+        # the dangling mass of the ranks being written is observed by the same
+        # job and becomes a literal of the next round (no extra pass)
+        nxt, seen = bucketed_table(pagerank_round(pr, adj, vt, n, damping, dmass),
+                                   "id", f"pr_round{i}", n_parts, shuffle=False,
+                                   metrics=(F.sum(F.when(F.col("dangling"), F.col("pr"))
+                                                  ).alias("dmass"),))
+        dmass = seen["dmass"] or 0.0
         traces.append(pr.where("dangling").agg(F.coalesce(F.sum("pr"), F.lit(0.0)).alias("value"))
                       .select(F.lit(i).cast("bigint").alias("round"),
                               F.lit("delta").alias("metric"), "value"))
@@ -64,15 +72,20 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, iters: int = 1
 
 
 def pagerank_round(pr: DataFrame, adj: DataFrame, vt: DataFrame, n: int,
-                   damping: float = 1.0) -> DataFrame:
+                   damping: float = 1.0, dmass: float | None = None) -> DataFrame:
     """One round: ``(id, dangling, pr)`` from the previous ranks.
 
     ``pr`` and ``vt`` are bucketed by ``id`` and ``adj`` by ``src`` with one
     bucket count, so the only exchange is the partial per-target sums.
+    ``dmass`` is the dangling mass of ``pr`` when already known; otherwise it
+    is a scalar subquery over ``pr``.
     """
     recv = pr.join(adj, pr["id"] == adj["src"]) \
         .groupBy(adj["dst"].alias("id")).agg(F.sum(pr["pr"] * adj["share"]).alias("c"))
-    dmass = pr.where("dangling").agg(F.coalesce(F.sum("pr"), F.lit(0.0))).scalar()
+    if dmass is None:
+        dmass = pr.where("dangling").agg(F.coalesce(F.sum("pr"), F.lit(0.0))).scalar()
+    else:
+        dmass = F.lit(float(dmass))
     new_pr = F.lit(damping) * (F.coalesce(F.col("c"), F.lit(0.0)) + dmass / F.lit(float(n))) \
         + F.lit((1.0 - damping) / n)
     return vt.join(recv, "id", "left").select("id", "dangling", new_pr.alias("pr"))

@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeframe.operators.common import bucketed_table, cut_lineage
+from edgeframe.operators.common import bucketed_table, cut_lineage, written_table_observed
 from edgeframe.sources.tables import vertices_of
 
 SENTINEL = 2147483647
@@ -49,8 +49,8 @@ def bfs(edges: DataFrame, source: int, rounds: int) -> tuple[DataFrame, DataFram
         reached = frontier.join(adj, frontier["id"] == adj["src"]).select(adj["dst"].alias("id"))
         new = reached.distinct().join(_union(pieces).select("id"), "id", "left_anti") \
             .select("id", F.lit(r).cast("bigint").alias("dist"))
-        new = cut_lineage(new)
-        if new.isEmpty():
+        new, seen = written_table_observed(new, f"bfs_frontier{r}", F.count(F.lit(1)).alias("n"))
+        if seen["n"] == 0:
             break
         pieces.append(new)
         trace.append(new.agg(F.lit(r).cast("bigint").alias("round"),
@@ -84,8 +84,9 @@ def bellman_ford(edges: DataFrame, source: int, rounds: int, weight: str = "w"
         improved = cand.join(old, "id", "left") \
             .where(F.col("od").isNull() | (F.col("nd") < F.col("od"))) \
             .select("id", F.col("nd").alias("dist"))
-        improved = cut_lineage(improved)
-        if improved.isEmpty():
+        improved, seen = written_table_observed(improved, f"bf_improved{r}",
+                                                F.count(F.lit(1)).alias("n"))
+        if seen["n"] == 0:
             break
         upd = improved.select("id", F.col("dist").alias("nd"))
         dist = bucketed_table(dist.join(upd, "id", "full_outer")
