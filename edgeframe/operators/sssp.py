@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeframe.operators.common import bucketed_table, cut_lineage, written_table_observed
+from edgeframe.operators.common import bucketed_table
 from edgeframe.sources.tables import vertices_of
 
 SENTINEL = 2147483647
@@ -42,14 +42,17 @@ def bfs(edges: DataFrame, source: int, rounds: int) -> tuple[DataFrame, DataFram
     Returns ``(dist(id, dist), trace(round, n_updated))``.
     """
     adj = bucketed_table(edges.select("src", "dst").distinct(), "src", "bfs_edges")
-    frontier = cut_lineage(_seed(edges, source))
+    frontier = bucketed_table(_seed(edges, source), "id", "bfs_frontier0")
     pieces = [frontier]
     trace = []
     for r in range(1, rounds + 1):
         reached = frontier.join(adj, frontier["id"] == adj["src"]).select(adj["dst"].alias("id"))
         new = reached.distinct().join(_union(pieces).select("id"), "id", "left_anti") \
             .select("id", F.lit(r).cast("bigint").alias("dist"))
-        new, seen = written_table_observed(new, f"bfs_frontier{r}", F.count(F.lit(1)).alias("n"))
+        # frontier pieces share the edge table's bucketing: the next round's
+        # frontier/edge join needs no exchange; the size is observed on write
+        new, seen = bucketed_table(new, "id", f"bfs_frontier{r}", shuffle=False,
+                                   metrics=(F.count(F.lit(1)).alias("n"),))
         if seen["n"] == 0:
             break
         pieces.append(new)
@@ -75,7 +78,7 @@ def bellman_ford(edges: DataFrame, source: int, rounds: int, weight: str = "w"
     adj = bucketed_table(edges.groupBy("src", "dst").agg(F.min(weight).cast("bigint").alias("w")),
                          "src", "bf_edges")
     dist = bucketed_table(_seed(edges, source), "id", "bf_dist0")
-    active = cut_lineage(dist)
+    active = dist
     trace = []
     for r in range(1, rounds + 1):
         cand = active.join(adj, active["id"] == adj["src"]).groupBy(adj["dst"].alias("id")) \
@@ -84,8 +87,8 @@ def bellman_ford(edges: DataFrame, source: int, rounds: int, weight: str = "w"
         improved = cand.join(old, "id", "left") \
             .where(F.col("od").isNull() | (F.col("nd") < F.col("od"))) \
             .select("id", F.col("nd").alias("dist"))
-        improved, seen = written_table_observed(improved, f"bf_improved{r}",
-                                                F.count(F.lit(1)).alias("n"))
+        improved, seen = bucketed_table(improved, "id", f"bf_improved{r}", shuffle=False,
+                                        metrics=(F.count(F.lit(1)).alias("n"),))
         if seen["n"] == 0:
             break
         upd = improved.select("id", F.col("dist").alias("nd"))
