@@ -74,25 +74,20 @@ def path2_count(edges: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.col("o") * F.col("i")), _zero()).alias("n_paths"))
 
 
-def _weighted_paths(m: DataFrame, strategy: str, max_broadcast_rows: int) -> DataFrame:
-    """2-paths aggregated per endpoint pair: ``(src, dst, w)`` with w = number of walks."""
-    a = m.select(F.col("src").alias("a"), F.col("dst").alias("b"), F.col("w").alias("w1"))
-    b = m.select(F.col("src").alias("b2"), F.col("dst").alias("c"), F.col("w").alias("w2"))
-    if strategy == "broadcast":
-        b, _ = bounded_broadcast(b, max_broadcast_rows)
-    j = a.join(b, F.col("b") == F.col("b2"))
-    return j.groupBy(F.col("a").alias("src"), F.col("c").alias("dst")).agg(
-        F.sum(F.col("w1") * F.col("w2")).alias("w"))
-
-
-def closed_pairs(edges: DataFrame) -> DataFrame:
+def closed_pairs(edges: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Distinct 2-path endpoint pairs ``(a, c)`` whose reverse edge ``c->a`` exists.
 
-    ``INTERSECT`` of the 2-path endpoint set and the reversed edge set.
+    ``INTERSECT`` of the 2-path endpoint set and the reversed edge set.  The
+    paths come from the distinct edges (the set is the same) and are not
+    aggregated first: Catalyst turns ``intersect`` into a left-semi join
+    followed by a distinct, so only the closed pairs are ever deduplicated.
     """
-    m = multiplicity(edges)
-    p = _weighted_paths(m, "shuffle", DEFAULT_BROADCAST_ROWS).select("src", "dst")
-    rev = m.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    d = edges.select("src", "dst").distinct()
+    a = d.select(F.col("src").alias("a"), F.col("dst").alias("b"))
+    b = d.select(F.col("src").alias("b2"), F.col("dst").alias("c"))
+    rev, _ = bounded_broadcast(d.select(F.col("dst").alias("src"), F.col("src").alias("dst")),
+                               max_broadcast_rows)
+    p = a.join(b, F.col("b") == F.col("b2")).select(F.col("a").alias("src"), F.col("c").alias("dst"))
     return p.intersect(rev)
 
 
@@ -113,7 +108,9 @@ def _count_path_plan(edges: DataFrame, semantics: str, strategy: str,
             close = F.broadcast(close)
             a = spread(a)
     else:
-        b, close = b.hint("merge"), close.hint("merge")
+        # reduce-side joins; hashing the (smaller) edge side avoids sorting
+        # the much larger stream of 2-paths before the closing join
+        b, close = b.hint("shuffle_hash"), close.hint("shuffle_hash")
     p = a.join(b, F.col("b") == F.col("b2"))
     j = p.join(close, (F.col("c") == F.col("cs")) & (F.col("a") == F.col("cd")))
     if semantics == "join":
