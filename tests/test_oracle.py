@@ -2,6 +2,7 @@
 
 import pytest
 
+from edgeframe.plans.inspect import plan_text
 from tests.conftest import SF001
 from tools.oracle_check import compare, duck
 
@@ -18,6 +19,9 @@ def con():
 @pytest.mark.parametrize("name", KEYS)
 def test_key_matches_oracle(spark, con, name):
     df = queries()[name](spark, SF001)
+    plan = plan_text(df)
+    assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     sql = oracle_sql().get(name)
     if sql is None:
         assert df.count() >= 0
