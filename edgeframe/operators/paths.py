@@ -29,8 +29,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from edgeframe.operators.common import (DEFAULT_BROADCAST_ROWS, bounded_broadcast, cut_lineage,
-                                        spread)
+from edgeframe.operators.common import (DEFAULT_BROADCAST_ROWS, bounded_broadcast, spread,
+                                        written_table, written_table_observed)
 
 SEMANTICS = ("join", "semi", "distinct_pairs")
 def _zero():
@@ -98,15 +98,14 @@ def _count_path_plan(edges: DataFrame, semantics: str, strategy: str,
     ``shuffle``: both joins are shuffle joins (the reduce-side plan).
     ``broadcast``: the edge table is replicated to both probes when proven small.
     """
-    m = cut_lineage(multiplicity(edges))   # read three times below: compute once
+    # read three times below: written once, its row count observed by the same job
+    m, seen = written_table_observed(multiplicity(edges), "multiplicity",
+                                     F.count(F.lit(1)).alias("n"))
     a = m.select(F.col("src").alias("a"), F.col("dst").alias("b"), F.col("w").alias("w1"))
     b = m.select(F.col("src").alias("b2"), F.col("dst").alias("c"), F.col("w").alias("w2"))
     close = m.select(F.col("src").alias("cs"), F.col("dst").alias("cd"), F.col("w").alias("wc"))
-    if strategy == "broadcast":
-        b, small = bounded_broadcast(b, max_broadcast_rows)
-        if small:
-            close = F.broadcast(close)
-            a = spread(a)
+    if strategy == "broadcast" and seen["n"] <= max_broadcast_rows:
+        b, close, a = F.broadcast(b), F.broadcast(close), spread(a)
     else:
         # reduce-side joins; hashing the (smaller) edge side avoids sorting
         # the much larger stream of 2-paths before the closing join
@@ -168,7 +167,8 @@ def _oriented_edges_from(pairs: DataFrame) -> tuple[None, DataFrame, DataFrame]:
     return None, pairs, oriented
 
 
-def _triangles(oriented: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def _triangles(oriented: DataFrame, n_oriented: int | None = None,
+               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Each undirected triangle once: ``(x, y, z)`` in rank order with the six
     directed multiplicities: a1=m(x,y) b1=m(y,z) c1=m(z,x) (cycle x->y->z->x)
     and a2=m(x,z) b2=m(z,y) c2=m(y,x) (cycle x->z->y->x).
@@ -182,7 +182,11 @@ def _triangles(oriented: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_
                          F.col("f").alias("fyz"), F.col("r").alias("rzy"))
     o3 = oriented.select(F.col("x").alias("x3"), F.col("y").alias("z3"),
                          F.col("f").alias("fxz"), F.col("r").alias("rzx"))
-    o2, small = bounded_broadcast(o2, max_broadcast_rows)
+    if n_oriented is None:
+        o2, small = bounded_broadcast(o2, max_broadcast_rows)
+    else:
+        small = n_oriented <= max_broadcast_rows
+        o2 = F.broadcast(o2) if small else o2
     if small:
         o3 = F.broadcast(o3)
         o1 = spread(o1)
@@ -210,7 +214,7 @@ def _semi_terms(a: Column, b: Column, c: Column) -> Column:
     return F.when((a > 0) & (b > 0) & (c > 0), a * b + b * c + c * a).otherwise(_zero())
 
 
-def _oriented_inputs(edges: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _oriented_inputs(edges: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, int]:
     """Materialised loops, pairs and oriented edges from one aggregation.
 
     One pass groups the raw edges by their unordered endpoint pair and counts
@@ -218,19 +222,20 @@ def _oriented_inputs(edges: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]
     table derived from the full edge list.
     """
     lo, hi = F.least("src", "dst"), F.greatest("src", "dst")
-    und = cut_lineage(edges.groupBy(lo.alias("lo"), hi.alias("hi")).agg(
+    und = written_table(edges.groupBy(lo.alias("lo"), hi.alias("hi")).agg(
         F.count_if(F.col("src") < F.col("dst")).alias("up"),
         F.count_if(F.col("src") > F.col("dst")).alias("dn"),
-        F.count_if(F.col("src") == F.col("dst")).alias("s")))
+        F.count_if(F.col("src") == F.col("dst")).alias("s")), "pairs")
     loops = und.where(F.col("lo") == F.col("hi")).select(F.col("lo").alias("v"), "s")
     pairs = und.where(F.col("lo") < F.col("hi")).select("lo", "hi", "up", "dn")
     _, _, oriented = _oriented_edges_from(pairs)
-    return loops, pairs, cut_lineage(oriented)
+    oriented, seen = written_table_observed(oriented, "oriented", F.count(F.lit(1)).alias("n"))
+    return loops, pairs, oriented, seen["n"]
 
 
 def _count_oriented(edges: DataFrame, semantics: str) -> DataFrame:
-    loops, pairs, oriented = _oriented_inputs(edges)
-    tri = _triangles(oriented)
+    loops, pairs, oriented, n_oriented = _oriented_inputs(edges)
+    tri = _triangles(oriented, n_oriented)
     lc = _loop_two_cycles(loops, pairs)
     if semantics == "join":
         t = tri.agg(F.sum(3 * (F.col("a1") * F.col("b1") * F.col("c1")
@@ -265,8 +270,8 @@ def closed_pair_edges(tri: DataFrame, loops: DataFrame, lc: DataFrame) -> DataFr
 
 def closed_pairs_oriented(edges: DataFrame) -> DataFrame:
     """Same set as :func:`closed_pairs`, reported as the 2-path endpoints ``(a, c)``."""
-    loops, pairs, oriented = _oriented_inputs(edges)
-    e = closed_pair_edges(_triangles(oriented), loops, _loop_two_cycles(loops, pairs))
+    loops, pairs, oriented, n_oriented = _oriented_inputs(edges)
+    e = closed_pair_edges(_triangles(oriented, n_oriented), loops, _loop_two_cycles(loops, pairs))
     return e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
 
 

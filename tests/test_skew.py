@@ -19,7 +19,7 @@ def hub_graph(spark):
 def test_oriented_wedges_stay_linear_with_a_hub(spark):
     e = hub_graph(spark)
     assert paths.path2_count(e).first()[0] >= N * N          # the join the plan avoids
-    loops, pairs, oriented = paths._oriented_inputs(e)
+    loops, pairs, oriented, _ = paths._oriented_inputs(e)
     o1 = oriented.select("x", "y")
     o2 = oriented.select(F.col("x").alias("y"), F.col("y").alias("z"))
     wedges = o1.join(o2, "y").count()
