@@ -152,6 +152,27 @@ def q_observed_metrics(spark, d):
                                  "n_edges BIGINT, max_src BIGINT, n_kept BIGINT")
 
 
+@register("src_search_state", sql(
+    f"SELECT v.id, (CASE WHEN v.id = {SOURCE} THEN 0 ELSE 2147483647 END)::BIGINT AS dist, "
+    "coalesce(d.n, 0) AS out_deg, (v.id = " + str(SOURCE) + ")::INTEGER AS visited FROM "
+    "(SELECT src AS id FROM eco UNION SELECT dst AS id FROM eco) v LEFT JOIN "
+    "(SELECT src, count(*) AS n FROM eco GROUP BY src) d ON v.id = d.src", "eco"))
+def q_src_search_state(spark, d):
+    """Round-0 shortest-path state in the text format of the MapReduce search."""
+    e = edges_co(spark, d)
+    adj = adj_ops.adjacency_list(e).select("id", "nbrs")
+    init = sssp.initial_distances(vertices_of(e), SOURCE)
+    state = init.join(adj, "id", "left").select(
+        "id", F.coalesce("nbrs", F.array().cast("array<bigint>")).alias("nbrs"), "dist",
+        (F.col("id") == SOURCE).alias("visited"))
+    path = scratch_path(spark, "search_state")
+    files.write_search_state(state, path)
+    back = files.read_search_state(spark, path)
+    return back.groupBy("id").agg(F.min("dist").alias("dist"),
+                                  F.sum(F.size("nbrs")).cast("bigint").alias("out_deg"),
+                                  F.max(F.col("visited").cast("int")).alias("visited"))
+
+
 # ================================================================ P1 projections / sets / sorts
 
 @register("limit_rows", sql(o.in_degree_sql("eco") + " ORDER BY followers DESC, id LIMIT 5", "eco"))

@@ -7,5 +7,5 @@ from edgeframe.sources.tables import (  # noqa: F401
 from edgeframe.sources.files import (  # noqa: F401
     write_edges_csv, read_edges_csv, read_edges_csv_inferred, read_text_lines,
     write_pairs_tsv, read_pairs_tsv, write_adjacency_text, read_adjacency_text,
-    write_key_value_text, read_whitespace_tokens,
+    write_key_value_text, read_whitespace_tokens, write_search_state, read_search_state,
 )

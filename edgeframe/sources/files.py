@@ -75,3 +75,30 @@ def read_whitespace_tokens(spark: SparkSession, path: str, names: list[str]) ->
     toks = F.split(F.trim(F.col("value")), r"\s+")
     return spark.read.text(path).select(
         *[F.get(toks, i).cast("bigint").alias(n) for i, n in enumerate(names)])
+
+
+def write_search_state(state: DataFrame, path: str) -> None:
+    """``id TAB n1,n2 dist [V]`` lines from ``(id, nbrs, dist[, visited])``.
+
+    An empty neighbour list is written as ``null``; ``V`` marks a visited
+    vertex when a boolean ``visited`` column is present.
+    """
+    adj = F.when(F.size("nbrs") > 0, F.array_join(F.col("nbrs").cast("array<string>"), ",")) \
+        .otherwise(F.lit("null"))
+    tail = [F.col("dist").cast("string")]
+    if "visited" in state.columns:
+        tail.append(F.when(F.col("visited"), F.lit("V")))
+    line = F.concat(F.col("id").cast("string"), F.lit("\t"), F.concat_ws(" ", adj, *tail))
+    state.select(line.alias("value")).write.mode("overwrite").text(path)
+
+
+def read_search_state(spark: SparkSession, path: str) -> DataFrame:
+    """Parse search-state lines into ``(id, nbrs array<bigint>, dist, visited)``."""
+    toks = F.split(F.trim(F.col("value")), r"\s+")
+    adj = F.get(toks, 1)
+    nbrs = F.when(adj == "null", F.array().cast("array<bigint>")) \
+        .otherwise(F.transform(F.split(adj, ","), lambda x: x.cast("bigint")))
+    return spark.read.text(path).select(
+        F.get(toks, 0).cast("bigint").alias("id"), nbrs.alias("nbrs"),
+        F.get(toks, 2).cast("bigint").alias("dist"),
+        F.coalesce(F.get(toks, 3) == "V", F.lit(False)).alias("visited"))

@@ -125,3 +125,17 @@ def test_reverse_and_filter(graph):
     e = graph("two_triangles")
     assert rows(relational.reverse_edges(e)) == sorted((b, a) for a, b in rows(e))
     assert rows(relational.filter_max_id(e, 3)) == [(1, 2), (2, 3), (3, 1)]
+
+
+def test_search_state_text_format(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from edgeframe.sources import files
+    state = spark.createDataFrame(
+        [(1, [2, 5], 0, True), (2, [], 2147483647, False)],
+        "id BIGINT, nbrs ARRAY<BIGINT>, dist BIGINT, visited BOOLEAN")
+    path = str(tmp_path / "state")
+    files.write_search_state(state, path)
+    lines = sorted(r["value"] for r in spark.read.text(path).collect())
+    assert lines == ["1\t2,5 0 V", "2\tnull 2147483647"]
+    back = files.read_search_state(spark, path).orderBy("id").collect()
+    assert [tuple(r) for r in back] == [(1, [2, 5], 0, True), (2, [], 2147483647, False)]
