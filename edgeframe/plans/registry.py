@@ -330,6 +330,25 @@ def q_path2_cardinality_total(spark, d):
     return degrees.path2_cardinality_total(edges_ps(spark, d))
 
 
+@register("path2_cardinality_total_files", sql(
+    f"SELECT sum(cardinality)::BIGINT AS total FROM ({_CARD})", "eps", ("dp", o.degree_pairs_sql("eps"))))
+def q_path2_cardinality_total_files(spark, d):
+    """The two-job chain: ``id TAB out,in`` degree lines, then ``id TAB cardinality``
+    lines, then the global sum over whitespace tokens."""
+    deg_path, card_path = scratch_path(spark, "degree_pairs"), scratch_path(spark, "cardinality")
+    dp = degrees.degree_pairs(edges_ps(spark, d))
+    dp.select("id", F.concat_ws(",", F.col("out_deg").cast("string"), F.col("in_deg").cast("string"))
+              .alias("pair")).write.mode("overwrite").option("sep", "\t").csv(deg_path)
+    back = files.read_pairs_tsv(spark, deg_path, "id BIGINT, pair STRING").select(
+        "id", fx.field(F.col("pair"), 0).cast("bigint").alias("out_deg"),
+        fx.field(F.col("pair"), 1).cast("bigint").alias("in_deg"))
+    o_, i_ = F.col("out_deg"), F.col("in_deg")
+    card = back.select("id", F.when(o_ == 0, i_).when(i_ == 0, o_).otherwise(o_ * i_).alias("c"))
+    files.write_key_value_text(card, "id", "c", card_path)
+    toks = files.read_whitespace_tokens(spark, card_path, ["id", "cardinality"])
+    return toks.agg(F.sum("cardinality").alias("total"))
+
+
 @register("path2_exact_total", sql("SELECT coalesce(sum(out_deg * in_deg), 0)::BIGINT AS total FROM dp",
                                    "eps", ("dp", o.degree_pairs_sql("eps"))))
 def q_path2_exact_total(spark, d):
@@ -403,6 +422,21 @@ def q_triangle_count_distinct_pairs_shuffle(spark, d):
     return paths.triangle_count(edges_ps(spark, d), "distinct_pairs", "shuffle")
 
 
+@register("triangle_count_distinct_pairs_files", sql(_TRI_PAIRS.format(v="eps"), "eps"))
+def q_triangle_count_distinct_pairs_files(spark, d):
+    """The two-job chain: 2-paths written as TAB text, then read back together
+    with the CSV edge file and intersected with the reversed edges."""
+    e = edges_ps(spark, d)
+    p_path, e_path = scratch_path(spark, "path2_tsv"), scratch_path(spark, "edges_csv")
+    files.write_pairs_tsv(paths.path2(e, "merge"), p_path)
+    files.write_edges_csv(e, e_path)
+    p = files.read_pairs_tsv(spark, p_path, files.EDGE_SCHEMA)
+    rev = relational.reverse_edges(files.read_edges_csv(spark, e_path))
+    hits = p.intersect(rev).agg(F.count(F.lit(1)).alias("closed_pairs"))
+    return hits.select("closed_pairs", F.call_function("div", F.col("closed_pairs"), F.lit(3))
+                       .alias("triangles"))
+
+
 @register("closed_pairs_intersect", sql(_CLOSED.format(v="eps"), "eps"))
 def q_closed_pairs_intersect(spark, d):
     return paths.closed_pairs(edges_ps(spark, d))
