@@ -67,6 +67,8 @@ def kmeans_1d(points: DataFrame, seeds, iters: int = 10, col: str = "v",
     size, SSE against the centroid the points were assigned to).
     ``trace``: ``(round, sse)`` total SSE per round.
     """
+    if iters < 1:
+        raise ValueError("kmeans_1d needs at least one round")
     pts = points.select(F.col(col).alias("v")).where(F.col("v").isNotNull())
     if materialize:
         pts = written_table(pts, "kmeans_points")

@@ -67,7 +67,11 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, iters: int = 1
                       .select(F.lit(i).cast("bigint").alias("round"),
                               F.lit("total").alias("metric"), "value"))
         pr = nxt
-    trace = reduce(lambda a, b: a.unionByName(b), traces) if traces else None
+    if not traces:   # zero rounds: an empty trace with the same schema
+        traces = [pr.agg(F.sum("pr").alias("value")).select(
+            F.lit(0).cast("bigint").alias("round"), F.lit("total").alias("metric"), "value")
+            .where(F.lit(False))]
+    trace = reduce(lambda a, b: a.unionByName(b), traces)
     return pr.select("id", "pr"), trace
 
 

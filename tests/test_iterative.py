@@ -60,3 +60,12 @@ def test_nearest_ties_go_low(spark):
     pts = spark.createDataFrame([(1, 5), (2, 15), (3, 10)], "id BIGINT, v BIGINT")
     got = sorted(tuple(r) for r in kmeans.assign(pts, [0, 10, 20]).collect())
     assert got == [(5, 0), (10, 10), (15, 10)]
+
+
+def test_zero_rounds(spark):
+    e = spark.createDataFrame([(1, 2), (2, 3)], "src BIGINT, dst BIGINT")
+    ranks, trace = pagerank.pagerank(e, iters=0)
+    assert trace.count() == 0
+    assert sorted(r["pr"] for r in ranks.collect()) == pytest.approx([1 / 3] * 3)
+    with pytest.raises(ValueError):
+        kmeans.kmeans_1d(spark.createDataFrame([(1, 5)], "id BIGINT, v BIGINT"), [0], 0)
