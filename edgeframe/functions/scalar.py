@@ -64,9 +64,14 @@ def pick_larger(a: Column, b: Column) -> Column:
     return F.when(a > b, a).otherwise(b)
 
 
+def joined(values: Column, sep: str = ",") -> Column:
+    """Join a numeric array as ``n1,n2,...`` text, keeping its order."""
+    return F.array_join(values.cast("array<string>"), sep)
+
+
 def sorted_join(values: Column, sep: str = ",") -> Column:
     """Sort numerically, then join as text (order is defined before the cast)."""
-    return F.array_join(F.sort_array(values).cast("array<string>"), sep)
+    return joined(F.sort_array(values), sep)
 
 
 def append_value(values: Column, value) -> Column:

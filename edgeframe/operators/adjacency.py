@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from edgeframe.functions.scalar import append_value, contains_value, joined
 from edgeframe.operators.common import DEFAULT_MAX_GROUP, chunked_lists
 
 
@@ -21,7 +22,7 @@ def adjacency_list(edges: DataFrame, max_group: int = DEFAULT_MAX_GROUP) -> Data
 
 def adjacency_text(adj: DataFrame) -> DataFrame:
     """``(id, adj)`` with the neighbour list as a ``n1,n2,...`` string."""
-    return adj.select("id", F.array_join(F.col("nbrs").cast("array<string>"), ",").alias("adj"))
+    return adj.select("id", joined(F.col("nbrs")).alias("adj"))
 
 
 def edges_from_adjacency(adj: DataFrame) -> DataFrame:
@@ -41,10 +42,9 @@ def explode_messages(adj: DataFrame) -> DataFrame:
 
 def append_marker(adj: DataFrame, value: int) -> DataFrame:
     """``(id, adj)``: the sorted list with ``value`` appended, joined by ``,``."""
-    arr = F.concat(F.col("nbrs"), F.array(F.lit(value).cast("bigint")))
-    return adj.select("id", F.array_join(arr.cast("array<string>"), ",").alias("adj"))
+    return adj.select("id", joined(append_value(F.col("nbrs"), value)).alias("adj"))
 
 
 def vertices_listing(adj: DataFrame, value: int) -> DataFrame:
     """Vertices whose neighbour list contains ``value``."""
-    return adj.where(F.exists("nbrs", lambda x: x == F.lit(value))).select("id").distinct()
+    return adj.where(contains_value(F.col("nbrs"), value)).select("id").distinct()

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from edgeframe.functions.scalar import joined
+
 EDGE_SCHEMA = "src BIGINT, dst BIGINT"
 
 
@@ -45,8 +47,7 @@ def read_pairs_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def write_adjacency_text(adj: DataFrame, path: str) -> None:
     """``id TAB n1,n2,...`` lines from an ``(id, nbrs array<bigint>)`` frame."""
-    line = F.concat_ws("\t", F.col("id").cast("string"),
-                       F.array_join(F.col("nbrs").cast("array<string>"), ","))
+    line = F.concat_ws("\t", F.col("id").cast("string"), joined(F.col("nbrs")))
     adj.select(line.alias("value")).write.mode("overwrite").text(path)
 
 
@@ -83,7 +84,7 @@ def write_search_state(state: DataFrame, path: str) -> None:
     An empty neighbour list is written as ``null``; ``V`` marks a visited
     vertex when a boolean ``visited`` column is present.
     """
-    adj = F.when(F.size("nbrs") > 0, F.array_join(F.col("nbrs").cast("array<string>"), ",")) \
+    adj = F.when(F.size("nbrs") > 0, joined(F.col("nbrs"))) \
         .otherwise(F.lit("null"))
     tail = [F.col("dist").cast("string")]
     if "visited" in state.columns:
