@@ -36,8 +36,12 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, iters: int = 1
     """
     spark = edges.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    verts = (vertices if vertices is not None else vertices_of(edges)).select("id").distinct()
-    inside = edges.join(verts.select(F.col("id").alias("dst")), "dst", "left_semi")
+    if vertices is None:
+        # every target is a vertex: no filtering join over the edge table
+        verts, inside = vertices_of(edges), edges.select("src", "dst")
+    else:
+        verts = vertices.select("id").distinct()
+        inside = edges.join(verts.select(F.col("id").alias("dst")), "dst", "left_semi")
     od = inside.groupBy("src").agg(F.count(F.lit(1)).alias("od"))
     adj = bucketed_table(
         inside.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w"))
