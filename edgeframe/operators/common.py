@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import uuid
 
+from edgeframe.plans.inspect import estimated_bytes
 from edgeframe.session import checkpoint_dir, scratch_path
 
 # Largest side (in rows) that an explicit broadcast strategy may replicate.
@@ -14,6 +15,10 @@ from edgeframe.session import checkpoint_dir, scratch_path
 # million rows stay well under the usual 64-128 MB broadcast budget.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
+# An exact row count is only taken for sides Catalyst estimates at or below
+# this size, so proving "small" never costs a pass over a large input.
+EXACT_CHECK_BYTES = 1 << 30
+
 # Largest list that one output row (adjacency line, materialised group) may hold.
 DEFAULT_MAX_GROUP = 1_000_000
 
@@ -26,10 +31,15 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """Mark ``df`` for broadcast only when its row count is proven small.
 
-    Returns ``(frame, broadcast_applied)``.  Beyond the bound the frame is
-    returned unhinted, so the planner uses a shuffle join (and AQE may still
-    switch to a broadcast at run time from real shuffle sizes).
+    Two steps: Catalyst's size estimate (no job) rules out large inputs; only
+    a side estimated at most ``EXACT_CHECK_BYTES`` gets the exact bounded
+    count.  Returns ``(frame, broadcast_applied)``.  Beyond the bound the
+    frame is returned unhinted, so the planner uses a shuffle join (and AQE may
+    still switch to a broadcast at run time from real shuffle sizes).
     """
+    est = estimated_bytes(df)
+    if est is not None and est > EXACT_CHECK_BYTES:
+        return df, False
     if row_count_at_most(df, max_rows):
         return F.broadcast(df), True
     return df, False

@@ -62,3 +62,19 @@ def test_pagerank_round_does_not_move_edges(spark):
     # one exchange for the partial contribution sums; none over the edge table
     assert main.count("Exchange") == 1, main
     assert "SortMergeJoin" in main
+
+
+def test_size_estimate_gates_the_exact_count(spark, monkeypatch):
+    from edgeframe.operators import common
+    from edgeframe.plans.inspect import estimated_bytes
+    e = edges_ps(spark, SF001)
+    est = estimated_bytes(e)
+    assert est is not None and 0 < est < 1 << 30
+    calls = []
+    monkeypatch.setattr(common, "row_count_at_most", lambda df, n: calls.append(n) or True)
+    monkeypatch.setattr(common, "EXACT_CHECK_BYTES", 1)      # pretend the side is huge
+    _, applied = common.bounded_broadcast(e)
+    assert not applied and calls == []                        # no counting pass at all
+    monkeypatch.setattr(common, "EXACT_CHECK_BYTES", 1 << 30)
+    _, applied = common.bounded_broadcast(e)
+    assert applied and calls
