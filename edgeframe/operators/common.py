@@ -78,7 +78,7 @@ def written_table(df: DataFrame, name: str) -> DataFrame:
 def written_table_observed(df: DataFrame, name: str, *metrics) -> tuple[DataFrame, dict]:
     """:func:`written_table` that also returns aggregate ``metrics`` of the rows
     written, gathered during the same job (no extra pass, no extra job)."""
-    obs = Observation(f"{name}_metrics")
+    obs = Observation(f"{name}_{uuid.uuid4().hex[:12]}")
     out = written_table(df.observe(obs, *metrics), name)
     return out, obs.get
 
@@ -103,7 +103,7 @@ def bucketed_table(df: DataFrame, key: str, name: str, buckets: int | None = Non
     src = df.repartition(n, key) if shuffle else df
     obs = None
     if metrics:
-        obs = Observation(f"{name}_metrics")
+        obs = Observation(f"{name}_{uuid.uuid4().hex[:12]}")
         src = src.observe(obs, *metrics)
     try:
         src.write.bucketBy(n, key).option("path", path).mode("overwrite").saveAsTable(table)

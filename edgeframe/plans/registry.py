@@ -7,6 +7,7 @@ Column names and types match the oracle SQL exactly.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -142,7 +143,7 @@ def q_sink_roundtrip_tsv(spark, d):
     f"count(*) FILTER (WHERE src <= {MAX_ID} AND dst <= {MAX_ID}) AS n_kept FROM eps", "eps"))
 def q_observed_metrics(spark, d):
     """The max-id filter as a map-only job whose side counters are observed metrics."""
-    obs = Observation("max_filter")
+    obs = Observation(f"max_filter_{uuid.uuid4().hex[:12]}")
     e = edges_ps(spark, d)
     watched = e.observe(obs, F.count(F.lit(1)).alias("n_edges"), F.max("src").alias("max_src"),
                         F.count_if((F.col("src") <= MAX_ID) & (F.col("dst") <= MAX_ID)).alias("n_kept"))
