@@ -33,6 +33,8 @@ from edgeframe.operators.common import (DEFAULT_BROADCAST_ROWS, bounded_broadcas
                                         written_table, written_table_observed)
 
 SEMANTICS = ("join", "semi", "distinct_pairs")
+
+
 def _zero():
     return F.lit(0).cast("bigint")
 
@@ -133,26 +135,12 @@ def _implicit_join_count(edges: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------ degree-ordered plan
 
-def _oriented_edges(m: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Split ``m`` into self-loops, 2-cycles and rank-oriented simple edges.
+def _orient(pairs: DataFrame) -> DataFrame:
+    """Orient undirected ``pairs(lo, hi, up, dn)`` from lower to higher rank.
 
-    Returns ``loops(v, s)``, ``pairs(lo, hi, up, dn)`` (multiplicities of
-    lo->hi and hi->lo for each undirected pair) and ``oriented(x, y, f, r)``
-    with rank(x) < rank(y), f = m(x,y), r = m(y,x).  rank = (degree, id).
+    Returns ``(x, y, f, r)`` with rank(x) < rank(y), f = m(x,y), r = m(y,x);
+    rank = (undirected degree, id).
     """
-    loops = m.where(F.col("src") == F.col("dst")).select(F.col("src").alias("v"),
-                                                         F.col("w").alias("s"))
-    nl = m.where(F.col("src") != F.col("dst"))
-    lo, hi = F.least("src", "dst"), F.greatest("src", "dst")
-    pairs = nl.groupBy(lo.alias("lo"), hi.alias("hi")).agg(
-        F.coalesce(F.sum(F.when(F.col("src") < F.col("dst"), F.col("w"))), _zero()).alias("up"),
-        F.coalesce(F.sum(F.when(F.col("src") > F.col("dst"), F.col("w"))), _zero()).alias("dn"))
-    _, _, oriented = _oriented_edges_from(pairs)
-    return loops, pairs, oriented
-
-
-def _oriented_edges_from(pairs: DataFrame) -> tuple[None, DataFrame, DataFrame]:
-    """Orient undirected ``pairs`` from lower to higher rank."""
     deg = pairs.select(F.col("lo").alias("v")).union(pairs.select(F.col("hi").alias("v"))) \
         .groupBy("v").agg(F.count(F.lit(1)).alias("d"))
     dl = deg.select(F.col("v").alias("lv"), F.col("d").alias("ld"))
@@ -164,7 +152,7 @@ def _oriented_edges_from(pairs: DataFrame) -> tuple[None, DataFrame, DataFrame]:
         F.when(lo_first, F.col("hi")).otherwise(F.col("lo")).alias("y"),
         F.when(lo_first, F.col("up")).otherwise(F.col("dn")).alias("f"),
         F.when(lo_first, F.col("dn")).otherwise(F.col("up")).alias("r"))
-    return None, pairs, oriented
+    return oriented
 
 
 def _triangles(oriented: DataFrame, n_oriented: int | None = None,
@@ -228,8 +216,7 @@ def _oriented_inputs(edges: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame,
         F.count_if(F.col("src") == F.col("dst")).alias("s")), "pairs")
     loops = und.where(F.col("lo") == F.col("hi")).select(F.col("lo").alias("v"), "s")
     pairs = und.where(F.col("lo") < F.col("hi")).select("lo", "hi", "up", "dn")
-    _, _, oriented = _oriented_edges_from(pairs)
-    oriented, seen = written_table_observed(oriented, "oriented", F.count(F.lit(1)).alias("n"))
+    oriented, seen = written_table_observed(_orient(pairs), "oriented", F.count(F.lit(1)).alias("n"))
     return loops, pairs, oriented, seen["n"]
 
 
