@@ -264,16 +264,40 @@ def closed_pairs_oriented(edges: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------ public entry
 
+def choose_strategy(edges: DataFrame, factor: float = 4.0) -> str:
+    """``broadcast`` (the path plan) when its 2-path stream is no larger than
+    ``factor * m^1.5`` - the worst case of the degree-ordered plan - else
+    ``oriented``.
+
+    Both figures come from one aggregate over the distinct edges: ``m`` and the
+    exact number of 2-paths ``sum over b of in(b) * out(b)``.  A hub with a
+    third of all edges makes the 2-path count quadratic and selects the
+    oriented plan; a graph without hubs takes the cheaper path plan (which
+    itself broadcasts only a proven-small edge table).
+    """
+    d = edges.select("src", "dst").distinct()
+    one = F.lit(1).cast("bigint")
+    tagged = d.select(F.col("src").alias("v"), one.alias("o"), _zero().alias("i")).union(
+        d.select(F.col("dst").alias("v"), _zero().alias("o"), one.alias("i")))
+    deg = tagged.groupBy("v").agg(F.sum("o").alias("o"), F.sum("i").alias("i"))
+    row = deg.agg(F.sum("o").alias("m"), F.sum(F.col("o") * F.col("i")).alias("paths")).first()
+    m, n_paths = row["m"] or 0, row["paths"] or 0
+    return "broadcast" if n_paths <= factor * m ** 1.5 else "oriented"
+
+
 def triangle_count(edges: DataFrame, semantics: str = "join", strategy: str = "oriented",
                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """One row: raw hits and ``triangles = hits div 3``.
 
     The hit column is ``closed_pairs`` for ``distinct_pairs`` and
     ``closed_paths`` otherwise.  ``strategy`` is ``oriented`` (default),
-    ``shuffle``, ``broadcast`` or ``implicit`` (join semantics only).
+    ``auto`` (see :func:`choose_strategy`), ``shuffle``, ``broadcast`` or
+    ``implicit`` (join semantics only).
     """
     if semantics not in SEMANTICS:
         raise ValueError(f"unknown semantics {semantics!r}")
+    if strategy == "auto":
+        strategy = choose_strategy(edges)
     if strategy == "oriented":
         hits = _count_oriented(edges, semantics)
     elif strategy in ("shuffle", "broadcast"):

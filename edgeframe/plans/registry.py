@@ -390,6 +390,11 @@ def q_path2_count(spark, d):
 
 @register("triangle_count_join", sql(_TRI_JOIN.format(v="eps"), "eps"))
 def q_triangle_count_join(spark, d):
+    return paths.triangle_count(edges_ps(spark, d), "join", "auto")
+
+
+@register("triangle_count_oriented", sql(_TRI_JOIN.format(v="eps"), "eps"))
+def q_triangle_count_oriented(spark, d):
     return paths.triangle_count(edges_ps(spark, d), "join", "oriented")
 
 
@@ -415,7 +420,7 @@ def q_triangle_count_semi(spark, d):
 
 @register("triangle_count_distinct_pairs", sql(_TRI_PAIRS.format(v="eps"), "eps"))
 def q_triangle_count_distinct_pairs(spark, d):
-    return paths.triangle_count(edges_ps(spark, d), "distinct_pairs", "oriented")
+    return paths.triangle_count(edges_ps(spark, d), "distinct_pairs", "auto")
 
 
 @register("triangle_count_distinct_pairs_shuffle", sql(_TRI_PAIRS.format(v="eps"), "eps"))

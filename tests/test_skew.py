@@ -39,3 +39,12 @@ def test_hub_degrees_and_bounded_lists(spark):
     assert sum(len(r["nbrs"]) for r in hub_rows) == N
     g = degrees.in_degree_group_collect(e, max_group=500).where("id = 0").first()
     assert g["followers"] == N
+
+
+def test_auto_strategy_follows_the_data(spark):
+    from edgeframe.sources.tables import edges_ps
+    from tests.conftest import SF001
+    assert paths.choose_strategy(hub_graph(spark)) == "oriented"
+    assert paths.choose_strategy(edges_ps(spark, SF001)) == "broadcast"
+    e = hub_graph(spark)
+    assert tuple(paths.triangle_count(e, "join", "auto").first()) == (3 * CLOSED, CLOSED)
