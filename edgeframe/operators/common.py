@@ -113,6 +113,47 @@ def bucketed_table(df: DataFrame, key: str, name: str, buckets: int | None = Non
     return (out, obs.get) if metrics else out
 
 
+class AppendTable:
+    """A table bucketed by ``key`` in the shared folder that grows by appends.
+
+    Iterative state that only ever gains rows (vertices reached by a search)
+    is appended round by round instead of rewritten: each round writes only
+    its new rows, and readers see the whole table with its bucket layout, so
+    joins on ``key`` against it need no exchange.  Without a usable catalog it
+    degrades to appended parquet files (same rows, no layout).
+    """
+
+    def __init__(self, df: DataFrame, key: str, name: str, buckets: int | None = None):
+        self.spark = df.sparkSession
+        self.key = key
+        self.n = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.path = scratch_path(self.spark, name)
+        self.table: str | None = f"edgeframe_{name}_{uuid.uuid4().hex[:12]}"
+        try:
+            df.repartition(self.n, key).write.bucketBy(self.n, key).option("path", self.path) \
+                .mode("overwrite").saveAsTable(self.table)
+        except Exception:  # noqa: BLE001 - no usable catalog
+            self.table = None
+            df.write.mode("overwrite").parquet(self.path)
+
+    def read(self) -> DataFrame:
+        if self.table is None:
+            return self.spark.read.parquet(self.path)
+        self.spark.catalog.refreshTable(self.table)
+        return self.spark.table(self.table)
+
+    def append(self, df: DataFrame, *metrics) -> dict:
+        """Append ``df`` (ideally already hash-partitioned by ``key``); returns
+        the observed ``metrics`` of the appended rows."""
+        obs = Observation(f"append_{uuid.uuid4().hex[:12]}")
+        src = df.observe(obs, *metrics) if metrics else df
+        if self.table is None:
+            src.write.mode("append").parquet(self.path)
+        else:
+            src.write.bucketBy(self.n, self.key).mode("append").saveAsTable(self.table)
+        return obs.get if metrics else {}
+
+
 def chunked_lists(pairs: DataFrame, key: str, item: str, max_group: int = DEFAULT_MAX_GROUP
                   ) -> DataFrame:
     """Group ``item`` values by ``key`` into lists of bounded length.

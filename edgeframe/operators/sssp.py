@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeframe.operators.common import bucketed_table
+from edgeframe.operators.common import AppendTable, bucketed_table
 from edgeframe.sources.tables import vertices_of
 
 SENTINEL = 2147483647
@@ -39,31 +39,26 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 def bfs(edges: DataFrame, source: int, rounds: int) -> tuple[DataFrame, DataFrame]:
     """Hop distances of vertices reached within ``rounds`` hops.
 
+    The visited set is one table bucketed by id that grows by appends; the
+    round-``r`` frontier is its ``dist = r - 1`` slice (older files are skipped
+    by parquet statistics).  A round's only exchange carries the newly reached
+    ids; the edge table and the visited set are read in place.
     Returns ``(dist(id, dist), trace(round, n_updated))``.
     """
     adj = bucketed_table(edges.select("src", "dst").distinct(), "src", "bfs_edges")
-    frontier = bucketed_table(_seed(edges, source), "id", "bfs_frontier0")
-    pieces = [frontier]
-    trace = []
+    visited = AppendTable(_seed(edges, source), "id", "bfs_visited")
     for r in range(1, rounds + 1):
+        seen = visited.read()
+        frontier = seen.where(F.col("dist") == r - 1)
         reached = frontier.join(adj, frontier["id"] == adj["src"]).select(adj["dst"].alias("id"))
-        new = reached.distinct().join(_union(pieces).select("id"), "id", "left_anti") \
+        new = reached.distinct().join(seen.select("id"), "id", "left_anti") \
             .select("id", F.lit(r).cast("bigint").alias("dist"))
-        # frontier pieces share the edge table's bucketing: the next round's
-        # frontier/edge join needs no exchange; the size is observed on write
-        new, seen = bucketed_table(new, "id", f"bfs_frontier{r}", shuffle=False,
-                                   metrics=(F.count(F.lit(1)).alias("n"),))
-        if seen["n"] == 0:
+        if visited.append(new, F.count(F.lit(1)).alias("n"))["n"] == 0:
             break
-        pieces.append(new)
-        trace.append(new.agg(F.lit(r).cast("bigint").alias("round"),
-                             F.count(F.lit(1)).alias("n_updated")))
-        frontier = new
-    if not trace:
-        trace = [frontier.where(F.lit(False)).agg(F.lit(0).cast("bigint").alias("round"),
-                                                   F.count(F.lit(1)).alias("n_updated"))
-                 .where(F.lit(False))]
-    return _union(pieces), _union(trace)
+    dist = visited.read()
+    trace = dist.where(F.col("dist") > 0).groupBy(F.col("dist").alias("round")) \
+        .agg(F.count(F.lit(1)).alias("n_updated"))
+    return dist, trace
 
 
 def bellman_ford(edges: DataFrame, source: int, rounds: int, weight: str = "w"

@@ -78,3 +78,23 @@ def test_size_estimate_gates_the_exact_count(spark, monkeypatch):
     monkeypatch.setattr(common, "EXACT_CHECK_BYTES", 1 << 30)
     _, applied = common.bounded_broadcast(e)
     assert applied and calls
+
+
+def test_bfs_round_reads_edges_and_visited_in_place(spark):
+    from pyspark.sql import functions as F
+    from edgeframe.operators.common import AppendTable, bucketed_table
+    e = edges_ps(spark, SF001)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        adj = bucketed_table(e.select("src", "dst").distinct(), "src", "t_bfs_adj")
+        visited = AppendTable(e.select(F.col("src").alias("id")).distinct()
+                              .select("id", F.lit(0).cast("bigint").alias("dist")), "id", "t_vis")
+        seen = visited.read()
+        frontier = seen.where(F.col("dist") == 0)
+        reached = frontier.join(adj, frontier["id"] == adj["src"]).select(adj["dst"].alias("id"))
+        new = reached.distinct().join(seen.select("id"), "id", "left_anti")
+        p = plan_text(new)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    main = p.split("\n\n")[0]
+    assert main.count("Exchange") == 1, main      # only the newly reached ids move
