@@ -19,6 +19,10 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 # this size, so proving "small" never costs a pass over a large input.
 EXACT_CHECK_BYTES = 1 << 30
 
+# A key with more rows than this is "hot": joined map-side against a broadcast
+# of the (few) hot lookup rows instead of being shuffled to one task.
+HOT_KEY_ROWS = 1_000_000
+
 # Largest list that one output row (adjacency line, materialised group) may hold.
 DEFAULT_MAX_GROUP = 1_000_000
 
@@ -45,6 +49,33 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return df, False
 
 
+def hot_key_join(big: DataFrame, lookup: DataFrame, key: str, count_col: str,
+                 threshold: int | None = None, max_hot: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Inner join of ``big`` with a one-row-per-key ``lookup`` on ``key``,
+    with hot keys split out.
+
+    ``lookup[count_col]`` bounds how many ``big`` rows carry each key (a degree
+    or group size).  Keys above ``threshold`` are hot; since the counts sum
+    to the size of ``big``, there are at most ``|big| / threshold`` of them,
+    and their count is also checked against ``max_hot``; with no hot key the
+    join is a single plain shuffle join.  Hot rows of ``big``
+    are joined map-side with a broadcast of the hot lookup rows; the other
+    rows go through a shuffle join in which no key has more than
+    ``threshold`` rows.  Both halves filter ``big`` map-side (broadcast semi /
+    anti joins), so a hot key is never shuffled.
+    """
+    threshold = HOT_KEY_ROWS if threshold is None else threshold
+    hot = lookup.where(F.col(count_col) > threshold)
+    n_hot = hot.limit(max_hot + 1).count()
+    if n_hot == 0 or n_hot > max_hot:   # no hot key (the usual case): one plain join
+        return big.join(lookup, key)
+    hot_keys = F.broadcast(hot.select(key))
+    hot_part = big.join(hot_keys, key, "left_semi").join(F.broadcast(hot), key)
+    cold_part = big.join(hot_keys, key, "left_anti").join(
+        lookup.where(F.col(count_col) <= threshold), key)
+    return hot_part.unionByName(cold_part)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin ``df`` over the session's shuffle partitions.
 
@@ -177,7 +208,7 @@ def chunked_lists(pairs: DataFrame, key: str, item: str, max_group: int = DEFAUL
     n_chunks = F.call_function("div", F.col("_tot") + (max_group - 1), F.lit(max_group))
     chunk = F.when(n_chunks <= 1, F.lit(0).cast("bigint")).otherwise(
         F.pmod(F.xxhash64(item, "_piece"), n_chunks))
-    tagged = pieces.join(totals, key).select(key, item, "_n", chunk.alias("chunk"))
+    tagged = hot_key_join(pieces, totals, key, "_tot").select(key, item, "_n", chunk.alias("chunk"))
     grouped = tagged.groupBy(key, "chunk").agg(
         F.sort_array(F.collect_list(F.struct(F.col(item).alias("v"), F.col("_n").alias("n"))))
         .alias("_vs"))

@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeframe.operators.common import bucketed_table
+from edgeframe.operators.common import bucketed_table, hot_key_join
 from edgeframe.sources.tables import vertices_of
 
 
@@ -44,8 +44,7 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, iters: int = 1
         inside = edges.join(verts.select(F.col("id").alias("dst")), "dst", "left_semi")
     od = inside.groupBy("src").agg(F.count(F.lit(1)).alias("od"))
     adj = bucketed_table(
-        inside.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w"))
-        .join(od, "src")
+        hot_key_join(inside.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w")), od, "src", "od")
         .select("src", "dst", (F.col("w") / F.col("od")).alias("share")), "src", "pr_edges", n_parts)
     vt = bucketed_table(
         verts.join(od.select(F.col("src").alias("id"), F.lit(False).alias("dangling")), "id", "left")

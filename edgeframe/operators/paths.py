@@ -29,8 +29,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from edgeframe.operators.common import (DEFAULT_BROADCAST_ROWS, bounded_broadcast, spread,
-                                        written_table, written_table_observed)
+from edgeframe.operators.common import (DEFAULT_BROADCAST_ROWS, bounded_broadcast, hot_key_join,
+                                        spread, written_table, written_table_observed)
 
 SEMANTICS = ("join", "semi", "distinct_pairs")
 
@@ -143,9 +143,10 @@ def _orient(pairs: DataFrame) -> DataFrame:
     """
     deg = pairs.select(F.col("lo").alias("v")).union(pairs.select(F.col("hi").alias("v"))) \
         .groupBy("v").agg(F.count(F.lit(1)).alias("d"))
-    dl = deg.select(F.col("v").alias("lv"), F.col("d").alias("ld"))
-    dh = deg.select(F.col("v").alias("hv"), F.col("d").alias("hd"))
-    ranked = pairs.join(dl, F.col("lo") == F.col("lv")).join(dh, F.col("hi") == F.col("hv"))
+    # degree lookups for both endpoints; a hub's pairs are joined map-side
+    dl = deg.select(F.col("v").alias("lo"), F.col("d").alias("ld"))
+    dh = deg.select(F.col("v").alias("hi"), F.col("d").alias("hd"))
+    ranked = hot_key_join(hot_key_join(pairs, dl, "lo", "ld"), dh, "hi", "hd")
     lo_first = F.col("ld") <= F.col("hd")   # equal degrees: the smaller id (lo) ranks first
     oriented = ranked.select(
         F.when(lo_first, F.col("lo")).otherwise(F.col("hi")).alias("x"),

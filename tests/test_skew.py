@@ -48,3 +48,26 @@ def test_auto_strategy_follows_the_data(spark):
     assert paths.choose_strategy(edges_ps(spark, SF001)) == "broadcast"
     e = hub_graph(spark)
     assert tuple(paths.triangle_count(e, "join", "auto").first()) == (3 * CLOSED, CLOSED)
+
+
+def test_hot_key_split_changes_nothing_but_the_plan(spark, monkeypatch):
+    from edgeframe.operators import common, pagerank
+    from edgeframe.plans.inspect import plan_text
+    e = hub_graph(spark)
+    deg = e.groupBy("src").agg(F.count(F.lit(1)).alias("n"))
+    plain = sorted(tuple(r) for r in e.join(deg, "src").collect())
+    split = common.hot_key_join(e, deg, "src", "n", threshold=100)
+    assert sorted(tuple(r) for r in split.select(*e.columns, "n").collect()) == plain
+    assert "BroadcastHashJoin" in plan_text(split)
+    before = (paths.triangle_count(e, "join", "oriented").first(),
+              sorted(tuple(r) for r in pagerank.pagerank(e, iters=3)[0].collect()),
+              sorted(tuple(r) for r in adjacency.adjacency_list(e, max_group=500).select("id", "nbrs")
+                     .collect()))
+    monkeypatch.setattr(common, "HOT_KEY_ROWS", 100)       # the hub (degree 3000+) is now hot
+    after = (paths.triangle_count(e, "join", "oriented").first(),
+             sorted(tuple(r) for r in pagerank.pagerank(e, iters=3)[0].collect()),
+             sorted(tuple(r) for r in adjacency.adjacency_list(e, max_group=500).select("id", "nbrs")
+                    .collect()))
+    assert after[0] == before[0] and after[2] == before[2]
+    assert [r[0] for r in after[1]] == [r[0] for r in before[1]]
+    assert all(abs(a[1] - b[1]) < 1e-15 for a, b in zip(after[1], before[1]))
