@@ -109,7 +109,7 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
     if args.strategy is None:
-        args.strategy = "merge" if args.job == "path2" else "oriented"
+        args.strategy = "merge" if args.job == "path2" else "auto"
     if spark is None:
         builder = SparkSession.builder.appName(f"edgeframe-{args.job}")
         if args.master:

@@ -17,11 +17,14 @@ Strategies:
 * ``broadcast`` - the replicated plan: the edge table is broadcast to every
   task when its row count is proven small; beyond the bound it falls back to
   ``shuffle``.
-* ``oriented``  - degree-ordered enumeration (default).  Each undirected
+* ``oriented``  - degree-ordered enumeration.  Each undirected
   triangle is found once, from its lowest-ranked vertex, by walking only
   towards higher-ranked vertices; a vertex has at most sqrt(2m) higher-ranked
   neighbours, so the wedge join is O(m^1.5) in total and a hub vertex never
   produces a quadratic group.  Self-loop walks are added by two keyed joins.
+* ``auto`` (default) - ``broadcast`` (path plan) unless the exact 2-path
+  count, from one degree aggregate, exceeds the oriented plan's worst case;
+  then ``oriented``.
 """
 
 from __future__ import annotations
@@ -286,13 +289,13 @@ def choose_strategy(edges: DataFrame, factor: float = 4.0) -> str:
     return "broadcast" if n_paths <= factor * m ** 1.5 else "oriented"
 
 
-def triangle_count(edges: DataFrame, semantics: str = "join", strategy: str = "oriented",
+def triangle_count(edges: DataFrame, semantics: str = "join", strategy: str = "auto",
                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """One row: raw hits and ``triangles = hits div 3``.
 
     The hit column is ``closed_pairs`` for ``distinct_pairs`` and
-    ``closed_paths`` otherwise.  ``strategy`` is ``oriented`` (default),
-    ``auto`` (see :func:`choose_strategy`), ``shuffle``, ``broadcast`` or
+    ``closed_paths`` otherwise.  ``strategy`` is ``auto`` (default, see
+    :func:`choose_strategy`), ``oriented``, ``shuffle``, ``broadcast`` or
     ``implicit`` (join semantics only).
     """
     if semantics not in SEMANTICS:

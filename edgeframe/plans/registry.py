@@ -415,6 +415,11 @@ def q_triangle_count_broadcast(spark, d):
 
 @register("triangle_count_semi", sql(_TRI_SEMI.format(v="eps"), "eps"))
 def q_triangle_count_semi(spark, d):
+    return paths.triangle_count(edges_ps(spark, d), "semi", "auto")
+
+
+@register("triangle_count_semi_oriented", sql(_TRI_SEMI.format(v="eps"), "eps"))
+def q_triangle_count_semi_oriented(spark, d):
     return paths.triangle_count(edges_ps(spark, d), "semi", "oriented")
 
 
