@@ -15,8 +15,6 @@ Unreached vertices are NULL inside and the sentinel 2147483647 on output.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,10 +30,6 @@ def _seed(edges: DataFrame, source: int) -> DataFrame:
                                  F.lit(0).cast("bigint").alias("dist"))
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
-
-
 def bfs(edges: DataFrame, source: int, rounds: int) -> tuple[DataFrame, DataFrame]:
     """Hop distances of vertices reached within ``rounds`` hops.
 
@@ -65,38 +59,33 @@ def bellman_ford(edges: DataFrame, source: int, rounds: int, weight: str = "w"
                  ) -> tuple[DataFrame, DataFrame]:
     """Hop-bounded weighted distances; ``edges`` carries a non-negative ``weight``.
 
-    The edge table and the distance table are bucketed by vertex id with the
-    same bucket count: a round shuffles only the candidate minima of the
-    active vertices, and the merged distances are written back bucket by bucket.
+    Improvements are appended round by round to one table bucketed by id:
+    ``(id, dist, round)``.  The current distance of a vertex is the minimum
+    of its rows (grouped by the bucket key, so without an exchange) and the
+    active set is the newest round's slice; a round shuffles only the
+    candidate minima of the active vertices.
     Returns ``(dist(id, dist), trace(round, n_updated))``.
     """
     adj = bucketed_table(edges.groupBy("src", "dst").agg(F.min(weight).cast("bigint").alias("w")),
                          "src", "bf_edges")
-    dist = bucketed_table(_seed(edges, source), "id", "bf_dist0")
-    active = dist
-    trace = []
+    state = AppendTable(_seed(edges, source).withColumn("round", F.lit(0).cast("bigint")),
+                        "id", "bf_state")
     for r in range(1, rounds + 1):
+        seen = state.read()
+        best = seen.groupBy("id").agg(F.min("dist").alias("od"))
+        active = seen.where(F.col("round") == r - 1)
         cand = active.join(adj, active["id"] == adj["src"]).groupBy(adj["dst"].alias("id")) \
             .agg(F.min(active["dist"] + adj["w"]).alias("nd"))
-        old = dist.select("id", F.col("dist").alias("od"))
-        improved = cand.join(old, "id", "left") \
+        improved = cand.join(best, "id", "left") \
             .where(F.col("od").isNull() | (F.col("nd") < F.col("od"))) \
-            .select("id", F.col("nd").alias("dist"))
-        improved, seen = bucketed_table(improved, "id", f"bf_improved{r}", shuffle=False,
-                                        metrics=(F.count(F.lit(1)).alias("n"),))
-        if seen["n"] == 0:
+            .select("id", F.col("nd").alias("dist"), F.lit(r).cast("bigint").alias("round"))
+        if state.append(improved, F.count(F.lit(1)).alias("n"))["n"] == 0:
             break
-        upd = improved.select("id", F.col("dist").alias("nd"))
-        dist = bucketed_table(dist.join(upd, "id", "full_outer")
-                              .select("id", F.coalesce("nd", "dist").alias("dist")),
-                              "id", f"bf_dist{r}", shuffle=False)
-        trace.append(improved.agg(F.lit(r).cast("bigint").alias("round"),
-                                  F.count(F.lit(1)).alias("n_updated")))
-        active = improved
-    if not trace:
-        trace = [dist.agg(F.lit(0).cast("bigint").alias("round"),
-                          F.count(F.lit(1)).alias("n_updated")).where(F.lit(False))]
-    return dist, _union(trace)
+    final = state.read()
+    dist = final.groupBy("id").agg(F.min("dist").alias("dist"))
+    trace = final.where(F.col("round") > 0).groupBy("round") \
+        .agg(F.count(F.lit(1)).alias("n_updated"))
+    return dist, trace
 
 
 def sssp(edges: DataFrame, source: int, rounds: int = 10, weight: str | None = None,
