@@ -61,3 +61,15 @@ def test_degree_identities(spark):
     exact = sum(o * i for o, i in d.values())
     assert paths.path2_count(df).first()[0] == exact == paths.path2(df).count()
     assert degrees.path2_exact_total(df).first()[0] == exact
+
+
+@pytest.mark.parametrize("seed", [11, 12, 13])
+def test_dense_loops_and_two_cycles_match_brute_force(spark, seed):
+    rnd = random.Random(seed)
+    pairs = [(rnd.randrange(4), rnd.randrange(4)) for _ in range(60)]   # many loops / 2-cycles
+    want = brute(pairs)
+    df = make_edges(spark, pairs)
+    for strategy in ("oriented", "broadcast", "auto"):
+        got = tuple(paths.triangle_count(df, s, strategy).first()[0]
+                    for s in ("join", "semi", "distinct_pairs"))
+        assert got == want, strategy
