@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from edgeframe.llm import bpe, decontaminate, fertility
+from edgeframe.llm import bpe, decontaminate, fertility, phrase_dedup, suffix_dedup
 from edgeframe.llm.textcol import table
 
 
@@ -18,11 +18,20 @@ def op2_fertility(spark, sf_dir):
                             public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.removed(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_fertility, op7_bpe)}
+def op10_phrase_dedup(spark, sf_dir):
+    return phrase_dedup.removed(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_decontaminate, op2_fertility, op6_suffix_dedup, op7_bpe, op10_phrase_dedup)}
 
 _WORDS = (r"coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
           r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []::VARCHAR[])")
@@ -43,4 +52,30 @@ it AS (SELECT rid, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (rid) LEFT JOIN it USING (rid)""",
+    "op6_suffix_dedup": """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+u AS (SELECT rid, doc_id, unnest(range(1, len(h) // 2 + 1)) AS p, unnest(regexp_extract_all(h, '..')) AS b,
+             unnest(list_transform(range(1, len(h) // 2 + 1),
+                                   lambda i: CASE WHEN i + 99 <= len(h) // 2 THEN md5(substr(h, 2 * i - 1, 200)) END)) AS s
+      FROM d),
+w AS (SELECT rid, p, b, s IS NOT NULL AND row_number() OVER (PARTITION BY s ORDER BY doc_id, p) > 1 AS again FROM u),
+c AS (SELECT rid, p, b, bool_or(again) OVER (PARTITION BY rid ORDER BY p ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)
+             AS gone FROM w),
+e AS (SELECT rid, p, b, gone, gone AND NOT lag(gone, 1, false) OVER (PARTITION BY rid ORDER BY p) AS new FROM c),
+k AS (SELECT rid, count(*) FILTER (gone) AS n_removed, count(*) FILTER (new) AS n_spans,
+             string_agg(b, '' ORDER BY p) FILTER (NOT gone) AS kept FROM e GROUP BY rid)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN k USING (rid)""",
+    "op10_phrase_dedup": r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT rid, i, row_number() OVER (PARTITION BY array_to_string(ws[i:i + 19], ' ') ORDER BY doc_id, i) > 1 AS again
+      FROM d, unnest(range(1, len(ws) - 18)) t(i)),
+hit AS (SELECT DISTINCT rid, unnest(range(i, i + 20)) AS p FROM w WHERE again),
+n AS (SELECT rid, count(*) AS n_removed FROM hit GROUP BY rid),
+u AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM d),
+k AS (SELECT rid, string_agg(word, ' ' ORDER BY p) AS kept FROM u ANTI JOIN hit USING (rid, p) GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN n USING (rid) LEFT JOIN k USING (rid)""",
 }
