@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from edgeframe.llm import bpe, decontaminate, fertility, phrase_dedup, suffix_dedup
+from edgeframe.llm import bpe, decontaminate, fertility, near_dup, phrase_dedup, suffix_dedup
 from edgeframe.llm.textcol import table
 
 
@@ -26,12 +26,16 @@ def op7_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_near_dup(spark, sf_dir):
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_phrase_dedup(spark, sf_dir):
     return phrase_dedup.removed(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_decontaminate, op2_fertility, op6_suffix_dedup, op7_bpe, op10_phrase_dedup)}
+    op1_decontaminate, op2_fertility, op6_suffix_dedup, op7_bpe, op9_near_dup, op10_phrase_dedup)}
 
 _WORDS = (r"coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
           r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []::VARCHAR[])")
