@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from edgeframe.llm import bpe, decontaminate, fertility, near_dup, phrase_dedup, suffix_dedup
+from edgeframe.llm import bpe, decontaminate, fertility, langid, near_dup, phrase_dedup, quality, suffix_dedup
 from edgeframe.llm.textcol import table
 
 
@@ -18,6 +18,10 @@ def op2_fertility(spark, sf_dir):
                             public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op5_quality(spark, sf_dir):
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_suffix_dedup(spark, sf_dir):
     return suffix_dedup.removed(table(spark, sf_dir, "documents"))
 
@@ -26,6 +30,10 @@ def op7_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_langid(spark, sf_dir):
+    return langid.predictions(table(spark, sf_dir, "documents"))
+
+
 def op9_near_dup(spark, sf_dir):
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -35,7 +43,7 @@ def op10_phrase_dedup(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_decontaminate, op2_fertility, op6_suffix_dedup, op7_bpe, op9_near_dup, op10_phrase_dedup)}
+    op1_decontaminate, op2_fertility, op5_quality, op6_suffix_dedup, op7_bpe, op8_langid, op9_near_dup, op10_phrase_dedup)}
 
 _WORDS = (r"coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
           r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []::VARCHAR[])")
