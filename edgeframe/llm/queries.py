@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from edgeframe.llm import bpe, decontaminate, fertility, langid, near_dup, phrase_dedup, quality, suffix_dedup
+from edgeframe.llm import bpe, decontaminate, fertility, hilbert, langid, near_dup, phrase_dedup, quality, suffix_dedup, url_templates
 from edgeframe.llm.textcol import table
 
 
@@ -18,6 +18,15 @@ def op2_fertility(spark, sf_dir):
                             public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op3_url_templates(spark, sf_dir):
+    return url_templates.verdicts(table(spark, sf_dir, "pages"),
+                                  url_templates.page_labels(table(spark, sf_dir, "labels")), url_templates.last_number())
+
+
+def op4_hilbert(spark, sf_dir):
+    return hilbert.placed(table(spark, sf_dir, "documents"))
+
+
 def op5_quality(spark, sf_dir):
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,7 +52,8 @@ def op10_phrase_dedup(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_decontaminate, op2_fertility, op5_quality, op6_suffix_dedup, op7_bpe, op8_langid, op9_near_dup, op10_phrase_dedup)}
+    op1_decontaminate, op2_fertility, op3_url_templates, op4_hilbert, op5_quality, op6_suffix_dedup,
+    op7_bpe, op8_langid, op9_near_dup, op10_phrase_dedup)}
 
 _WORDS = (r"coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
           r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []::VARCHAR[])")
