@@ -1,13 +1,13 @@
 """Corpus pipeline: quality rules, near-duplicate and substring removal, benchmark
-decontamination, BPE encoding.  ``STAGES`` are applied in order, each to what the one before
-it kept; every stage's result is written as Parquet and read again."""
+decontamination, BPE encoding.  ``STAGES`` are applied in order, each to all that the one before
+it kept; every stage's result but the last is written as Parquet and read again."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from edgeframe.llm import bpe, decontaminate, fertility
+from edgeframe.llm import bpe, decontaminate, fertility, near_dup, suffix_dedup
 from edgeframe.llm.textcol import table, written
 
 
@@ -17,6 +17,16 @@ def quality_rules(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
                           public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates the document of the least id stays."""
+    return near_dup.keep_one(docs)
+
+
+def suffix_array_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes in 100-byte strings that also start earlier go; every document stays."""
+    return suffix_dedup.rewrite(docs)
+
+
 def benchmark_decontamination(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a window of a benchmark item go."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -27,10 +37,12 @@ def bpe_encoding(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("quality_rules", quality_rules), ("benchmark_decontamination", benchmark_decontamination),
-          ("bpe_encoding", bpe_encoding)]
+STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates),
+          ("suffix_array_dedup", suffix_array_dedup),
+          ("benchmark_decontamination", benchmark_decontamination), ("bpe_encoding", bpe_encoding)]
 
-#: near-duplicate sampling cannot be said in SQL; tests/llm compares run() with brute force
+#: consistent weighted sampling and the fertility bands cannot be said in SQL: tests/llm compares
+#: run() with a brute-force version
 ORACLE_SQL = None
 
 

@@ -17,8 +17,9 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
-from edgeframe.llm.recurrence import BASE, covered, mixed, with_marks, word_units
+from edgeframe.llm.recurrence import BASE, covered, mixed, rewritten, with_marks, word_units
 from edgeframe.llm.textcol import column, slices, sums, texts
 
 LENGTH = 20
@@ -69,9 +70,10 @@ def equal_windows(length: int):
 
 
 def removed(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id",
-            text_col: str = "text", with_text: bool = False) -> DataFrame:
+            text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """Query op10, one row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256 (the
-    remaining words joined by one blank); ``with_text`` adds ``tag`` and ``kept``.  Null and
+    remaining words joined by one blank); ``carry`` adds ``kept`` and
+    ``rest`` (a struct of these columns).  Null and
     empty texts have no words; rows that agree in id and text are one document and get the same
     figures; of documents that share an id, the one of the smaller hash comes first; a null id
     comes before all."""
@@ -90,10 +92,18 @@ def removed(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str
                 at += len(w)
             out = {"doc_id": column(b, "doc_id"), "n_words": pa.array(n), "n_removed": pa.array(gone),
                    "kept_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in kept], pa.string())}
-            if with_text:
-                out |= {"tag": column(b, "tag"), "kept": pa.array([t.decode() for t in kept], pa.string())}
+            if carry:
+                out |= {"kept": pa.array([t.decode() for t in kept], pa.string()), "rest": column(b, "rest")}
             yield pa.RecordBatch.from_pydict(out)
 
-    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-    marked = with_marks(docs, word_units, length, gram, equal_windows(length), id_col, text_col)
-    return marked.mapInArrow(cut, schema + ", tag long, kept string" * with_text)
+    marked = with_marks(docs, word_units, length, gram, equal_windows(length), id_col, text_col, carry)
+    schema = StructType.fromDDL("doc_id long, n_words long, n_removed long, kept_sha256 string")
+    if carry:
+        schema = schema.add("kept", "string").add(marked.schema["rest"])
+    return marked.mapInArrow(cut, schema)
+
+
+def rewrite(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` with what remains of their texts; nothing is dropped."""
+    cut = removed(docs, id_col=id_col, text_col=text_col, carry=tuple(docs.columns), **options)
+    return rewritten(docs, cut, id_col, text_col)

@@ -116,12 +116,13 @@ def anchors(u: Units, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, n
     return doc[at], start[at], np.diff(at, append=len(start)), (least[at] >> np.uint64(7)).astype(np.int64)
 
 
-def tagged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(tag, key, doc_id, text).  The key orders documents (the id, null first), the tag breaks
-    ties; rows that agree in id and text are one document."""
+def tagged(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(tag, key, doc_id, text, rest).  The key orders documents (the id, null first), the tag breaks
+    ties; rows that agree in id and text are one document.  ``rest`` holds the ``carry`` columns."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rest = [F.struct(*carry).alias("rest")] if carry else []
     return docs.select(F.xxhash64(doc_key(id_col), text).alias("tag"), doc_key(id_col).alias("key"),
-                       F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+                       F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), *rest)
 
 
 def recurring_hashes(docs: DataFrame, units: Callable, length: int, gram: int, buckets: int) -> DataFrame:
@@ -273,10 +274,10 @@ def verdicts(cut: DataFrame, length: int, partitions: int, find: Callable) -> Da
 
 
 def with_marks(docs: DataFrame, units: Callable, length: int, gram: int, find: Callable, id_col: str = "doc_id",
-               text_col: str = "text") -> DataFrame:
-    """(tag, key, doc_id, text, marks): marks are structs (key, lo, n), null where none."""
+               text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """``tagged`` rows with ``marks``: structs (key, lo, n), null where none."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    source = tagged(docs, id_col, text_col)
+    source = tagged(docs, id_col, text_col, carry)
     dealt = source.repartition(parts, "tag")
     answers = recurring_hashes(source, units, length, gram, 4 * parts)
     cut = contexts(dealt.join(answers.hint("shuffle_hash"), "tag"), units, length, gram)
@@ -302,6 +303,13 @@ def covered(b: pa.RecordBatch, ends: np.ndarray, length: int) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
+def rewritten(docs: DataFrame, cut: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The columns of ``docs`` from rows (rest, kept): the text is what was kept, ``n_chars`` (where
+    there is one) its length, all others as they were."""
+    new = {text_col: F.col("kept"), "n_chars": F.length("kept").cast(dict(docs.dtypes).get("n_chars", "long"))}
+    return cut.select(*[new.get(c, F.col("rest").getField(c)).alias(c) for c in docs.columns])
+
+
 def runs(hit: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Per document the number of maximal runs of hit units."""
     new = hit.copy()

@@ -20,9 +20,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from edgeframe.llm.recurrence import byte_units, covered, runs, with_marks
+from edgeframe.llm.recurrence import byte_units, covered, rewritten, runs, with_marks
 from edgeframe.llm.textcol import column, slices, sums, utf8
 
 LENGTH = 100
@@ -144,10 +144,11 @@ def equal_windows(length: int):
 
 
 def removed(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id",
-            text_col: str = "text", with_text: bool = False) -> DataFrame:
+            text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """Query op6, one row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256;
-    ``with_text`` adds ``tag`` and ``kept`` (the remaining bytes; a character of which only a
-    part remains is left out).  Null and empty texts have no bytes; rows that agree in id and
+    ``carry`` adds
+    ``kept`` (the remaining bytes; a character of which only a part remains is left out) and ``rest``
+    (a struct of these columns).  Null and empty texts have no bytes; rows that agree in id and
     text are one document and get the same figures; of documents that share an id, the one of
     the smaller hash comes first; a null id comes before all."""
 
@@ -163,11 +164,19 @@ def removed(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str
             out = {"doc_id": column(b, "doc_id"), "n_bytes": pa.array(np.diff(off)), "n_removed": pa.array(gone),
                    "n_spans": pa.array(runs(hit, ends)),
                    "kept_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in kept], pa.string())}
-            if with_text:
-                out |= {"tag": column(b, "tag"),
-                        "kept": pa.array([t.decode("utf-8", "ignore") for t in kept], pa.string())}
+            if carry:
+                out |= {"kept": pa.array([t.decode("utf-8", "ignore") for t in kept], pa.string()),
+                        "rest": column(b, "rest")}
             yield pa.RecordBatch.from_pydict(out)
 
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    marked = with_marks(docs, byte_units, length, gram, equal_windows(length), id_col, text_col)
-    return marked.mapInArrow(cut, schema + ", tag long, kept string" * with_text)
+    marked = with_marks(docs, byte_units, length, gram, equal_windows(length), id_col, text_col, carry)
+    schema = StructType.fromDDL("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    if carry:
+        schema = schema.add("kept", "string").add(marked.schema["rest"])
+    return marked.mapInArrow(cut, schema)
+
+
+def rewrite(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` with what remains of their texts; nothing is dropped."""
+    cut = removed(docs, id_col=id_col, text_col=text_col, carry=tuple(docs.columns), **options)
+    return rewritten(docs, cut, id_col, text_col)

@@ -63,7 +63,7 @@ def test_suffix_removal(spark, seed):
     rows = corpus(seed, "abé\n", 6, 60)
     want = brute(rows, 12, lambda t: list(t.encode()), bytes)
     got = suffix_dedup.removed(spark.createDataFrame(rows, "doc_id long, text string").repartition(3),
-                               length=12, gram=4, with_text=False).collect()
+                               length=12, gram=4).collect()
     assert len(got) == len(rows)
     assert sorted(tuple(r) for r in got) == sorted((d, *want[d, t]) for d, t in rows)
 
