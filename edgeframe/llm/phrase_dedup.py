@@ -24,6 +24,8 @@ from edgeframe.llm.textcol import column, slices, sums, texts
 
 LENGTH = 20
 GRAM = 8
+#: context bytes compiled into one automaton
+BATCH_BYTES = 512 << 10
 
 
 def window_hashes(word: np.ndarray, length: int) -> np.ndarray:
@@ -96,7 +98,7 @@ def removed(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str
                 out |= {"kept": pa.array([t.decode() for t in kept], pa.string()), "rest": column(b, "rest")}
             yield pa.RecordBatch.from_pydict(out)
 
-    marked = with_marks(docs, word_units, length, gram, equal_windows(length), id_col, text_col, carry)
+    marked = with_marks(docs, word_units, length, gram, equal_windows(length), id_col, text_col, carry, BATCH_BYTES)
     schema = StructType.fromDDL("doc_id long, n_words long, n_removed long, kept_sha256 string")
     if carry:
         schema = schema.add("kept", "string").add(marked.schema["rest"])

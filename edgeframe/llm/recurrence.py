@@ -34,9 +34,10 @@ from pyspark.sql import functions as F
 
 from edgeframe.llm.textcol import column, doc_key, slices, sums, texts, utf8
 
-#: text that a task gathers before it packs its anchors, and context bytes judged at a time
+#: text that a task gathers before it packs its anchors, and context bytes judged at a time: a
+#: suffix array takes some 60 bytes for each, an automaton several hundred
 PACK_BYTES = 32 << 20
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 #: contexts that a task remembers; the memory starts anew when it is full
 SEEN = 200_000
 
@@ -212,7 +213,7 @@ def contexts(joined: DataFrame, units: Callable, length: int, gram: int) -> Data
     return joined.mapInArrow(cut, "h long, key long, tag long, lo long, n long, ctx binary")
 
 
-def verdicts(cut: DataFrame, length: int, partitions: int, find: Callable) -> DataFrame:
+def verdicts(cut: DataFrame, length: int, partitions: int, find: Callable, batch_bytes: int) -> DataFrame:
     """Marks (tag, key, lo, n): windows lo .. lo + n - 1 of the document start earlier elsewhere.
 
     ``find(passages, n)`` gets distinct passages and their numbers of windows, and returns for
@@ -224,7 +225,7 @@ def verdicts(cut: DataFrame, length: int, partitions: int, find: Callable) -> Da
             if b is not None and b.num_rows:
                 held.append(b)
                 size += b.get_total_buffer_size()
-            if held and (b is None or size >= BATCH_BYTES):
+            if held and (b is None or size >= batch_bytes):
                 t = pa.Table.from_batches(held).combine_chunks()
                 h = column(t.to_batches()[0], "h").to_numpy()
                 # the last hash may go on in the next batch, unless it is all there is
@@ -274,14 +275,14 @@ def verdicts(cut: DataFrame, length: int, partitions: int, find: Callable) -> Da
 
 
 def with_marks(docs: DataFrame, units: Callable, length: int, gram: int, find: Callable, id_col: str = "doc_id",
-               text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+               text_col: str = "text", carry: tuple[str, ...] = (), batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """``tagged`` rows with ``marks``: structs (key, lo, n), null where none."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     source = tagged(docs, id_col, text_col, carry)
     dealt = source.repartition(parts, "tag")
     answers = recurring_hashes(source, units, length, gram, 4 * parts)
     cut = contexts(dealt.join(answers.hint("shuffle_hash"), "tag"), units, length, gram)
-    found = (verdicts(cut, length, parts, find).groupBy("tag")
+    found = (verdicts(cut, length, parts, find, batch_bytes).groupBy("tag")
              .agg(F.collect_list(F.struct("key", "lo", "n")).alias("marks")))
     return dealt.join(found.hint("shuffle_hash"), "tag", "left")
 
