@@ -5,8 +5,9 @@ rest, each host's paths form a tree of templates:
 
 * digits become ``#``; a node with more than ``FANOUT`` children keeps those that hold
   ``HEAVY`` of its pages and turns the others into the wildcard ``*``;
-* sibling templates that differ in their last literal segment, and whose share of bad labelled
-  pages is within ``Z`` standard errors of their pooled share, merge (the segment becomes ``~``);
+* sibling templates that differ in their last literal segment merge if a two-proportion test
+  (``Z``) cannot tell their shares of bad labelled pages apart: in the order of the shares, a
+  template joins the one before it (the segment becomes ``~`` and the number of the group);
 * a template's purity is its share of good labelled pages, smoothed with ``PRIOR`` pages towards
   its host's share, which is smoothed towards the share of all; below ``LEAST`` it is blocked.
 
@@ -100,10 +101,16 @@ def judged_templates(tree: DataFrame, z: float = Z, prior: float = PRIOR, least:
     kin = Window.partitionBy("host", "family")
     labelled = F.col("good") + F.col("bad")
     t = t.withColumn("family", open_end).withColumns({
-        "pool": F.sum("bad").over(kin) / F.nullif(F.sum(labelled).over(kin), F.lit(0)), "kin": F.count(F.lit(1)).over(kin)})
-    error = F.sqrt(F.col("pool") * (1 - F.col("pool")) / labelled)
-    near = (labelled == 0) | (F.abs(F.col("bad") / labelled - F.col("pool")) <= z * error)
-    t = t.withColumn("merged", F.when((F.col("kin") > 1) & near, F.col("family")).otherwise(F.col("template")))
+        "pool": F.sum("bad").over(kin) / F.nullif(F.sum(labelled).over(kin), F.lit(0))})
+    pool = F.coalesce("pool", F.lit(0.0))
+    ordered = kin.orderBy("share", "template")
+    t = t.withColumn("share", (F.col("bad") + pool) / (labelled + 1))
+    error = F.sqrt(pool * (1 - pool) * (1 / (labelled + 1) + 1 / (F.lag(labelled).over(ordered) + 1)))
+    apart = F.coalesce((F.col("share") - F.lag("share").over(ordered) > z * error).cast("int"), F.lit(0))
+    t = t.withColumn("apart", apart).withColumn("group", F.sum("apart").over(ordered))
+    t = t.withColumn("alike", F.count(F.lit(1)).over(Window.partitionBy("host", "family", "group")))
+    t = t.withColumn("merged", F.when(F.col("alike") > 1, F.replace("family", F.lit("~"), F.concat(
+        F.lit("~"), F.col("group").cast("string")))).otherwise(F.col("template")))
     same, host = Window.partitionBy("host", "merged"), tree.groupBy("host").agg(
         F.sum("good").alias("host_good"), F.sum(labelled).alias("host_labelled"))
     total = host.agg(F.sum("host_good").alias("g"), F.sum("host_labelled").alias("l")).collect()[0]
