@@ -8,7 +8,7 @@ written as TAB-separated text into ``--output`` (overwritten).  The session
 comes from ``spark-submit`` (or a local one with ``--master``).
 
 Jobs: maxfilter, indegree, path2, triangles, cardinality, adjacency, sample,
-sssp, pagerank, seeds, kmeans.
+sssp, longest, pagerank, seeds, kmeans.  ``longest`` reads search-state lines.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from edgeframe.operators import adjacency, degrees, kmeans, pagerank, paths, relational, sampling, sssp
 from edgeframe.sources import files
+from edgeframe.sources.tables import vertices_of
 
 
 def _edges(spark: SparkSession, args) -> DataFrame:
@@ -47,7 +48,7 @@ def run(spark: SparkSession, args) -> None:
               "fold": degrees.in_degree_fold_zero, "group": degrees.in_degree_group_collect}
         _write(fn[args.variant](e), args)
     elif job == "path2":
-        _write(paths.path2(_edges(spark, args), args.strategy), args)
+        _write(paths.path2(_edges(spark, args), args.strategy), args)   # --max has filtered the edges
     elif job == "triangles":
         _write(paths.triangle_count(_edges(spark, args), args.semantics, args.strategy), args)
     elif job == "cardinality":
@@ -62,22 +63,34 @@ def run(spark: SparkSession, args) -> None:
         s = sampling.sample_vertices(e.select(F.col("src").alias("id")), args.k, args.seed, args.source)
         _write(sampling.sample_edges(e, s), args)
     elif job == "sssp":
-        e = _edges(spark, args)
+        e = adjacency.edges_from_adjacency(files.read_adjacency_text(spark, args.input)) \
+            if args.format == "adjacency" else _edges(spark, args)
         if args.weight_mod:
             e = e.withColumn("w", 1 + F.col("src") % args.weight_mod)
         d = sssp.sssp(e, args.source, args.rounds, weight="w" if args.weight_mod else None)
         _write(d, args)
         files.write_pairs_tsv(sssp.farthest_vertex(d), args.output + "_longest")
     elif job == "pagerank":
-        ranks, trace = pagerank.pagerank(_edges(spark, args), iters=args.iters, damping=args.damping)
+        e, verts = _edges(spark, args), None
+        if args.vertices:
+            verts = files.read_vertices(spark, args.vertices)
+        elif args.dummy is not None:
+            verts = vertices_of(e).where(F.col("id") != args.dummy)
+        ranks, trace = pagerank.pagerank(e, verts, iters=args.iters, damping=args.damping)
         _write(ranks, args)
         files.write_pairs_tsv(trace, args.output + "_trace")
+    elif job == "longest":
+        _write(sssp.longest_distance(files.read_search_state(spark, args.input)), args)
     elif job == "seeds":
         _write(kmeans.equal_interval_seeds(_points(spark, args), args.k), args)
     elif job == "kmeans":
         pts = _points(spark, args)
-        seeds = [int(x) for x in args.seeds.split(",")] if args.seeds else \
-            kmeans.equal_interval_seeds(pts, args.k)
+        if args.centroids:
+            seeds = files.read_centroids(spark, args.centroids)
+        elif args.seeds:
+            seeds = [int(x) for x in args.seeds.split(",")]
+        else:
+            seeds = kmeans.equal_interval_seeds(pts, args.k)
         clusters, trace = kmeans.kmeans_1d(pts, seeds, args.iters)
         _write(clusters, args)
         files.write_pairs_tsv(trace, args.output + "_sse")
@@ -98,6 +111,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--k", type=int, default=4)
     p.add_argument("--seed", type=int, default=42)
     p.add_argument("--seeds", default=None, help="comma-separated initial centroids")
+    p.add_argument("--centroids", default=None, help="file of initial centroids, as `seeds` writes it")
+    p.add_argument("--format", default="csv", choices=["csv", "adjacency"], help="edge file of sssp")
+    p.add_argument("--vertices", default=None, help="vertex file of pagerank, one id a line")
+    p.add_argument("--dummy", type=int, default=None, help="edge target that is no vertex of pagerank")
     p.add_argument("--source", type=int, default=1)
     p.add_argument("--rounds", type=int, default=10)
     p.add_argument("--weight-mod", type=int, default=0, help="weight = 1 + src %% N (0: unweighted)")

@@ -83,12 +83,16 @@ def contains_value(values: Column, value) -> Column:
 
 
 def nearest_value(v: Column, candidates: Sequence[int]) -> Column:
-    """The candidate closest to ``v``; ties go to the smallest candidate.
+    """The candidate closest to the integer ``v``; ties go to the smallest candidate.
 
-    ``candidates`` is a short literal list (K centroids), so this is a narrow
-    per-row expression: no join, no shuffle of the points.
+    ``candidates`` is a short literal list (K centroids): a chain of comparisons
+    with the midpoints of neighbours, which stays inside whole-stage codegen.
     """
-    arr = F.array(*[F.lit(int(c)).cast("bigint") for c in candidates])
-    best = F.array_min(F.transform(arr, lambda c: F.struct(F.abs(c - v).alias("d"),
-                                                           c.alias("c"))))
-    return best.getField("c")
+    cs = sorted({int(c) for c in candidates})
+    lit = lambda c: F.lit(c).cast("bigint")
+    if not cs:
+        return lit(None)
+    chain = F.when(v.isNull(), lit(None))
+    for a, b in zip(cs, cs[1:]):
+        chain = chain.when(v <= lit((a + b) // 2), lit(a))
+    return chain.otherwise(lit(cs[-1]))

@@ -13,16 +13,16 @@ def adjacency_list(edges: DataFrame, max_group: int = DEFAULT_MAX_GROUP) -> Data
     """``(id, chunk, nbrs array<bigint>)``: neighbours sorted, duplicates kept.
 
     One row per source vertex unless it has more than ``max_group`` out-edges;
-    such a hub is split over several rows (chunks) so no single task holds its
-    whole list.
+    such a hub's sorted list is cut into chunks 0, 1, ... of ``max_group`` items
+    (the last may have fewer), so no single task holds its whole list.
     """
     lists = chunked_lists(edges.select(F.col("src").alias("id"), "dst"), "id", "dst", max_group)
     return lists.select("id", "chunk", F.col("items").alias("nbrs"))
 
 
 def adjacency_text(adj: DataFrame) -> DataFrame:
-    """``(id, adj)`` with the neighbour list as a ``n1,n2,...`` string."""
-    return adj.select("id", joined(F.col("nbrs")).alias("adj"))
+    """``(id, chunk, adj)`` with the neighbour list as a ``n1,n2,...`` string."""
+    return adj.select("id", "chunk", joined(F.col("nbrs")).alias("adj"))
 
 
 def edges_from_adjacency(adj: DataFrame) -> DataFrame:
@@ -36,13 +36,16 @@ def explode_messages(adj: DataFrame) -> DataFrame:
     The ``flatMap`` of the reference's search step, without distances.
     """
     to_nbrs = adj.select(F.explode("nbrs").alias("id"), F.col("id").alias("msg"))
-    own = adj.where(F.col("chunk") == 0) if "chunk" in adj.columns else adj
+    own = adj.select("id").distinct()
     return to_nbrs.unionByName(own.select("id", F.col("id").alias("msg")))
 
 
 def append_marker(adj: DataFrame, value: int) -> DataFrame:
-    """``(id, adj)``: the sorted list with ``value`` appended, joined by ``,``."""
-    return adj.select("id", joined(append_value(F.col("nbrs"), value)).alias("adj"))
+    """``(id, chunk, adj)``: the sorted list with ``value`` appended, joined by ``,``; of a list in
+    chunks the last one gets it."""
+    last = adj.groupBy("id").agg(F.max("chunk").alias("chunk")).withColumn("last", F.lit(True))
+    nbrs = F.when(F.col("last"), append_value(F.col("nbrs"), value)).otherwise(F.col("nbrs"))
+    return adj.join(last, ["id", "chunk"], "left").select("id", "chunk", joined(nbrs).alias("adj"))
 
 
 def vertices_listing(adj: DataFrame, value: int) -> DataFrame:

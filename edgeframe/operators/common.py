@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 import uuid
@@ -41,37 +41,62 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     frame is returned unhinted, so the planner uses a shuffle join (and AQE may
     still switch to a broadcast at run time from real shuffle sizes).
     """
-    est = estimated_bytes(df)
-    if est is not None and est > EXACT_CHECK_BYTES:
+    if estimated_bytes(df) > EXACT_CHECK_BYTES:
         return df, False
     if row_count_at_most(df, max_rows):
         return F.broadcast(df), True
     return df, False
 
 
+def wide(c: Column) -> Column:
+    """A bigint as decimal, so that products and sums over many rows cannot overflow 64 bits."""
+    return c.cast("decimal(19,0)")
+
+
+def big_sum(product: Column) -> Column:
+    """``sum`` as decimal(38,0), 0 over no rows; ``product`` is built from :func:`wide` factors."""
+    return F.coalesce(F.sum(product.cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)")
+
+
+def hot_keys(counts: DataFrame, key: str, count_col: str, threshold: int | None = None,
+             max_hot: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame | None, int, int]:
+    """``(keys, threshold, rows)``: the keys with more than ``threshold`` rows (None where
+    there is none) and the number of all rows.
+
+    The threshold is raised to ``total rows / max_hot`` where that is more, so
+    there are never more than ``max_hot`` hot keys and the split never has to
+    be given up.  One aggregate over the counts decides.
+    """
+    threshold = HOT_KEY_ROWS if threshold is None else threshold
+    c = F.col(count_col)
+    seen = counts.agg(F.sum(c.cast("decimal(38,0)")).alias("rows"), F.max(c).alias("top")).first()
+    rows = int(seen["rows"] or 0)
+    threshold = max(threshold, rows // max_hot)
+    if (seen["top"] or 0) <= threshold:
+        return None, threshold, rows
+    return counts.where(c > threshold).select(key), threshold, rows
+
+
 def hot_key_join(big: DataFrame, lookup: DataFrame, key: str, count_col: str,
                  threshold: int | None = None, max_hot: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Inner join of ``big`` with a one-row-per-key ``lookup`` on ``key``,
     with hot keys split out.
 
     ``lookup[count_col]`` bounds how many ``big`` rows carry each key (a degree
-    or group size).  Keys above ``threshold`` are hot; since the counts sum
-    to the size of ``big``, there are at most ``|big| / threshold`` of them,
-    and their count is also checked against ``max_hot``; with no hot key the
-    join is a single plain shuffle join.  Hot rows of ``big``
-    are joined map-side with a broadcast of the hot lookup rows; the other
-    rows go through a shuffle join in which no key has more than
-    ``threshold`` rows.  Both halves filter ``big`` map-side (broadcast semi /
-    anti joins), so a hot key is never shuffled.
+    or group size).  With no hot key (:func:`hot_keys`) the join is a single
+    plain shuffle join.  Otherwise hot rows of ``big`` are joined map-side
+    with a broadcast of the hot lookup rows, at most ``max_hot``; the other
+    rows go through a shuffle join in which no key has more than the threshold
+    of rows.  Both halves filter ``big`` map-side (broadcast semi / anti
+    joins), so a hot key is never shuffled.
     """
-    threshold = HOT_KEY_ROWS if threshold is None else threshold
-    hot = lookup.where(F.col(count_col) > threshold)
-    n_hot = hot.limit(max_hot + 1).count()
-    if n_hot == 0 or n_hot > max_hot:   # no hot key (the usual case): one plain join
+    keys, threshold, _ = hot_keys(lookup, key, count_col, threshold, max_hot)
+    if keys is None:
         return big.join(lookup, key)
-    hot_keys = F.broadcast(hot.select(key))
-    hot_part = big.join(hot_keys, key, "left_semi").join(F.broadcast(hot), key)
-    cold_part = big.join(hot_keys, key, "left_anti").join(
+    keys = F.broadcast(keys)
+    hot = F.broadcast(lookup.where(F.col(count_col) > threshold))
+    hot_part = big.join(keys, key, "left_semi").join(hot, key)
+    cold_part = big.join(keys, key, "left_anti").join(
         lookup.where(F.col(count_col) <= threshold), key)
     return hot_part.unionByName(cold_part)
 
@@ -106,110 +131,141 @@ def written_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def written_table_observed(df: DataFrame, name: str, *metrics) -> tuple[DataFrame, dict]:
-    """:func:`written_table` that also returns aggregate ``metrics`` of the rows
-    written, gathered during the same job (no extra pass, no extra job)."""
-    obs = Observation(f"{name}_{uuid.uuid4().hex[:12]}")
-    out = written_table(df.observe(obs, *metrics), name)
-    return out, obs.get
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a written folder through the file system it is on."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def bucketed_table(df: DataFrame, key: str, name: str, buckets: int | None = None,
-                   shuffle: bool = True, metrics: tuple = ()) -> DataFrame:
-    """Write ``df`` as a table bucketed by ``key`` in the shared folder; return it.
+#: rows that one bucket of a written edge table should hold (some 24 bytes each)
+BUCKET_ROWS = 10_000_000
 
-    The written table cuts lineage like a checkpoint and also records its hash
+
+class BucketedTable:
+    """A table bucketed by ``key`` in the shared folder, registered while it is in use.
+
+    The written table cuts lineage like a checkpoint and records its hash
     layout in the catalog, so later joins on ``key`` with another table of the
     same bucket count run without an exchange on either side, and a join with
-    an unbucketed frame shuffles only that frame.  Iterative operators keep
-    the large, loop-invariant edge table bucketed once and rewrite only the
-    small per-round state.  ``shuffle=False`` skips the repartition when the
-    frame is already hash-partitioned by ``key`` into ``buckets`` partitions
-    (e.g. the output of a join with another bucketed table).
-    """
-    spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = scratch_path(spark, name)
-    table = f"edgeframe_{name}_{uuid.uuid4().hex[:12]}"
-    src = df.repartition(n, key) if shuffle else df
-    obs = None
-    if metrics:
-        obs = Observation(f"{name}_{uuid.uuid4().hex[:12]}")
-        src = src.observe(obs, *metrics)
-    try:
-        src.write.bucketBy(n, key).option("path", path).mode("overwrite").saveAsTable(table)
-        out = spark.table(table)
-    except Exception:  # noqa: BLE001 - no usable catalog: same cut, without the layout
-        out = written_table(src, name)
-    return (out, obs.get) if metrics else out
-
-
-class AppendTable:
-    """A table bucketed by ``key`` in the shared folder that grows by appends.
-
-    Iterative state that only ever gains rows (vertices reached by a search)
-    is appended round by round instead of rewritten: each round writes only
-    its new rows, and readers see the whole table with its bucket layout, so
-    joins on ``key`` against it need no exchange.  Without a usable catalog it
-    degrades to appended parquet files (same rows, no layout).
+    an unbucketed frame shuffles only that frame.  ``append`` adds rows round
+    by round, so state that only gains rows is never rewritten.
+    ``shuffle=False`` skips the repartition when the frame is already
+    hash-partitioned by ``key`` into ``buckets`` partitions (default: the
+    session's shuffle partitions).
     """
 
-    def __init__(self, df: DataFrame, key: str, name: str, buckets: int | None = None):
-        self.spark = df.sparkSession
-        self.key = key
+    def __init__(self, df: DataFrame, key: str, name: str, buckets: int | None = None,
+                 shuffle: bool = True, metrics: tuple = ()):
+        self.spark, self.key = df.sparkSession, key
         self.n = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         self.path = scratch_path(self.spark, name)
-        self.table: str | None = f"edgeframe_{name}_{uuid.uuid4().hex[:12]}"
-        try:
-            df.repartition(self.n, key).write.bucketBy(self.n, key).option("path", self.path) \
-                .mode("overwrite").saveAsTable(self.table)
-        except Exception:  # noqa: BLE001 - no usable catalog
-            self.table = None
-            df.write.mode("overwrite").parquet(self.path)
+        self.table = f"edgeframe_{name}_{uuid.uuid4().hex[:12]}"
+        self.seen = self._write(df.repartition(self.n, key) if shuffle else df, "overwrite", metrics)
+
+    def _write(self, df: DataFrame, mode: str, metrics: tuple) -> dict:
+        obs = Observation(f"rows_{uuid.uuid4().hex[:12]}")
+        src = df.observe(obs, *metrics) if metrics else df
+        writer = src.write.bucketBy(self.n, self.key).mode(mode)
+        (writer.option("path", self.path) if mode == "overwrite" else writer).saveAsTable(self.table)
+        return obs.get if metrics else {}
 
     def read(self) -> DataFrame:
-        if self.table is None:
-            return self.spark.read.parquet(self.path)
         self.spark.catalog.refreshTable(self.table)
         return self.spark.table(self.table)
 
-    def append(self, df: DataFrame, *metrics) -> dict:
-        """Append ``df`` (ideally already hash-partitioned by ``key``); returns
-        the observed ``metrics`` of the appended rows."""
-        obs = Observation(f"append_{uuid.uuid4().hex[:12]}")
-        src = df.observe(obs, *metrics) if metrics else df
-        if self.table is None:
-            src.write.mode("append").parquet(self.path)
-        else:
-            src.write.bucketBy(self.n, self.key).mode("append").saveAsTable(self.table)
-        return obs.get if metrics else {}
+    def append(self, df: DataFrame) -> int:
+        """Append ``df`` (ideally already hash-partitioned by ``key``); returns how many
+        rows it had, from the files' footers.  (An observed metric never arrives if
+        the adaptive planner finds the appended plan empty and drops the node.)"""
+        before = self.spark.read.parquet(self.path).count()
+        self._write(df, "append", ())
+        return self.spark.read.parquet(self.path).count() - before
+
+    def files(self) -> DataFrame:
+        """The rows as plain files; the catalog entry goes, the files stay."""
+        schema = self.read().schema
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+        return self.spark.read.schema(schema).parquet(self.path)
+
+    def drop(self) -> None:
+        """Remove the catalog entry and the files; nothing may read them any more."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+        delete_path(self.spark, self.path)
+
+
+class HubSplitEdges:
+    """Loop-invariant edges for joins on ``src``, hubs apart.
+
+    Edges of ordinary sources are a table bucketed by ``src``.  Sources with
+    more than ``HOT_KEY_ROWS`` edges would put all their edges into one
+    bucket; their edges are a plain written table instead, spread over files,
+    and meet the state rows of those sources - at most ``max_hot`` - by broadcast.
+    """
+
+    def __init__(self, edges: DataFrame, name: str, counts: DataFrame | None = None,
+                 buckets: int | None = None):
+        counts = counts if counts is not None else edges.groupBy("src").agg(F.count(F.lit(1)).alias("n"))
+        count_col = next(c for c in counts.columns if c != "src")
+        keys, _, rows = hot_keys(counts, "src", count_col)
+        if buckets is None:
+            least = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            buckets = max(least, rows // BUCKET_ROWS)
+        self.keys = self.hot = None
+        if keys is not None:
+            self.keys = written_table(keys, f"{name}_hubs")
+            self.hot = written_table(spread(edges.join(F.broadcast(self.keys), "src", "left_semi")), f"{name}_hot")
+            edges = edges.join(F.broadcast(self.keys), "src", "left_anti")
+        self.cold = BucketedTable(edges, "src", name, buckets)
+        self.n = self.cold.n
+
+    def join(self, state: DataFrame, key: str = "id") -> DataFrame:
+        """Inner join of ``state`` (one row per ``key``) with the edges on ``src``.  The state is
+        the hashed side, so the edges are neither moved nor sorted."""
+        out = self.cold.read().join(state.hint("shuffle_hash"), F.col("src") == F.col(key))
+        if self.hot is None:
+            return out
+        hubs = state.join(F.broadcast(self.keys), F.col(key) == self.keys["src"], "left_semi")
+        return out.unionByName(self.hot.join(F.broadcast(hubs), F.col("src") == F.col(key)))
+
+    def drop(self) -> None:
+        self.cold.drop()
 
 
 def chunked_lists(pairs: DataFrame, key: str, item: str, max_group: int = DEFAULT_MAX_GROUP
                   ) -> DataFrame:
-    """Group ``item`` values by ``key`` into lists of bounded length.
-
-    Returns ``(key, chunk, items array<bigint>)`` with items sorted inside a
-    chunk and duplicates kept.  A key with at most ``max_group`` items gets one
-    row (chunk 0).  A hot key is split: duplicates are first counted
-    (map-side partial aggregation), counts larger than ``max_group`` are cut
-    into pieces, and pieces are hashed to ``ceil(total / max_group)`` chunks, so
-    no task ever holds an unbounded list.  All steps are deterministic, so a
-    retried task reproduces the same chunks.
+    """Group ``item`` values by ``key`` into sorted lists of at most ``max_group`` items.
+
+    Returns ``(key, chunk, items array<bigint>)``, duplicates kept: chunk ``c`` of a
+    key holds its items ``c * max_group .. (c + 1) * max_group - 1`` in sorted
+    order, so chunks are full but for the last, chunk 0 always exists, and
+    the chunks in order are the key's sorted list.
+
+    Duplicates are counted first (map-side).  The counts are range-partitioned
+    by (key, item), which spreads a hub over partitions; an item's position is
+    its place within its range partition plus what earlier partitions hold of
+    its key.  Only keys that cross a partition border have such an offset, at
+    most one per border, so the offsets are broadcast.
     """
-    w = pairs.groupBy(key, item).agg(F.count(F.lit(1)).alias("_w"))
-    piece = F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                 F.call_function("div", F.col("_w") - 1, F.lit(max_group))))
-    pieces = w.select(key, item, "_w", piece.alias("_piece")).select(
-        key, item, "_piece",
-        F.least(F.lit(max_group).cast("bigint"),
-                F.col("_w") - F.col("_piece") * max_group).alias("_n"))
-    totals = w.groupBy(key).agg(F.sum("_w").alias("_tot"))
-    n_chunks = F.call_function("div", F.col("_tot") + (max_group - 1), F.lit(max_group))
-    chunk = F.when(n_chunks <= 1, F.lit(0).cast("bigint")).otherwise(
-        F.pmod(F.xxhash64(item, "_piece"), n_chunks))
-    tagged = hot_key_join(pieces, totals, key, "_tot").select(key, item, "_n", chunk.alias("chunk"))
-    grouped = tagged.groupBy(key, "chunk").agg(
+    spark = pairs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counted = pairs.groupBy(key, item).agg(F.count(F.lit(1)).alias("_w"))
+    # written: both readers below must see the same borders
+    ranged = written_table(counted.repartitionByRange(parts, key, item)
+                           .withColumn("_part", F.spark_partition_id()), "ranged")
+    held = ranged.groupBy(key, "_part").agg(F.sum("_w").alias("_held"))
+    ahead = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = held.withColumn("_ahead", F.sum("_held").over(ahead)).where(F.col("_ahead").isNotNull()) \
+        .select(key, "_part", "_ahead")
+    within = Window.partitionBy("_part", key).orderBy(item).rowsBetween(Window.unboundedPreceding, 0)
+    placed = ranged.withColumn("_end", F.sum("_w").over(within)) \
+        .join(F.broadcast(offsets), [key, "_part"], "left") \
+        .withColumn("_end", F.col("_end") + F.coalesce("_ahead", F.lit(0)))
+    g = F.lit(max_group)
+    start = F.col("_end") - F.col("_w")
+    cut = placed.select(key, item, start.alias("_start"), "_end", F.explode(F.sequence(
+        F.call_function("div", start, g), F.call_function("div", F.col("_end") - 1, g))).alias("chunk"))
+    n = F.least(F.col("_end"), (F.col("chunk") + 1) * g) - F.greatest(F.col("_start"), F.col("chunk") * g)
+    grouped = cut.select(key, "chunk", item, n.alias("_n")).groupBy(key, "chunk").agg(
         F.sort_array(F.collect_list(F.struct(F.col(item).alias("v"), F.col("_n").alias("n"))))
         .alias("_vs"))
     items = F.flatten(F.transform("_vs", lambda s: F.array_repeat(s.getField("v"),

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeframe.operators.common import DEFAULT_MAX_GROUP, chunked_lists
+from edgeframe.operators.common import big_sum, wide
+
 
 def _one():
     return F.lit(1).cast("bigint")
@@ -28,24 +29,27 @@ def in_degree_reduce(edges: DataFrame) -> DataFrame:
 
 def in_degree_fold_zero(edges: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
     """Fold with zero over the full vertex set: vertices without in-edges get 0."""
-    if vertices is None:
-        vertices = edges.select(F.col("src").alias("id")).union(
-            edges.select(F.col("dst").alias("id"))).distinct()
+    if vertices is None:        # both endpoints from one tagged aggregate: two scans, one exchange
+        ends = edges.select(F.col("dst").alias("id"), _one().alias("n")).union(
+            edges.select(F.col("src").alias("id"), F.lit(0).cast("bigint").alias("n")))
+        return ends.groupBy("id").agg(F.sum("n").alias("followers"))
     counts = in_degree_reduce(edges)
     return vertices.join(counts, "id", "left").select(
         "id", F.coalesce(F.col("followers"), F.lit(0).cast("bigint")).alias("followers"))
 
 
-def in_degree_group_collect(edges: DataFrame, max_group: int = DEFAULT_MAX_GROUP) -> DataFrame:
+def in_degree_group_collect(edges: DataFrame) -> DataFrame:
     """Materialise each target's group, fold it, and sum the pieces.
 
-    The twin of ``groupByKey(...).map(sum)``: groups are real lists, but a hot
-    target is split into bounded chunks before any list is built.
+    The twin of ``groupByKey(...).map(sum)``: groups are real lists, but a
+    target's group is built per input partition, so no list is longer than a
+    partition and a hot target is spread over as many lists as partitions.
     """
-    groups = chunked_lists(edges.select(F.col("dst").alias("id"), F.col("src")), "id", "src",
-                           max_group)
-    folded = groups.select("id", F.aggregate(F.col("items"), F.lit(0).cast("bigint"),
-                                             lambda acc, _x: acc + 1).alias("n"))
+    tagged = edges.select(F.col("dst").alias("id"), _one().alias("one")) \
+        .withColumn("part", F.spark_partition_id())
+    groups = tagged.groupBy("id", "part").agg(F.collect_list("one").alias("ones"))
+    folded = groups.select("id", F.aggregate("ones", F.lit(0).cast("bigint"),
+                                             lambda acc, x: acc + x).alias("n"))
     return folded.groupBy("id").agg(F.sum("n").alias("followers"))
 
 
@@ -65,19 +69,19 @@ def degree_pairs(edges: DataFrame) -> DataFrame:
 
 
 def path2_cardinality(edges: DataFrame) -> DataFrame:
-    """Per-vertex 2-hop estimate: ``out*in``, but ``in`` if out = 0 and ``out`` if in = 0."""
+    """Per-vertex 2-hop estimate: ``out*in``, but ``in`` if out = 0 and ``out`` if in = 0
+    (decimal(38,0), so hubs cannot overflow)."""
     d = degree_pairs(edges)
     o, i = F.col("out_deg"), F.col("in_deg")
-    card = F.when(o == 0, i).when(i == 0, o).otherwise(o * i)
-    return d.select("id", card.alias("cardinality"))
+    card = F.when(o == 0, wide(i)).when(i == 0, wide(o)).otherwise(wide(o) * wide(i))
+    return d.select("id", card.cast("decimal(38,0)").alias("cardinality"))
 
 
 def path2_cardinality_total(edges: DataFrame) -> DataFrame:
-    return path2_cardinality(edges).agg(F.sum("cardinality").alias("total"))
+    return path2_cardinality(edges).agg(big_sum(F.col("cardinality")).alias("total"))
 
 
 def path2_exact_total(edges: DataFrame) -> DataFrame:
     """Exact number of 2-paths, ``sum(out*in)``, without executing the join."""
     d = degree_pairs(edges)
-    return d.agg(F.coalesce(F.sum(F.col("out_deg") * F.col("in_deg")),
-                            F.lit(0).cast("bigint")).alias("total"))
+    return d.agg(big_sum(wide(F.col("out_deg")) * wide(F.col("in_deg"))).alias("total"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgeframe.functions.scalar import nearest_value
-from edgeframe.operators.common import cut_lineage, written_table
+from edgeframe.operators.common import big_sum, cut_lineage, wide, written_table
 
 
 def value_range(points: DataFrame, col: str = "v") -> DataFrame:
@@ -46,13 +46,13 @@ def assign(points: DataFrame, centroids, col: str = "v") -> DataFrame:
 
 
 def cluster_update(points: DataFrame, centroids, col: str = "v") -> DataFrame:
-    """One round: ``(old_centroid, centroid, n, sse)`` per non-empty cluster."""
+    """One round: ``(old_centroid, centroid, n, sse)`` per non-empty cluster; sse is decimal(38,0)."""
     a = assign(points, centroids, col)
     c, v = F.col("centroid"), F.col("v")
     return a.groupBy(c.alias("old_centroid")).agg(
-        F.call_function("div", F.sum(v), F.count(F.lit(1))).alias("centroid"),
+        F.call_function("div", big_sum(wide(v)), F.count(F.lit(1))).alias("centroid"),
         F.count(F.lit(1)).alias("n"),
-        F.sum((c - v) * (c - v)).alias("sse"))
+        big_sum((wide(c) - wide(v)) * (wide(c) - wide(v))).alias("sse"))
 
 
 def kmeans_1d(points: DataFrame, seeds, iters: int = 10, col: str = "v",
@@ -77,7 +77,7 @@ def kmeans_1d(points: DataFrame, seeds, iters: int = 10, col: str = "v",
     for r in range(1, iters + 1):
         stats = cut_lineage(cluster_update(pts, cs))
         rounds.append(stats.agg(F.lit(r).cast("bigint").alias("round"),
-                                F.sum("sse").alias("sse")))
+                                big_sum(F.col("sse")).alias("sse")))
         cs = _centroid_list(stats)
         last = stats
     clusters = last.select("centroid", "n", "sse")

@@ -5,23 +5,23 @@ vertex's new rank is the sum it receives plus an equal share of the mass held
 by dangling vertices (no out-edge).  With damping d the result is
 ``(1-d)/n + d * (received + dangling/n)``.
 
-Plan: the weighted edge table and the vertex table are written once as tables
-bucketed by vertex id (same bucket count) in the shared folder.  Each round's
-ranks are written the same way, which cuts lineage and keeps the layout, so
-the rank/edge join and the vertex/contribution join need no exchange; a round
-shuffles only the per-target partial sums, never the edges.  The dangling mass
-of each round's ranks is an observed metric of the job that writes them (one
-double per round reaches the driver).
+Plan: the weighted edges and the vertices are written once as tables bucketed
+by vertex id in the shared folder; the edges of hub sources are a separate
+table that meets a broadcast of the hubs' ranks, so no bucket holds a hub's
+edges.  Each round's ranks are written with the same buckets, which cuts
+lineage and keeps the layout: the rank/edge join (ranks hashed, edges neither
+moved nor sorted) and the vertex/contribution join need no exchange, and a
+round shuffles only the per-target partial sums.  Rank total and dangling mass
+of a round are observed by the job that writes it; a round's table is dropped
+as soon as the next one is written.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeframe.operators.common import bucketed_table, hot_key_join
+from edgeframe.operators.common import BucketedTable, HubSplitEdges, hot_key_join
 from edgeframe.sources.tables import vertices_of
 
 
@@ -35,7 +35,6 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, iters: int = 1
     not in ``vertices`` carry no rank (their source is treated as dangling).
     """
     spark = edges.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if vertices is None:
         # every target is a vertex: no filtering join over the edge table
         verts, inside = vertices_of(edges), edges.select("src", "dst")
@@ -43,52 +42,43 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, iters: int = 1
         verts = vertices.select("id").distinct()
         inside = edges.join(verts.select(F.col("id").alias("dst")), "dst", "left_semi")
     od = inside.groupBy("src").agg(F.count(F.lit(1)).alias("od"))
-    adj = bucketed_table(
-        hot_key_join(inside.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w")), od, "src", "od")
-        .select("src", "dst", (F.col("w") / F.col("od")).alias("share")), "src", "pr_edges", n_parts)
-    vt = bucketed_table(
+    weighted = hot_key_join(inside.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w")), od, "src", "od") \
+        .select("src", "dst", (F.col("w") / F.col("od")).alias("share"))
+    adj = HubSplitEdges(weighted, "pr_edges", od, partitions)
+    sums = (F.count(F.lit(1)).alias("n"), F.sum("pr").alias("total"),
+            F.sum(F.when(F.col("dangling"), F.col("pr"))).alias("dmass"))
+    vt = BucketedTable(
         verts.join(od.select(F.col("src").alias("id"), F.lit(False).alias("dangling")), "id", "left")
-        .select("id", F.coalesce("dangling", F.lit(True)).alias("dangling")), "id", "pr_vertices", n_parts)
-    counts = vt.agg(F.count(F.lit(1)).alias("n"), F.count_if("dangling").alias("nd")).first()
-    n = counts["n"]
-    pr = vt.select("id", "dangling", F.lit(1.0 / n).alias("pr")) if n else \
-        vt.select("id", "dangling", F.lit(0.0).alias("pr"))
-    dmass = counts["nd"] / n if n else 0.0
-    traces = []
-    for i in range(1, iters + 1):
-        # the dangling mass of the ranks being written is observed by the same
-        # job and becomes a literal of the next round (no extra pass)
-        nxt, seen = bucketed_table(pagerank_round(pr, adj, vt, n, damping, dmass),
-                                   "id", f"pr_round{i}", n_parts, shuffle=False,
-                                   metrics=(F.sum(F.when(F.col("dangling"), F.col("pr"))
-                                                  ).alias("dmass"),))
-        dmass = seen["dmass"] or 0.0
-        traces.append(pr.where("dangling").agg(F.coalesce(F.sum("pr"), F.lit(0.0)).alias("value"))
-                      .select(F.lit(i).cast("bigint").alias("round"),
-                              F.lit("delta").alias("metric"), "value"))
-        traces.append(nxt.agg(F.sum("pr").alias("value"))
-                      .select(F.lit(i).cast("bigint").alias("round"),
-                              F.lit("total").alias("metric"), "value"))
+        .select("id", F.coalesce("dangling", F.lit(True)).alias("dangling")), "id", "pr_vertices", adj.n)
+    n = vt.read().count()
+    pr = BucketedTable(vt.read().withColumn("pr", F.lit(1.0 / n if n else 0.0)), "id", "pr_round0", adj.n,
+                       shuffle=False, metrics=sums if n else ())
+    rows = []
+    for i in range(1, iters + 1) if n else ():
+        dmass = pr.seen["dmass"] or 0.0
+        nxt = BucketedTable(pagerank_round(pr.read(), adj, vt.read(), n, damping, dmass), "id",
+                            f"pr_round{i}", adj.n, shuffle=False, metrics=sums)
+        rows += [(i, "delta", float(dmass)), (i, "total", nxt.seen["total"])]
+        pr.drop()
         pr = nxt
-    if not traces:   # zero rounds: an empty trace with the same schema
-        traces = [pr.agg(F.sum("pr").alias("value")).select(
-            F.lit(0).cast("bigint").alias("round"), F.lit("total").alias("metric"), "value")
-            .where(F.lit(False))]
-    trace = reduce(lambda a, b: a.unionByName(b), traces)
-    return pr.select("id", "pr"), trace
+    ranks = pr.files().select("id", "pr")
+    vt.drop()
+    adj.drop()
+    return ranks, spark.createDataFrame(rows, "round bigint, metric string, value double")
 
 
-def pagerank_round(pr: DataFrame, adj: DataFrame, vt: DataFrame, n: int,
+def pagerank_round(pr: DataFrame, adj: HubSplitEdges, vt: DataFrame, n: int,
                    damping: float = 1.0, dmass: float | None = None) -> DataFrame:
     """One round: ``(id, dangling, pr)`` from the previous ranks.
 
-    ``pr`` and ``vt`` are bucketed by ``id`` and ``adj`` by ``src`` with one
-    bucket count, so the only exchange is the partial per-target sums.
+    ``pr`` and ``vt`` are bucketed by ``id`` and ``adj`` (:class:`HubSplitEdges`) by
+    ``src`` with one bucket count, so the only exchange is the partial
+    per-target sums.
     ``dmass`` is the dangling mass of ``pr`` when already known; otherwise it
     is a scalar subquery over ``pr``.
     """
-    recv = pr.join(adj, pr["id"] == adj["src"]) \
-        .groupBy(adj["dst"].alias("id")).agg(F.sum(pr["pr"] * adj["share"]).alias("c"))
+    recv = adj.join(pr.select(F.col("id").alias("from"), "pr"), "from") \
+        .groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("pr") * F.col("share")).alias("c"))
     if dmass is None:
         dmass = pr.where("dangling").agg(F.coalesce(F.sum("pr"), F.lit(0.0))).scalar()
     else:
@@ -106,7 +96,8 @@ def in_contributions(edges: DataFrame, vertices: DataFrame | None = None) -> Dat
     """
     verts = (vertices if vertices is not None else vertices_of(edges)).select("id").distinct()
     od = edges.groupBy("src").agg(F.count(F.lit(1)).alias("od"))
-    recv = edges.join(od, "src").groupBy(F.col("dst").alias("id")) \
-        .agg(F.sum(F.lit(1.0) / F.col("od")).alias("c"))
+    weighted = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w"))
+    recv = hot_key_join(weighted, od, "src", "od").groupBy(F.col("dst").alias("id")) \
+        .agg(F.sum(F.col("w") / F.col("od")).alias("c"))
     return verts.join(recv, "id", "left").select(
         "id", F.coalesce(F.col("c"), F.lit(0.0)).alias("contrib"))

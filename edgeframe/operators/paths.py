@@ -23,8 +23,8 @@ Strategies:
   neighbours, so the wedge join is O(m^1.5) in total and a hub vertex never
   produces a quadratic group.  Self-loop walks are added by two keyed joins.
 * ``auto`` (default) - ``broadcast`` (path plan) unless the exact 2-path
-  count, from one degree aggregate, exceeds the oriented plan's worst case;
-  then ``oriented``.
+  count is well above a bound of the oriented plan's wedges; both come from one
+  degree aggregate over the multiplicity table that the chosen plan then uses.
 """
 
 from __future__ import annotations
@@ -32,8 +32,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from edgeframe.operators.common import (DEFAULT_BROADCAST_ROWS, bounded_broadcast, hot_key_join,
-                                        spread, written_table, written_table_observed)
+from edgeframe.operators.common import (DEFAULT_BROADCAST_ROWS, big_sum, bounded_broadcast, hot_key_join,
+                                        spread, wide, written_table)
+from edgeframe.operators.relational import filter_max_id
 
 SEMANTICS = ("join", "semi", "distinct_pairs")
 
@@ -49,19 +50,23 @@ def multiplicity(edges: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- 2-paths
 
-def path2(edges: DataFrame, strategy: str = "merge",
-          max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def path2(edges: DataFrame, strategy: str = "merge", max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+          max_id: int | None = None) -> DataFrame:
     """All 2-hop paths ``(src, dst)`` as a bag (a->b->a walks included).
 
     ``merge``: sort-merge self-join; ``broadcast``: replicate the edge side
-    when proven small (else merge); ``implicit``: join without a condition
-    plus an equality filter, which Catalyst turns into the same equi-join.
+    when proven small (else merge); ``auto``: ``broadcast``; ``implicit``: join
+    without a condition plus an equality filter, which Catalyst turns into the
+    same equi-join.  ``max_id`` keeps edges with both ids at most that.  Every
+    2-path is a row: :func:`path2_count` tells how many before any is made.
     """
+    if max_id is not None:
+        edges = filter_max_id(edges, max_id)
     a = edges.select(F.col("src").alias("a"), F.col("dst").alias("b"))
     b = edges.select(F.col("src").alias("b2"), F.col("dst").alias("c"))
     if strategy == "merge":
         j = a.join(b.hint("merge"), F.col("b") == F.col("b2"))
-    elif strategy == "broadcast":
+    elif strategy in ("broadcast", "auto"):
         side, _ = bounded_broadcast(b, max_broadcast_rows)
         j = a.join(side, F.col("b") == F.col("b2"))
     elif strategy == "implicit":
@@ -75,19 +80,23 @@ def path2_count(edges: DataFrame) -> DataFrame:
     """Number of 2-paths, ``sum over b of in(b) * out(b)``; no join is executed."""
     outs = edges.groupBy(F.col("src").alias("v")).agg(F.count(F.lit(1)).alias("o"))
     ins = edges.groupBy(F.col("dst").alias("v")).agg(F.count(F.lit(1)).alias("i"))
-    return outs.join(ins, "v").agg(
-        F.coalesce(F.sum(F.col("o") * F.col("i")), _zero()).alias("n_paths"))
+    return outs.join(ins, "v").agg(big_sum(wide(F.col("o")) * wide(F.col("i"))).alias("n_paths"))
 
 
-def closed_pairs(edges: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def closed_pairs(edges: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                 strategy: str = "auto") -> DataFrame:
     """Distinct 2-path endpoint pairs ``(a, c)`` whose reverse edge ``c->a`` exists.
 
-    ``INTERSECT`` of the 2-path endpoint set and the reversed edge set.  The
+    ``auto`` takes the oriented plan where a hub makes the 2-paths many
+    (:func:`choose_strategy`), else ``paths``, the ``INTERSECT`` of the 2-path endpoint set and the reversed edge set.  The
     paths come from the distinct edges (the set is the same) and are not
     aggregated first: Catalyst turns ``intersect`` into a left-semi join
     followed by a distinct, so only the closed pairs are ever deduplicated.
     """
-    d = edges.select("src", "dst").distinct()
+    d = _written_multiplicity(edges)
+    if strategy == "auto" and choose_strategy(d) == "oriented":
+        return _closed_pairs_of(d)
+    d = d.select("src", "dst")
     a = d.select(F.col("src").alias("a"), F.col("dst").alias("b"))
     b = d.select(F.col("src").alias("b2"), F.col("dst").alias("c"))
     rev, _ = bounded_broadcast(d.select(F.col("dst").alias("src"), F.col("src").alias("dst")),
@@ -96,20 +105,22 @@ def closed_pairs(edges: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_R
     return p.intersect(rev)
 
 
-def _count_path_plan(edges: DataFrame, semantics: str, strategy: str,
-                     max_broadcast_rows: int) -> DataFrame:
-    """2-paths of the multiplicity table joined with the closing edge.
+def _written_multiplicity(edges: DataFrame) -> DataFrame:
+    """The multiplicity table, written once: every plan reads it several times."""
+    return written_table(multiplicity(edges), "multiplicity")
+
+
+def _count_path_plan(m: DataFrame, semantics: str, strategy: str, max_broadcast_rows: int) -> DataFrame:
+    """2-paths of the written multiplicity table joined with the closing edge.
 
     ``shuffle``: both joins are shuffle joins (the reduce-side plan).
     ``broadcast``: the edge table is replicated to both probes when proven small.
     """
-    # read three times below: written once, its row count observed by the same job
-    m, seen = written_table_observed(multiplicity(edges), "multiplicity",
-                                     F.count(F.lit(1)).alias("n"))
+    small = strategy == "broadcast" and bounded_broadcast(m, max_broadcast_rows)[1]
     a = m.select(F.col("src").alias("a"), F.col("dst").alias("b"), F.col("w").alias("w1"))
     b = m.select(F.col("src").alias("b2"), F.col("dst").alias("c"), F.col("w").alias("w2"))
     close = m.select(F.col("src").alias("cs"), F.col("dst").alias("cd"), F.col("w").alias("wc"))
-    if strategy == "broadcast" and seen["n"] <= max_broadcast_rows:
+    if small:
         b, close, a = F.broadcast(b), F.broadcast(close), spread(a)
     else:
         # reduce-side joins; hashing the (smaller) edge side avoids sorting
@@ -118,22 +129,18 @@ def _count_path_plan(edges: DataFrame, semantics: str, strategy: str,
     p = a.join(b, F.col("b") == F.col("b2"))
     j = p.join(close, (F.col("c") == F.col("cs")) & (F.col("a") == F.col("cd")))
     if semantics == "join":
-        hits = F.sum(F.col("w1") * F.col("w2") * F.col("wc"))
+        hits = wide(F.col("w1")) * wide(F.col("w2") * F.col("wc"))
     elif semantics == "semi":
-        hits = F.sum(F.col("w1") * F.col("w2"))
+        hits = wide(F.col("w1")) * wide(F.col("w2"))
     else:
         return j.select("a", "c").distinct().agg(F.count(F.lit(1)).alias("hits"))
-    return j.agg(F.coalesce(hits, _zero()).alias("hits"))
+    return j.agg(big_sum(hits).alias("hits"))
 
 
 def _implicit_join_count(edges: DataFrame) -> DataFrame:
-    """Bag semantics written as unconditioned joins plus equality filters."""
-    a = edges.select(F.col("src").alias("k1"), F.col("dst").alias("v1"))
-    b = edges.select(F.col("src").alias("k2"), F.col("dst").alias("v2"))
-    c = edges.select(F.col("src").alias("k3"), F.col("dst").alias("v3"))
-    p = a.join(b).where(F.col("v1") == F.col("k2"))
-    t = p.join(c).where((F.col("v2") == F.col("k3")) & (F.col("v3") == F.col("k1")))
-    return t.agg(F.count(F.lit(1)).alias("hits"))
+    """Bag semantics: the implicit-join 2-paths that meet a closing edge."""
+    back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    return path2(edges, "implicit").join(back, ["src", "dst"]).agg(F.count(F.lit(1)).alias("hits"))
 
 
 # ------------------------------------------------------ degree-ordered plan
@@ -141,8 +148,8 @@ def _implicit_join_count(edges: DataFrame) -> DataFrame:
 def _orient(pairs: DataFrame) -> DataFrame:
     """Orient undirected ``pairs(lo, hi, up, dn)`` from lower to higher rank.
 
-    Returns ``(x, y, f, r)`` with rank(x) < rank(y), f = m(x,y), r = m(y,x);
-    rank = (undirected degree, id).
+    Returns ``(x, y, yd, f, r)`` with rank(x) < rank(y), f = m(x,y), r = m(y,x)
+    and yd the degree of y; rank = (undirected degree, id).
     """
     deg = pairs.select(F.col("lo").alias("v")).union(pairs.select(F.col("hi").alias("v"))) \
         .groupBy("v").agg(F.count(F.lit(1)).alias("d"))
@@ -154,6 +161,7 @@ def _orient(pairs: DataFrame) -> DataFrame:
     oriented = ranked.select(
         F.when(lo_first, F.col("lo")).otherwise(F.col("hi")).alias("x"),
         F.when(lo_first, F.col("hi")).otherwise(F.col("lo")).alias("y"),
+        F.when(lo_first, F.col("hd")).otherwise(F.col("ld")).alias("yd"),
         F.when(lo_first, F.col("up")).otherwise(F.col("dn")).alias("f"),
         F.when(lo_first, F.col("dn")).otherwise(F.col("up")).alias("r"))
     return oriented
@@ -167,13 +175,14 @@ def _triangles(oriented: DataFrame, n_oriented: int | None = None,
 
     When the oriented table is proven small it is broadcast to both probes, so
     the wedge walk and the closing lookup run in one map-side pipeline with no
-    shuffle of wedges; otherwise both joins are shuffle joins (AQE splits a
-    skewed key)."""
-    o1 = oriented.select(F.col("x"), F.col("y"), F.col("f").alias("fxy"), F.col("r").alias("ryx"))
-    o2 = oriented.select(F.col("x").alias("y2"), F.col("y").alias("z"),
-                         F.col("f").alias("fyz"), F.col("r").alias("rzy"))
-    o3 = oriented.select(F.col("x").alias("x3"), F.col("y").alias("z3"),
+    shuffle of wedges; otherwise both joins are shuffle joins.  A wedge joins two
+    edges at its lowest vertex ``x``, of which no key has more than sqrt(2m) rows,
+    so a hub is never a hot key; the closing lookup goes by the pair (y, z)."""
+    o1 = oriented.select(F.col("x"), F.col("y"), F.col("yd"), F.col("f").alias("fxy"), F.col("r").alias("ryx"))
+    o2 = oriented.select(F.col("x").alias("x2"), F.col("y").alias("z"), F.col("yd").alias("zd"),
                          F.col("f").alias("fxz"), F.col("r").alias("rzx"))
+    o3 = oriented.select(F.col("x").alias("y3"), F.col("y").alias("z3"),
+                         F.col("f").alias("fyz"), F.col("r").alias("rzy"))
     if n_oriented is None:
         o2, small = bounded_broadcast(o2, max_broadcast_rows)
     else:
@@ -182,8 +191,9 @@ def _triangles(oriented: DataFrame, n_oriented: int | None = None,
     if small:
         o3 = F.broadcast(o3)
         o1 = spread(o1)
-    wedges = o1.join(o2, F.col("y") == F.col("y2"))
-    tri = wedges.join(o3, (F.col("x") == F.col("x3")) & (F.col("z") == F.col("z3")))
+    upward = (F.col("yd") < F.col("zd")) | ((F.col("yd") == F.col("zd")) & (F.col("y") < F.col("z")))
+    wedges = o1.join(o2, (F.col("x") == F.col("x2")) & upward)
+    tri = wedges.join(o3, (F.col("y") == F.col("y3")) & (F.col("z") == F.col("z3")))
     return tri.select("x", "y", "z",
                       F.col("fxy").alias("a1"), F.col("fyz").alias("b1"), F.col("rzx").alias("c1"),
                       F.col("fxz").alias("a2"), F.col("rzy").alias("b2"), F.col("ryx").alias("c2"))
@@ -203,45 +213,45 @@ def _loop_two_cycles(loops: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def _semi_terms(a: Column, b: Column, c: Column) -> Column:
     """Walk hits of one directed 3-cycle under semi semantics."""
-    return F.when((a > 0) & (b > 0) & (c > 0), a * b + b * c + c * a).otherwise(_zero())
+    return F.when((a > 0) & (b > 0) & (c > 0), wide(a) * wide(b) + wide(b) * wide(c) + wide(c) * wide(a)) \
+        .otherwise(_zero())
 
 
-def _oriented_inputs(edges: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, int]:
-    """Materialised loops, pairs and oriented edges from one aggregation.
-
-    One pass groups the raw edges by their unordered endpoint pair and counts
-    both directions (and self-loops, where lo = hi); the result is the only
-    table derived from the full edge list.
-    """
+def _oriented_inputs(m: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """Materialised loops, pairs and oriented edges from the multiplicity table:
+    one aggregation by unordered endpoint pair sums both directions (and
+    self-loops, where lo = hi)."""
     lo, hi = F.least("src", "dst"), F.greatest("src", "dst")
-    und = written_table(edges.groupBy(lo.alias("lo"), hi.alias("hi")).agg(
-        F.count_if(F.col("src") < F.col("dst")).alias("up"),
-        F.count_if(F.col("src") > F.col("dst")).alias("dn"),
-        F.count_if(F.col("src") == F.col("dst")).alias("s")), "pairs")
+    of = lambda cond: F.sum(F.when(cond, F.col("w")).otherwise(_zero()))
+    und = written_table(m.groupBy(lo.alias("lo"), hi.alias("hi")).agg(
+        of(F.col("src") < F.col("dst")).alias("up"), of(F.col("src") > F.col("dst")).alias("dn"),
+        of(F.col("src") == F.col("dst")).alias("s")), "pairs")
     loops = und.where(F.col("lo") == F.col("hi")).select(F.col("lo").alias("v"), "s")
     pairs = und.where(F.col("lo") < F.col("hi")).select("lo", "hi", "up", "dn")
-    oriented, seen = written_table_observed(_orient(pairs), "oriented", F.count(F.lit(1)).alias("n"))
-    return loops, pairs, oriented, seen["n"]
+    oriented = written_table(_orient(pairs), "oriented")
+    return loops, pairs, oriented, oriented.count()         # from the files' footers
 
 
-def _count_oriented(edges: DataFrame, semantics: str) -> DataFrame:
-    loops, pairs, oriented, n_oriented = _oriented_inputs(edges)
+def _count_oriented(m: DataFrame, semantics: str) -> DataFrame:
+    loops, pairs, oriented, n_oriented = _oriented_inputs(m)
     tri = _triangles(oriented, n_oriented)
     lc = _loop_two_cycles(loops, pairs)
+    w = lambda *cols: [wide(F.col(c)) for c in cols]
     if semantics == "join":
-        t = tri.agg(F.sum(3 * (F.col("a1") * F.col("b1") * F.col("c1")
-                               + F.col("a2") * F.col("b2") * F.col("c2"))).alias("h"))
-        s = loops.agg(F.sum(F.col("s") * F.col("s") * F.col("s")).alias("h"))
-        c = lc.agg(F.sum(3 * F.col("s") * F.col("a") * F.col("b")).alias("h"))
+        a1, b1, c1, a2, b2, c2 = w("a1", "b1", "c1", "a2", "b2", "c2")
+        t = tri.agg(big_sum(3 * (a1 * b1 * c1 + a2 * b2 * c2)).alias("h"))
+        s, a, b = w("s", "a", "b")
+        c = lc.agg(big_sum(3 * (s * a * b)).alias("h"))
+        s = loops.agg(big_sum(s * s * s).alias("h"))
     elif semantics == "semi":
-        t = tri.agg(F.sum(_semi_terms(F.col("a1"), F.col("b1"), F.col("c1"))
-                          + _semi_terms(F.col("a2"), F.col("b2"), F.col("c2"))).alias("h"))
-        s = loops.agg(F.sum(F.col("s") * F.col("s")).alias("h"))
-        c = lc.agg(F.sum(F.col("s") * (F.col("a") + F.col("b"))
-                         + F.col("a") * F.col("b")).alias("h"))
+        t = tri.agg(big_sum(_semi_terms(F.col("a1"), F.col("b1"), F.col("c1"))
+                            + _semi_terms(F.col("a2"), F.col("b2"), F.col("c2"))).alias("h"))
+        s, a, b = w("s", "a", "b")
+        c = lc.agg(big_sum(s * (a + b) + a * b).alias("h"))
+        s = loops.agg(big_sum(s * s).alias("h"))
     else:
         return closed_pair_edges(tri, loops, lc).agg(F.count(F.lit(1)).alias("hits"))
-    return t.unionByName(s).unionByName(c).agg(F.coalesce(F.sum("h"), _zero()).alias("hits"))
+    return t.unionByName(s).unionByName(c).agg(big_sum(F.col("h")).alias("hits"))
 
 
 def closed_pair_edges(tri: DataFrame, loops: DataFrame, lc: DataFrame) -> DataFrame:
@@ -261,37 +271,43 @@ def closed_pair_edges(tri: DataFrame, loops: DataFrame, lc: DataFrame) -> DataFr
 
 def closed_pairs_oriented(edges: DataFrame) -> DataFrame:
     """Same set as :func:`closed_pairs`, reported as the 2-path endpoints ``(a, c)``."""
-    loops, pairs, oriented, n_oriented = _oriented_inputs(edges)
+    return _closed_pairs_of(_written_multiplicity(edges))
+
+
+def _closed_pairs_of(m: DataFrame) -> DataFrame:
+    loops, pairs, oriented, n_oriented = _oriented_inputs(m)
     e = closed_pair_edges(_triangles(oriented, n_oriented), loops, _loop_two_cycles(loops, pairs))
     return e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
 
 
 # ------------------------------------------------------------ public entry
 
-def choose_strategy(edges: DataFrame, factor: float = 4.0) -> str:
-    """``broadcast`` (the path plan) when its 2-path stream is no larger than
-    ``factor * m^1.5`` - the worst case of the degree-ordered plan - else
-    ``oriented``.
+def choose_strategy(m: DataFrame, factor: float = 4.0) -> str:
+    """``broadcast`` (the path plan) unless its 2-paths outnumber ``factor`` times the wedges of
+    the degree-ordered plan; then ``oriented``.
 
-    Both figures come from one aggregate over the distinct edges: ``m`` and the
-    exact number of 2-paths ``sum over b of in(b) * out(b)``.  A hub with a
-    third of all edges makes the 2-path count quadratic and selects the
-    oriented plan; a graph without hubs takes the cheaper path plan (which
-    itself broadcasts only a proven-small edge table).
+    One aggregate over the distinct edges ``m`` decides: the exact number of
+    2-paths ``sum over b of in(b) * out(b)``, and a bound of the wedges, ``sum of
+    min(d, sqrt(2m))^2 / 2`` over the degrees ``d``, since a vertex has at most
+    d and at most sqrt(2m) higher-ranked neighbours.  ``factor`` is what an
+    oriented wedge costs more than a 2-path.
     """
-    d = edges.select("src", "dst").distinct()
     one = F.lit(1).cast("bigint")
-    tagged = d.select(F.col("src").alias("v"), one.alias("o"), _zero().alias("i")).union(
-        d.select(F.col("dst").alias("v"), _zero().alias("o"), one.alias("i")))
+    tagged = m.select(F.col("src").alias("v"), one.alias("o"), _zero().alias("i")).union(
+        m.select(F.col("dst").alias("v"), _zero().alias("o"), one.alias("i")))
     deg = tagged.groupBy("v").agg(F.sum("o").alias("o"), F.sum("i").alias("i"))
-    row = deg.agg(F.sum("o").alias("m"), F.sum(F.col("o") * F.col("i")).alias("paths")).first()
-    m, n_paths = row["m"] or 0, row["paths"] or 0
-    return "broadcast" if n_paths <= factor * m ** 1.5 else "oriented"
+    deg = written_table(deg.groupBy((F.col("o") + F.col("i")).alias("d")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("o").alias("o"),
+        big_sum(wide(F.col("o")) * wide(F.col("i"))).alias("paths")), "degrees")   # one row per degree
+    m_edges = deg.agg(F.sum("o")).first()[0] or 0
+    higher = F.least(F.col("d").cast("double"), F.lit((2.0 * m_edges) ** 0.5))
+    row = deg.agg(F.sum("paths").alias("paths"), F.sum(F.col("n") * higher * higher / 2).alias("wedges")).first()
+    return "broadcast" if float(row["paths"] or 0) <= factor * (row["wedges"] or 0.0) else "oriented"
 
 
 def triangle_count(edges: DataFrame, semantics: str = "join", strategy: str = "auto",
                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """One row: raw hits and ``triangles = hits div 3``.
+    """One row: raw hits and ``triangles = hits div 3``, as decimal(38,0).
 
     The hit column is ``closed_pairs`` for ``distinct_pairs`` and
     ``closed_paths`` otherwise.  ``strategy`` is ``auto`` (default, see
@@ -300,18 +316,17 @@ def triangle_count(edges: DataFrame, semantics: str = "join", strategy: str = "a
     """
     if semantics not in SEMANTICS:
         raise ValueError(f"unknown semantics {semantics!r}")
-    if strategy == "auto":
-        strategy = choose_strategy(edges)
-    if strategy == "oriented":
-        hits = _count_oriented(edges, semantics)
-    elif strategy in ("shuffle", "broadcast"):
-        hits = _count_path_plan(edges, semantics, strategy, max_broadcast_rows)
-    elif strategy == "implicit":
+    if strategy == "implicit":
         if semantics != "join":
             raise ValueError("the implicit-join plan computes join semantics only")
         hits = _implicit_join_count(edges)
+    elif strategy in ("auto", "oriented", "shuffle", "broadcast"):
+        m = _written_multiplicity(edges)
+        strategy = choose_strategy(m) if strategy == "auto" else strategy
+        hits = _count_oriented(m, semantics) if strategy == "oriented" else \
+            _count_path_plan(m, semantics, strategy, max_broadcast_rows)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
+    whole = F.col("hits").cast("decimal(38,0)")
     name = "closed_pairs" if semantics == "distinct_pairs" else "closed_paths"
-    return hits.select(F.col("hits").alias(name),
-                       F.call_function("div", F.col("hits"), F.lit(3)).alias("triangles"))
+    return hits.select(whole.alias(name), ((whole - whole % 3) / 3).cast("decimal(38,0)").alias("triangles"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from edgeframe.operators.common import bounded_broadcast, written_table
+
 
 def sample_vertices(vertices: DataFrame, k: int, seed: int = 42, forced: int | None = 1) -> DataFrame:
     """``k`` vertices by the order of ``md5('<seed>-<id>')`` (ties by id), plus ``forced``.
@@ -24,7 +26,8 @@ def sample_vertices(vertices: DataFrame, k: int, seed: int = 42, forced: int | N
 def sample_edges(edges: DataFrame, sample: DataFrame) -> DataFrame:
     """Edges whose source is in ``sample`` (a left-semi join).
 
-    The sample has at most k+1 rows by construction, so broadcasting it is a
-    proven-bounded replication.
+    The sample has k+1 rows with k the caller's: it is written once and
+    broadcast only if its size is proven small, else the join shuffles.
     """
-    return edges.join(F.broadcast(sample.select(F.col("id").alias("src"))), "src", "left_semi")
+    side, _ = bounded_broadcast(written_table(sample.select(F.col("id").alias("src")), "sample"))
+    return edges.join(side, "src", "left_semi")

@@ -1,10 +1,11 @@
 """Single-source shortest paths and eccentricity summaries.
 
 Unit weights run a frontier BFS: each round joins only the newly reached
-vertices with the edge table (written once as a table bucketed by ``src``, so
-only the frontier is shuffled, or broadcast when AQE sees it is small),
-removes already-seen vertices with an anti-join, and materialises the new
-frontier to the shared checkpoint folder.  Every edge is expanded at most once.
+vertices with the edges (written once, bucketed by ``src``, hub sources apart),
+removes already-seen vertices with an anti-join, and appends the new frontier
+to the visited table in the shared checkpoint folder.  Every edge is expanded
+at most once; a round still reads the edge columns, but hashes the frontier
+and so neither moves nor sorts them.
 Weighted graphs run Bellman-Ford with an active set (only vertices improved in
 the previous round relax their edges); after ``r`` rounds a distance is the
 shortest over paths of at most ``r`` edges, as in the reference's fixed-round
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeframe.operators.common import AppendTable, bucketed_table
+from edgeframe.operators.common import BucketedTable, HubSplitEdges
 from edgeframe.sources.tables import vertices_of
 
 SENTINEL = 2147483647
@@ -39,17 +40,18 @@ def bfs(edges: DataFrame, source: int, rounds: int) -> tuple[DataFrame, DataFram
     ids; the edge table and the visited set are read in place.
     Returns ``(dist(id, dist), trace(round, n_updated))``.
     """
-    adj = bucketed_table(edges.select("src", "dst").distinct(), "src", "bfs_edges")
-    visited = AppendTable(_seed(edges, source), "id", "bfs_visited")
+    adj = HubSplitEdges(edges.select("src", "dst").distinct(), "bfs_edges")
+    visited = BucketedTable(_seed(edges, source), "id", "bfs_visited", adj.n)
     for r in range(1, rounds + 1):
         seen = visited.read()
         frontier = seen.where(F.col("dist") == r - 1)
-        reached = frontier.join(adj, frontier["id"] == adj["src"]).select(adj["dst"].alias("id"))
+        reached = adj.join(frontier.select("id")).select(F.col("dst").alias("id"))
         new = reached.distinct().join(seen.select("id"), "id", "left_anti") \
             .select("id", F.lit(r).cast("bigint").alias("dist"))
-        if visited.append(new, F.count(F.lit(1)).alias("n"))["n"] == 0:
+        if visited.append(new) == 0:
             break
-    dist = visited.read()
+    dist = visited.files()
+    adj.drop()
     trace = dist.where(F.col("dist") > 0).groupBy(F.col("dist").alias("round")) \
         .agg(F.count(F.lit(1)).alias("n_updated"))
     return dist, trace
@@ -66,22 +68,22 @@ def bellman_ford(edges: DataFrame, source: int, rounds: int, weight: str = "w"
     candidate minima of the active vertices.
     Returns ``(dist(id, dist), trace(round, n_updated))``.
     """
-    adj = bucketed_table(edges.groupBy("src", "dst").agg(F.min(weight).cast("bigint").alias("w")),
-                         "src", "bf_edges")
-    state = AppendTable(_seed(edges, source).withColumn("round", F.lit(0).cast("bigint")),
-                        "id", "bf_state")
+    adj = HubSplitEdges(edges.groupBy("src", "dst").agg(F.min(weight).cast("bigint").alias("w")), "bf_edges")
+    state = BucketedTable(_seed(edges, source).withColumn("round", F.lit(0).cast("bigint")),
+                          "id", "bf_state", adj.n)
     for r in range(1, rounds + 1):
         seen = state.read()
         best = seen.groupBy("id").agg(F.min("dist").alias("od"))
         active = seen.where(F.col("round") == r - 1)
-        cand = active.join(adj, active["id"] == adj["src"]).groupBy(adj["dst"].alias("id")) \
-            .agg(F.min(active["dist"] + adj["w"]).alias("nd"))
+        cand = adj.join(active.select("id", "dist")).groupBy(F.col("dst").alias("id")) \
+            .agg(F.min(F.col("dist") + F.col("w")).alias("nd"))
         improved = cand.join(best, "id", "left") \
             .where(F.col("od").isNull() | (F.col("nd") < F.col("od"))) \
             .select("id", F.col("nd").alias("dist"), F.lit(r).cast("bigint").alias("round"))
-        if state.append(improved, F.count(F.lit(1)).alias("n"))["n"] == 0:
+        if state.append(improved) == 0:
             break
-    final = state.read()
+    final = state.files()
+    adj.drop()
     dist = final.groupBy("id").agg(F.min("dist").alias("dist"))
     trace = final.where(F.col("round") > 0).groupBy("round") \
         .agg(F.count(F.lit(1)).alias("n_updated"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import contextlib
 import io
-import re
 
 from pyspark.sql import DataFrame
 
@@ -17,15 +16,7 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     return buf.getvalue()
 
 
-_UNITS = {"B": 1, "KiB": 1 << 10, "MiB": 1 << 20, "GiB": 1 << 30, "TiB": 1 << 40,
-          "PiB": 1 << 50, "EiB": 1 << 60}
-_STATS = re.compile(r"Statistics\(sizeInBytes=([0-9.Ee+-]+)\s*([KMGTPE]?i?B)")
-
-
-def estimated_bytes(df: DataFrame) -> float | None:
+def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df`` (the figure the planner compares with
-    ``spark.sql.autoBroadcastJoinThreshold``), read from ``explain('cost')``."""
-    m = _STATS.search(plan_text(df, "cost"))
-    if not m:
-        return None
-    return float(m.group(1)) * _UNITS.get(m.group(2), 1)
+    ``spark.sql.autoBroadcastJoinThreshold``): the optimized plan's statistics."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

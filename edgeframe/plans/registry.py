@@ -41,13 +41,20 @@ PR_DIGITS = 12        # rounding of ranks for the oracle compare
 
 def register(name: str, oracle_sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
+        QUERIES[name] = lambda spark, d: _as_bigint(fn(spark, d))
         if oracle_sql is not None:
             ORACLES[name] = oracle_sql
         return fn
     return deco
 
 
+def _as_bigint(df: DataFrame) -> DataFrame:
+    """Whole-number decimals (sums that cannot overflow) as bigint, the oracle's type; a value that
+    does not fit fails the query."""
+    whole = {c: F.col(c).cast("bigint") for c, t in df.dtypes if t == "decimal(38,0)"}
+    return df.withColumns(whole) if whole else df
+
+
 def _bigint(v) -> F.Column:
     return F.lit(v).cast("bigint")
 
@@ -208,12 +215,37 @@ def q_explode_adjacency(spark, d):
 
 
 @register("array_append", sql(
-    "SELECT src AS id, string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst) || ',-1' AS adj "
+    "SELECT src AS id, 0::BIGINT AS chunk, string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst) || ',-1' AS adj "
     "FROM eco GROUP BY src", "eco"))
 def q_array_append(spark, d):
     return adj_ops.append_marker(adj_ops.adjacency_list(edges_co(spark, d)), -1)
 
 
+# lists cut into chunks of 8: the sorted list's items 8c .. 8c + 7 are chunk c
+SPLIT = 8
+_CHUNKS = ("SELECT id, chunk, string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst) AS adj FROM (SELECT src AS id, dst, "
+           f"((row_number() OVER (PARTITION BY src ORDER BY dst) - 1) // {SPLIT})::BIGINT AS chunk FROM eco) "
+           "GROUP BY id, chunk")
+
+
+@register("adjacency_list_split", sql(_CHUNKS, "eco"))
+def q_adjacency_list_split(spark, d):
+    return adj_ops.adjacency_text(adj_ops.adjacency_list(edges_co(spark, d), SPLIT))
+
+
+@register("explode_adjacency_split", sql(
+    "SELECT dst AS id, src AS msg FROM eco UNION ALL SELECT DISTINCT src AS id, src AS msg FROM eco", "eco"))
+def q_explode_adjacency_split(spark, d):
+    return adj_ops.explode_messages(adj_ops.adjacency_list(edges_co(spark, d), SPLIT))
+
+
+@register("array_append_split", sql(
+    "SELECT id, chunk, adj || CASE WHEN chunk = max(chunk) OVER (PARTITION BY id) THEN ',-1' ELSE '' END AS adj "
+    f"FROM ({_CHUNKS})", "eco"))
+def q_array_append_split(spark, d):
+    return adj_ops.append_marker(adj_ops.adjacency_list(edges_co(spark, d), SPLIT), -1)
+
+
 @register("array_exists", sql("SELECT DISTINCT src AS id FROM eco WHERE dst = 1", "eco"))
 def q_array_exists(spark, d):
     return adj_ops.vertices_listing(adj_ops.adjacency_list(edges_co(spark, d)), 1)
@@ -334,20 +366,10 @@ def q_path2_cardinality_total(spark, d):
 @register("path2_cardinality_total_files", sql(
     f"SELECT sum(cardinality)::BIGINT AS total FROM ({_CARD})", "eps", ("dp", o.degree_pairs_sql("eps"))))
 def q_path2_cardinality_total_files(spark, d):
-    """The two-job chain: ``id TAB out,in`` degree lines, then ``id TAB cardinality``
-    lines, then the global sum over whitespace tokens."""
-    deg_path, card_path = scratch_path(spark, "degree_pairs"), scratch_path(spark, "cardinality")
-    dp = degrees.degree_pairs(edges_ps(spark, d))
-    dp.select("id", F.concat_ws(",", F.col("out_deg").cast("string"), F.col("in_deg").cast("string"))
-              .alias("pair")).write.mode("overwrite").option("sep", "\t").csv(deg_path)
-    back = files.read_pairs_tsv(spark, deg_path, "id BIGINT, pair STRING").select(
-        "id", fx.field(F.col("pair"), 0).cast("bigint").alias("out_deg"),
-        fx.field(F.col("pair"), 1).cast("bigint").alias("in_deg"))
-    o_, i_ = F.col("out_deg"), F.col("in_deg")
-    card = back.select("id", F.when(o_ == 0, i_).when(i_ == 0, o_).otherwise(o_ * i_).alias("c"))
-    files.write_key_value_text(card, "id", "c", card_path)
-    toks = files.read_whitespace_tokens(spark, card_path, ["id", "cardinality"])
-    return toks.agg(F.sum("cardinality").alias("total"))
+    """The estimate's total from a CSV edge file."""
+    path = scratch_path(spark, "edges_csv")
+    files.write_edges_csv(edges_ps(spark, d), path)
+    return degrees.path2_cardinality_total(files.read_edges_csv(spark, path))
 
 
 @register("path2_exact_total", sql("SELECT coalesce(sum(out_deg * in_deg), 0)::BIGINT AS total FROM dp",
@@ -435,17 +457,10 @@ def q_triangle_count_distinct_pairs_shuffle(spark, d):
 
 @register("triangle_count_distinct_pairs_files", sql(_TRI_PAIRS.format(v="eps"), "eps"))
 def q_triangle_count_distinct_pairs_files(spark, d):
-    """The two-job chain: 2-paths written as TAB text, then read back together
-    with the CSV edge file and intersected with the reversed edges."""
-    e = edges_ps(spark, d)
-    p_path, e_path = scratch_path(spark, "path2_tsv"), scratch_path(spark, "edges_csv")
-    files.write_pairs_tsv(paths.path2(e, "merge"), p_path)
-    files.write_edges_csv(e, e_path)
-    p = files.read_pairs_tsv(spark, p_path, files.EDGE_SCHEMA)
-    rev = relational.reverse_edges(files.read_edges_csv(spark, e_path))
-    hits = p.intersect(rev).agg(F.count(F.lit(1)).alias("closed_pairs"))
-    return hits.select("closed_pairs", F.call_function("div", F.col("closed_pairs"), F.lit(3))
-                       .alias("triangles"))
+    """Closed endpoint pairs from a CSV edge file."""
+    path = scratch_path(spark, "edges_csv")
+    files.write_edges_csv(edges_ps(spark, d), path)
+    return paths.triangle_count(files.read_edges_csv(spark, path), "distinct_pairs", "auto")
 
 
 @register("closed_pairs_intersect", sql(_CLOSED.format(v="eps"), "eps"))
@@ -461,7 +476,7 @@ def q_closed_pairs_oriented(spark, d):
 # ================================================================ P4 adjacency / sampling
 
 @register("adjacency_list", sql(
-    "SELECT src AS id, string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst) AS adj FROM eco GROUP BY src",
+    "SELECT src AS id, 0::BIGINT AS chunk, string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst) AS adj FROM eco GROUP BY src",
     "eco"))
 def q_adjacency_list(spark, d):
     return adj_ops.adjacency_text(adj_ops.adjacency_list(edges_co(spark, d)))
@@ -695,3 +710,26 @@ def q_kmeans_of_indegree(spark, d):
     follow = degrees.in_degree_fold_zero(edges_ps(spark, d)).select("id", F.col("followers").alias("v"))
     clusters, _ = kmeans.kmeans_1d(follow, kmeans.equal_interval_seeds(follow, K_SEEDS), ROUNDS)
     return clusters
+
+
+@register("kmeans_centroid_file", _km_sql("pts", _PTS, o.seeds_sql("pts", K_SEEDS),
+                                          f"SELECT centroid, n, sse FROM g{ROUNDS}"))
+def q_kmeans_centroid_file(spark, d):
+    """Start centroids from the text file that the seeding job writes."""
+    pts = points_chars(spark, d)
+    path = scratch_path(spark, "centroids")
+    files.write_pairs_tsv(kmeans.equal_interval_seeds(pts, K_SEEDS), path)
+    clusters, _ = kmeans.kmeans_1d(pts, files.read_centroids(spark, path), ROUNDS, materialize=False)
+    return clusters
+
+
+@register("longest_distance_file", _bfs_sql(
+    "eps", ROUNDS, f"SELECT coalesce(max(dist), 0)::BIGINT AS longest FROM ({o.SSSP_OUT}) "
+                   "WHERE dist <> 2147483647"))
+def q_longest_distance_file(spark, d):
+    """The longest distance over stored search-state lines."""
+    e = edges_ps(spark, d)
+    state = sssp.sssp(e, SOURCE, ROUNDS).withColumn("nbrs", F.array().cast("array<bigint>"))
+    path = scratch_path(spark, "search_state")
+    files.write_search_state(state, path)
+    return sssp.longest_distance(files.read_search_state(spark, path))

@@ -46,7 +46,8 @@ def read_pairs_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def write_adjacency_text(adj: DataFrame, path: str) -> None:
-    """``id TAB n1,n2,...`` lines from an ``(id, nbrs array<bigint>)`` frame."""
+    """``id TAB n1,n2,...`` lines from an ``(id, nbrs array<bigint>)`` frame, one per row: a hub whose
+    list is in chunks has a line for each, and reading them back gives the same edges."""
     line = F.concat_ws("\t", F.col("id").cast("string"), joined(F.col("nbrs")))
     adj.select(line.alias("value")).write.mode("overwrite").text(path)
 
@@ -78,6 +79,16 @@ def read_whitespace_tokens(spark: SparkSession, path: str, names: list[str]) ->
         *[F.get(toks, i).cast("bigint").alias(n) for i, n in enumerate(names)])
 
 
+def read_centroids(spark: SparkSession, path: str) -> DataFrame:
+    """``(centroid)``: the first token of each line, as the seeding job writes them."""
+    return read_whitespace_tokens(spark, path, ["centroid"]).where(F.col("centroid").isNotNull())
+
+
+def read_vertices(spark: SparkSession, path: str) -> DataFrame:
+    """``(id)``: the first token of each line, once each."""
+    return read_whitespace_tokens(spark, path, ["id"]).where(F.col("id").isNotNull()).distinct()
+
+
 def write_search_state(state: DataFrame, path: str) -> None:
     """``id TAB n1,n2 dist [V]`` lines from ``(id, nbrs, dist[, visited])``.
 

