@@ -11,12 +11,13 @@ documents get the same pick with a probability equal to their weighted Jaccard s
 Documents that agree in all picks of a band are candidates, and every candidate link that decides
 a class is verified with the exact weighted similarity of the two texts (``THRESHOLD``).
 
-Equal texts are one node from the start.  No pairs are listed within a band's bucket: round one
-verifies each member against the bucket's hub; then connected components are formed, and only
-members that stand outside their bucket's largest component become pivots, in rounds of growing
-number, against the members of other components.  It ends when no bucket holds two members of
-different components of which one is not yet tried as a pivot, so every candidate pair is either
-verified or already joined through verified links.  Hub rows are salted by bucket size.
+Equal texts are one node from the start.  No pairs are listed within a band's bucket.  Round one
+verifies each member against the bucket's hub (hub rows are salted by bucket size) and forms
+connected components.  Buckets whose members are still in different components go on: each member
+outside the bucket's largest component meets all members, in blocks of bounded size, where one
+pass over the members' shingle postings gives its exact similarity with all of them; only links
+that join components leave the task.  So every candidate pair is either verified or already
+joined through verified links.
 """
 
 from __future__ import annotations
@@ -27,19 +28,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgeframe.llm.recurrence import BASE, mixed, word_units
-from edgeframe.llm.textcol import NO_ID, column, doc_key, slices, texts, written
+from edgeframe.llm.textcol import NO_ID, column, doc_key, slices, spans, texts, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 12, 4
 IDF_SHARE = 0.25
 DF_BITS = 18
-#: rows of a hub or pivot that one task holds against it
+#: members that meet one copy of a hub's text
 SALTED = 256
+#: members of a bucket that meet in one task, on either side
+BLOCK = 512
 #: entries of the table of random numbers that samplers draw from
 DRAWS = 1 << 16
 
@@ -197,27 +200,87 @@ def verified(pairs: DataFrame, bodies: DataFrame, idf: np.ndarray, threshold: fl
     return right.join(left, ["a", "salt"]).select("a", "b", "text_a", "text_b").mapInArrow(judge, "a binary, b binary")
 
 
+def cross_links(members: DataFrame, joined: DataFrame, bodies: DataFrame, idf: np.ndarray,
+                threshold: float) -> DataFrame:
+    """Links (a, b) between members of a bucket that round one left in different components: each
+    member outside the bucket's largest component against all members, in blocks of about
+    ``BLOCK`` by ``BLOCK``; of the links of a block only those that join components are returned."""
+    at = members.select("bucket", "node").join(joined, "node", "left").withColumn("class", F.coalesce("class", "node"))
+    per = at.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n"))
+    parts = (per.groupBy("bucket").agg(F.max(F.struct("n", "class")).alias("top"), F.sum("n").alias("m"),
+                                       F.count(F.lit(1)).alias("parts")).where("parts > 1"))
+    rows = F.ceil((F.col("m") - F.col("top.n")) / BLOCK).cast("int")
+    cols = F.ceil(F.col("m") / BLOCK).cast("int")
+    open_ = at.join(parts.select("bucket", F.col("top.class").alias("top"), rows.alias("rows"), cols.alias("cols")), "bucket")
+    spot = F.xxhash64("node")
+    row, col = F.pmod(spot, "rows").cast("int"), F.pmod(spot, "cols").cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    stray = open_.where(F.col("class") != F.col("top")).select("bucket", "node", "class", row.alias("i"), every("cols").alias("j"))
+    other = open_.select("bucket", "node", "class", every("rows").alias("i"), col.alias("j"))
+    dealt = stray.withColumn("stray", F.lit(True)).unionByName(other.withColumn("stray", F.lit(False)))
+    shared = members.sparkSession.sparkContext.broadcast(idf)
+
+    def match(t: pa.Table) -> pa.Table:
+        b = t.combine_chunks().to_batches()[0]
+        vectors = list(each(b.select(["text"])))
+        is_stray = column(b, "stray").to_numpy(False)
+        node, kind = column(b, "node").to_pylist(), column(b, "class").dictionary_encode().indices.to_numpy()
+        others = np.flatnonzero(~is_stray)
+        whole = np.array([weights(*vectors[k], shared.value).sum() for k in range(len(vectors))])
+        h = np.concatenate([vectors[k][0] for k in others] or [np.zeros(0, np.uint64)])
+        tf = np.concatenate([vectors[k][1] for k in others] or [np.zeros(0, np.int64)])
+        who = np.repeat(np.arange(len(others)), [len(vectors[k][0]) for k in others])
+        order = np.argsort(h, kind="stable")
+        h, tf, who = h[order], tf[order], who[order]
+        found, root = [], list(range(int(kind.max(initial=0)) + 1))
+
+        def find(k: int) -> int:
+            while root[k] != k:
+                root[k] = k = root[root[k]]
+            return k
+
+        for x in np.flatnonzero(is_stray).tolist():
+            own, count = vectors[x]
+            first = np.searchsorted(h, own, "left")
+            n = np.searchsorted(h, own, "right") - first
+            at = np.repeat(first, n) + spans(n)
+            weight = np.repeat(shared.value[own >> np.uint64(64 - DF_BITS)], n) * np.minimum(np.repeat(count, n), tf[at])
+            both = np.bincount(who[at], weight, len(others))
+            like = both / np.maximum(whole[x] + whole[others] - both, 1e-12)
+            hit = others[(like >= threshold) & (kind[others] != kind[x])]
+            _, one = np.unique(kind[hit], return_index=True)
+            for y in hit[one].tolist():     # links that join components not yet joined in this block
+                p, q = find(int(kind[x])), find(int(kind[y]))
+                if p != q:
+                    root[p] = q
+                    found.append((node[x], node[y]))
+        return pa.table({"a": pa.array([a for a, _ in found], pa.binary()), "b": pa.array([b for _, b in found], pa.binary())})
+
+    return (dealt.join(bodies, "node").select("bucket", "i", "j", "node", "class", "text", "stray")
+            .groupBy("bucket", "i", "j").applyInArrow(match, "a binary, b binary"))
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(node, class): the least node of each connected component, for all nodes with a link.
-    Alternating large-star and small-star steps, until no link changes."""
+    """(node, class) for every node that is not the least of its connected component: the least.
+    Alternating large-star and small-star steps, until the links (by number and sum of hashes)
+    no longer change: then every link goes from a node to the least of its component."""
     u, v = F.col("u"), F.col("v")
-    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                    .where(u != v).distinct(), "edges")
+    edges = (links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+             .where(u != v).distinct())
+    before = None
     while True:
         both = edges.union(edges.select(v, u)).toDF("u", "v")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where(v > u).select(v.alias("u"), F.col("m").alias("v"))
-        large = large.where(u != v).distinct()
+        large = both.join(least, "u").where(v > u).select(v.alias("u"), F.col("m").alias("v")).where(u != v)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         step = (small.select(v.alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
                 .where(u != v).distinct())
-        step = written(step, "edges")
-        same = step.count() == edges.count() and not step.join(edges, ["u", "v"], "left_anti").limit(1).count()
-        edges = step
-        if same:
-            return edges.select(u.alias("node"), v.alias("class")).union(
-                edges.select(v.alias("node"), v.alias("class")).distinct())
+        edges = written(step, "edges")
+        seen = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+        if seen == before:
+            return edges.select(u.alias("node"), v.alias("class"))
+        before = seen
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, idf_share: float = IDF_SHARE, bands: int = BANDS,
@@ -243,27 +306,9 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, idf_share: float = ID
     salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / SALTED)).cast("int")
     pairs = (members.where("node != hub").groupBy(F.col("hub").alias("a"), F.col("node").alias("b"))
              .agg(F.max(salt).alias("salt")))
-    tried = members.select("bucket", F.col("hub").alias("node")).distinct()
-    links = written(verified(pairs, bodies, idf, threshold), "links")
-    many = 4
-    while True:
-        joined = written(components(links), "components")
-        at = members.join(joined, "node", "left").withColumn("class", F.coalesce("class", "node"))
-        per = at.join(tried.withColumn("done", F.lit(True)), ["bucket", "node"], "left").groupBy("bucket", "class").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("done").isNull(), F.col("node"))).alias("pivot"))
-        largest = per.groupBy("bucket").agg(F.max(F.struct("n", "class")).alias("top"),
-                                            F.count(F.lit(1)).alias("parts")).where("parts > 1")
-        open_ = per.join(largest, "bucket").where((F.col("class") != F.col("top.class")) & F.col("pivot").isNotNull())
-        order = F.row_number().over(Window.partitionBy("bucket").orderBy("pivot"))
-        pivots = written(open_.withColumn("order", order).where(F.col("order") <= many)
-                         .select("bucket", "pivot", F.col("class").alias("of")), "pivots")
-        if not pivots.limit(1).count():
-            break
-        tried = written(tried.union(pivots.select("bucket", F.col("pivot").alias("node"))), "tried")
-        pairs = (at.join(pivots, "bucket").where("class != of").groupBy(F.col("pivot").alias("a"), F.col("node").alias("b"))
-                 .agg(F.max(salt).alias("salt")))
-        links = written(links.union(verified(pairs, bodies, idf, threshold)), "links")
-        many *= 4
+    joined = components(written(verified(pairs, bodies, idf, threshold), "links"))
+    rest = written(cross_links(members, joined, bodies, idf, threshold), "links")
+    joined = components(joined.toDF("a", "b").union(rest))
     named = nodes.join(joined, "node", "left").select("node", "key", F.coalesce("class", "node").alias("class"))
     first = named.groupBy("class").agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("n_texts"))
     of_node = named.join(first, "class").select("node", "class", "least", "n_texts")

@@ -62,8 +62,9 @@ def test_classes(spark):
     assert any(len(x) > 5 for x in groups.values())
 
 
-def test_pivot_rounds_lose_no_link(spark):
-    """Bands of one sampler put strangers into a bucket; the rounds must sort them out."""
+def test_blocks_lose_no_link(spark, monkeypatch):
+    """Bands of one sampler put strangers into a bucket; the blocks must sort them out."""
+    monkeypatch.setattr(near_dup, "BLOCK", 5)
     rows = corpus()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     idf = near_dup.idf_table(docs, near_dup.IDF_SHARE)
