@@ -29,9 +29,9 @@ def test_in_degree_variants(graph, fn):
 
 
 def test_group_collect_splits_hot_key(spark):
-    # one target with 50 followers, max group 7: several chunks, same total
-    e = make_edges(spark, [(i, 0) for i in range(50)] + [(1, 2)] * 9)
-    got = dict(rows(degrees.in_degree_group_collect(e, max_group=7)))
+    # one target with 50 followers over 7 partitions: several lists, same total
+    e = make_edges(spark, [(i, 0) for i in range(50)] + [(1, 2)] * 9).repartition(7)
+    got = dict(rows(degrees.in_degree_group_collect(e)))
     assert got == {0: 50, 2: 9}
 
 
