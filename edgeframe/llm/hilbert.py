@@ -14,6 +14,9 @@ partition); no row is collected and no window runs over the table.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -38,7 +41,8 @@ def cells(df: DataFrame, dims: tuple[str, ...], bits: int) -> dict[str, Column]:
     cuts = [k / (1 << bits) for k in range(1, 1 << bits)]
     # a sketch per task is merged; 2**bits - 1 numbers per dimension come to the driver
     at = df.agg(*[F.percentile_approx(as_number(df, d), cuts, 1000).alias(f"_{i}") for i, d in enumerate(dims)]).collect()[0]
-    return {f"x{i}": sum(((as_number(df, d) > F.lit(v)).cast("int") for v in at[i] or []), F.lit(0))
+    # an empty table has no quantiles; a constant would be copied into every step of the curve
+    return {f"x{i}": reduce(add, [(as_number(df, d) > F.lit(v)).cast("int") for v in at[i] or [float("inf")]])
             for i, d in enumerate(dims)}
 
 
