@@ -21,7 +21,6 @@ Nothing is kept on the driver and no task holds more than one batch of groups.
 
 from __future__ import annotations
 
-import hashlib
 import itertools
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -190,21 +189,25 @@ def contexts(joined: DataFrame, units: Callable, length: int, gram: int) -> Data
             edge = np.searchsorted(doc, np.arange(len(known) + 1))
             keep = np.concatenate([np.isin(h[i:j], k) for i, j, k in zip(edge, edge[1:], known)]) \
                 if len(doc) else np.zeros(0, bool)
-            rows = []
+            rows, mark = [], None
             for d, s, m, x in zip(doc[keep].tolist(), start[keep].tolist(), n[keep].tolist(), h[keep].tolist()):
                 ctx = u.passage(s, s + m - 1 + length)
                 me = (keys[d], tags[d], s - begin[d])
-                digest = hashlib.blake2b(ctx, digest_size=16).digest()
+                digest = xxhash.xxh3_128_digest(ctx)
                 first = seen.get(digest)
                 if first is None or me < first:
                     if len(seen) >= SEEN:
                         seen.clear()
                     seen[digest] = me
+                    rows.append((x, *me, m, ctx))
                 elif first != me:
-                    ctx = None
-                else:
-                    continue                # the same row again
-                rows.append((x, *me, m, ctx))
+                    # windows of consecutive anchors follow on: one mark for a copied passage; marks
+                    # need no meeting, so they go by their document, not by a hash that may be hot
+                    if mark and (mark[1], mark[2], mark[3] + mark[4]) == me:
+                        mark[4] += m
+                    else:
+                        mark = [tags[d], *me, m, None]
+                        rows.append(mark)
             if rows:
                 cols = zip(("h", "key", "tag", "lo", "n", "ctx"), zip(*rows))
                 yield pa.RecordBatch.from_pydict(
