@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from edgeframe.llm.bpe import PIECES
 from edgeframe.llm.textcol import column, slices, spans, sums, texts, written
+from edgeframe.operators.common import bounded_broadcast
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 10
@@ -174,7 +175,7 @@ def judged(docs: DataFrame, byte_path: str, piece_path: str, fences: float = FEN
     measure that left its band, null where none did).  Texts are tokenised once; the figures are
     written and read for the bands and for the verdict."""
     seen = written(measures(docs, byte_path, piece_path, id_col, text_col, lang_col), "fertility")
-    of = bands(seen, fences)
+    of, _ = bounded_broadcast(written(bands(seen, fences), "bands"))     # a language may hold most rows
     row = seen.withColumn("grp", group()).join(of, "grp", "left")
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     scale = F.sqrt(F.col("n_words") / (F.col("n_words") + F.lit(steady)))
