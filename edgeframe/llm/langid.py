@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgeframe.llm.ngrams import fold, hashed_ngrams
-from edgeframe.llm.textcol import column, slices, spans, texts
+from edgeframe.llm.textcol import column, slices, spans, texts, written
+from edgeframe.operators.common import bounded_broadcast
 
 DIMS = 4096
 SIZES = (2, 3)
@@ -101,7 +102,9 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> dict:
     train = docs.where((F.col("fold") != HELD_OUT) & F.col("lang").isNotNull())
     idf = inverse_frequency(train)
     shared = docs.sparkSession.sparkContext.broadcast(idf)
-    share = train.groupBy("lang").agg((F.lit(sample) / F.count(F.lit(1))).alias("share"))
+    # one row per language, broadcast if that is proven small: texts must not be dealt by language
+    share, _ = bounded_broadcast(written(
+        train.groupBy("lang").agg((F.lit(sample) / F.count(F.lit(1))).alias("share")), "shares"))
     chosen = (train.join(share, "lang")
               .where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < F.col("share") * (1 << 20)))
 
