@@ -176,7 +176,10 @@ def recurring_hashes(docs: DataFrame, units: Callable, length: int, gram: int, b
 
 
 def contexts(joined: DataFrame, units: Callable, length: int, gram: int) -> DataFrame:
-    """Rows (h, key, tag, lo, n, ctx) for the judges; ctx is null where the row is a mark."""
+    """Rows (h, key, tag, lo, n, ctx) for the judges; ctx is null where the row is a mark.
+
+    Which copy of a passage is sent and which is marked depends on the order of the rows, and the two
+    go to different tasks: the rows are sorted, so that a task that runs again sends the same."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, tuple] = {}
@@ -213,7 +216,8 @@ def contexts(joined: DataFrame, units: Callable, length: int, gram: int) -> Data
                 yield pa.RecordBatch.from_pydict(
                     {k: pa.array(v, pa.binary() if k == "ctx" else pa.int64()) for k, v in cols})
 
-    return joined.mapInArrow(cut, "h long, key long, tag long, lo long, n long, ctx binary")
+    return joined.sortWithinPartitions("key", "tag").mapInArrow(
+        cut, "h long, key long, tag long, lo long, n long, ctx binary")
 
 
 def verdicts(cut: DataFrame, length: int, partitions: int, find: Callable, batch_bytes: int) -> DataFrame:

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from edgeframe.llm import phrase_dedup, suffix_dedup
+from edgeframe.llm.recurrence import byte_units, contexts, recurring_hashes, tagged
 
 
 def brute(docs, length, split, glue):
@@ -90,3 +91,16 @@ def test_edge_cases(spark):
     assert {(1, 0, 0), (2, 0, 0), (4, 80_000, 80_000), (5, 60, 60)} <= words
     none = extra.limit(0)
     assert suffix_dedup.removed(none).count() == 0 and phrase_dedup.removed(none).count() == 0
+
+
+def test_contexts_do_not_depend_on_the_order_of_rows(spark):
+    docs = spark.createDataFrame(corpus(3, "ab", 6, 60), "doc_id long, text string")
+    source = tagged(docs, "doc_id", "text")
+    joined = source.join(recurring_hashes(source, byte_units, 12, 4, 4), "tag").select("tag", "key", "text", "hashes")
+    rows = sorted(joined.collect(), key=lambda r: (r.key, r.tag))
+    sent = []
+    for order in (rows, rows[::-1], rows[1::2] + rows[::2]):
+        one = spark.createDataFrame(order, joined.schema).coalesce(1)
+        sent.append(contexts(one, byte_units, 12, 4).collect())
+    assert any(r.ctx is None for r in sent[0])
+    assert sent[0] == sent[1] == sent[2]
