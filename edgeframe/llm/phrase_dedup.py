@@ -72,7 +72,7 @@ def equal_windows(length: int):
 
 
 def removed(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id",
-            text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+            text_col: str = "text", carry: tuple[str, ...] = (), hot: int | None = None) -> DataFrame:
     """Query op10, one row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256 (the
     remaining words joined by one blank); ``carry`` adds ``kept`` and
     ``rest`` (a struct of these columns).  Null and
@@ -98,7 +98,8 @@ def removed(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str
                 out |= {"kept": pa.array([t.decode() for t in kept], pa.string()), "rest": column(b, "rest")}
             yield pa.RecordBatch.from_pydict(out)
 
-    marked = with_marks(docs, word_units, length, gram, equal_windows(length), id_col, text_col, carry, BATCH_BYTES)
+    marked = with_marks(docs, word_units, length, gram, equal_windows(length), id_col, text_col, carry, BATCH_BYTES,
+                        hot)
     schema = StructType.fromDDL("doc_id long, n_words long, n_removed long, kept_sha256 string")
     if carry:
         schema = schema.add("kept", "string").add(marked.schema["rest"])

@@ -4,19 +4,23 @@ Units are bytes or words.  The plan, shared by the suffix-array and the automato
 
 1. *Anchors.*  Every window of ``length`` units has an anchor: of the ``gram``-unit grams in it,
    the leftmost with the least hash.  Equal windows have equal anchors at equal places, so a
-   window can recur only if its anchor's hash does.  A document sends each hash once (twice if
-   it has it more often), packed by hash bucket; a bucket answers with the hashes that recur.
+   window can recur only if its anchor's hash does.  A document sends each hash once for each
+   place, packed by hash bucket; a bucket answers with the hashes that recur,
+   and says which of them are *hot*: in more places than one batch of groups may hold.
 2. *Contexts.*  Documents meet their answers and cut, around each recurring anchor, the passage
    that holds all windows of this anchor.  A context that the task has already sent for an
    earlier document is not sent again: its windows are marked at once, so a passage in a third
-   of all documents costs each task one row.
+   of all documents costs each task one row.  A new context of a hot anchor is cut into its
+   windows, and each goes by its own hash: a phrase too short to be removed, with other
+   neighbours in every document, makes many small groups and not one of all its contexts.
 3. *Verdicts.*  Contexts meet by anchor hash, so all occurrences of a window are together.
    Equal contexts fold to the earliest; where an anchor has several contexts, ``find`` (suffix
    array or automaton) tells which windows are equal.  All but the earliest are marked.
 4. Marks meet their documents.
 
 It is one lazy plan: the documents are dealt by their tag once and that exchange is used twice.
-Nothing is kept on the driver and no task holds more than one batch of groups.
+Nothing is kept on the driver.  A task holds one batch of groups; a group has at most ``hot``
+contexts, or is one window (of a hash) and as many rows as tasks sent it.
 """
 
 from __future__ import annotations
@@ -37,8 +41,15 @@ from edgeframe.llm.textcol import column, doc_key, slices, sums, texts, utf8
 #: suffix array takes some 60 bytes for each, an automaton several hundred
 PACK_BYTES = 32 << 20
 BATCH_BYTES = 2 << 20
-#: contexts that a task remembers; the memory starts anew when it is full
+#: contexts, and windows of hot anchors, that a task remembers; the memory starts anew when it is full
 SEEN = 200_000
+SEEN_WINDOWS = 25_000
+#: bytes of a batch for each context that an anchor may have before it is hot
+HOT_BYTES = 256
+#: marks a hot anchor's hash in an answer (hashes have 57 bits)
+HOT = 1 << 60
+#: rows that a task gathers before it sends them
+ROWS = 5_000
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 MARK = "tag long, key long, lo long, n long"
@@ -125,8 +136,10 @@ def tagged(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] =
                        F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), *rest)
 
 
-def recurring_hashes(docs: DataFrame, units: Callable, length: int, gram: int, buckets: int) -> DataFrame:
-    """(tag, hashes): the anchor hashes of a document that stand elsewhere too, as blobs."""
+def recurring_hashes(docs: DataFrame, units: Callable, length: int, gram: int, buckets: int,
+                     hot: int = BATCH_BYTES // HOT_BYTES) -> DataFrame:
+    """(tag, hashes): the anchor hashes of a document that stand elsewhere too, as blobs; those in
+    more than ``hot`` places have the bit ``HOT``."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -134,11 +147,7 @@ def recurring_hashes(docs: DataFrame, units: Callable, length: int, gram: int, b
             if b is not None:
                 tags = column(b, "tag").to_numpy()
                 doc, _, _, h = anchors(units(b), length, gram)
-                order = np.lexsort((h, doc))
-                doc, h = doc[order], h[order]
-                same = np.zeros(len(h), bool)
-                same[2:] = (h[2:] == h[:-2]) & (doc[2:] == doc[:-2])     # a third and later time
-                held.append((h[~same], tags[doc[~same]]))
+                held.append((h, tags[doc]))
                 size += utf8(column(b, "text"))[1][-1]
             if held and (b is None or size >= PACK_BYTES):
                 h, tag = (np.concatenate(x) for x in zip(*held))
@@ -163,8 +172,13 @@ def recurring_hashes(docs: DataFrame, units: Callable, length: int, gram: int, b
         again[1:] |= same
         again[:-1] |= same
         h, tag = h[again], tag[again]
-        order = np.argsort(tag, kind="stable")
+        _, of, places = np.unique(h, return_inverse=True, return_counts=True)
+        h = np.where(places[of] > hot, h | HOT, h)
+        order = np.lexsort((h, tag))
         h, tag = h[order], tag[order]
+        once = np.ones(len(h), bool)
+        once[1:] = (h[1:] != h[:-1]) | (tag[1:] != tag[:-1])
+        h, tag = h[once], tag[once]
         to, first = np.unique(tag, return_index=True)
         ends = np.append(first, len(h))
         return pa.table({"tag": pa.array(to, pa.int64()),
@@ -181,8 +195,26 @@ def contexts(joined: DataFrame, units: Callable, length: int, gram: int) -> Data
     Which copy of a passage is sent and which is marked depends on the order of the rows, and the two
     go to different tasks: the rows are sorted, so that a task that runs again sends the same."""
 
+    def packed(rows: list) -> pa.RecordBatch:
+        cols = zip(("h", "key", "tag", "lo", "n", "ctx"), zip(*rows))
+        return pa.RecordBatch.from_pydict(
+            {k: pa.array(v, pa.binary() if k == "ctx" else pa.int64()) for k, v in cols})
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, tuple] = {}
+        seen_windows: dict[bytes, tuple] = {}
+
+        def new(memory: dict[bytes, tuple], most: int, passage: bytes, me: tuple) -> bool | None:
+            """Whether to send a passage; None: it is the remembered one."""
+            digest = xxhash.xxh3_128_digest(passage)
+            first = memory.get(digest)
+            if first is None or me < first:
+                if len(memory) >= most:
+                    memory.clear()
+                memory[digest] = me
+                return True
+            return None if first == me else False
+
         for b in slices(batches):
             u = units(b)
             doc, start, n, h = anchors(u, length, gram)
@@ -190,31 +222,42 @@ def contexts(joined: DataFrame, units: Callable, length: int, gram: int) -> Data
             tags, keys = column(b, "tag").to_pylist(), column(b, "key").to_pylist()
             known = [np.frombuffer(b"".join(x), np.int64) for x in column(b, "hashes").to_pylist()]
             edge = np.searchsorted(doc, np.arange(len(known) + 1))
-            keep = np.concatenate([np.isin(h[i:j], k) for i, j, k in zip(edge, edge[1:], known)]) \
-                if len(doc) else np.zeros(0, bool)
+            keep, hot = np.zeros(len(doc), bool), np.zeros(len(doc), bool)
+            for i, j, k in zip(edge, edge[1:], known):
+                keep[i:j] = np.isin(h[i:j], k & ~HOT)
+                if len(k) and k.max() >= HOT:
+                    hot[i:j] = np.isin(h[i:j] | HOT, k)
             rows, mark = [], None
-            for d, s, m, x in zip(doc[keep].tolist(), start[keep].tolist(), n[keep].tolist(), h[keep].tolist()):
+            for d, s, m, x, many in zip(doc[keep].tolist(), start[keep].tolist(), n[keep].tolist(),
+                                        h[keep].tolist(), hot[keep].tolist()):
                 ctx = u.passage(s, s + m - 1 + length)
                 me = (keys[d], tags[d], s - begin[d])
-                digest = xxhash.xxh3_128_digest(ctx)
-                first = seen.get(digest)
-                if first is None or me < first:
-                    if len(seen) >= SEEN:
-                        seen.clear()
-                    seen[digest] = me
+                fresh = new(seen, SEEN, ctx, me)
+                if fresh and not many:
                     rows.append((x, *me, m, ctx))
-                elif first != me:
-                    # windows of consecutive anchors follow on: one mark for a copied passage; marks
-                    # need no meeting, so they go by their document, not by a hash that may be hot
-                    if mark and (mark[1], mark[2], mark[3] + mark[4]) == me:
-                        mark[4] += m
-                    else:
-                        mark = [tags[d], *me, m, None]
-                        rows.append(mark)
+                elif fresh is not None:
+                    # each window of a hot anchor's new context, or the whole of a copied one
+                    for at, w in ((at, 1) for at in range(s, s + m)) if fresh else ((s, m),):
+                        me = (keys[d], tags[d], at - begin[d])
+                        if fresh:
+                            window = u.passage(at, at + length)
+                            first = new(seen_windows, SEEN_WINDOWS, window, me)
+                            if first:
+                                rows.append((xxhash.xxh3_64_intdigest(window) >> 1, *me, 1, window))
+                            if first is not False:
+                                continue
+                        # windows of consecutive anchors follow on: one mark for a copied passage; marks
+                        # need no meeting, so they go by their document, not by a hash that may be hot
+                        if mark and (mark[1], mark[2], mark[3] + mark[4]) == me:
+                            mark[4] += w
+                        else:
+                            mark = [tags[d], *me, w, None]
+                            rows.append(mark)
+                if len(rows) >= ROWS:
+                    yield packed(rows)
+                    rows, mark = [], None
             if rows:
-                cols = zip(("h", "key", "tag", "lo", "n", "ctx"), zip(*rows))
-                yield pa.RecordBatch.from_pydict(
-                    {k: pa.array(v, pa.binary() if k == "ctx" else pa.int64()) for k, v in cols})
+                yield packed(rows)
 
     return joined.sortWithinPartitions("key", "tag").mapInArrow(
         cut, "h long, key long, tag long, lo long, n long, ctx binary")
@@ -282,12 +325,14 @@ def verdicts(cut: DataFrame, length: int, partitions: int, find: Callable, batch
 
 
 def with_marks(docs: DataFrame, units: Callable, length: int, gram: int, find: Callable, id_col: str = "doc_id",
-               text_col: str = "text", carry: tuple[str, ...] = (), batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """``tagged`` rows with ``marks``: structs (key, lo, n), null where none."""
+               text_col: str = "text", carry: tuple[str, ...] = (), batch_bytes: int = BATCH_BYTES,
+               hot: int | None = None) -> DataFrame:
+    """``tagged`` rows with ``marks``: structs (key, lo, n), null where none.  Anchors in more than
+    ``hot`` places are split (as many as a batch may hold by default)."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     source = tagged(docs, id_col, text_col, carry)
     dealt = source.repartition(parts, "tag")
-    answers = recurring_hashes(source, units, length, gram, 4 * parts)
+    answers = recurring_hashes(source, units, length, gram, 4 * parts, hot or batch_bytes // HOT_BYTES)
     cut = contexts(dealt.join(answers.hint("shuffle_hash"), "tag"), units, length, gram)
     found = (verdicts(cut, length, parts, find, batch_bytes).groupBy("tag")
              .agg(F.collect_list(F.struct("key", "lo", "n")).alias("marks")))

@@ -144,7 +144,7 @@ def equal_windows(length: int):
 
 
 def removed(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id",
-            text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+            text_col: str = "text", carry: tuple[str, ...] = (), hot: int | None = None) -> DataFrame:
     """Query op6, one row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256;
     ``carry`` adds
     ``kept`` (the remaining bytes; a character of which only a part remains is left out) and ``rest``
@@ -169,7 +169,8 @@ def removed(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str
                         "rest": column(b, "rest")}
             yield pa.RecordBatch.from_pydict(out)
 
-    marked = with_marks(docs, byte_units, length, gram, equal_windows(length), id_col, text_col, carry)
+    marked = with_marks(docs, byte_units, length, gram, equal_windows(length), id_col, text_col, carry,
+                        hot=hot)
     schema = StructType.fromDDL("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     if carry:
         schema = schema.add("kept", "string").add(marked.schema["rest"])

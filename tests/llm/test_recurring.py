@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from edgeframe.llm import phrase_dedup, suffix_dedup
-from edgeframe.llm.recurrence import byte_units, contexts, recurring_hashes, tagged
+from edgeframe.llm.recurrence import BATCH_BYTES, byte_units, contexts, recurring_hashes, tagged
 
 
 def brute(docs, length, split, glue):
@@ -104,3 +104,28 @@ def test_contexts_do_not_depend_on_the_order_of_rows(spark):
         sent.append(contexts(one, byte_units, 12, 4).collect())
     assert any(r.ctx is None for r in sent[0])
     assert sent[0] == sent[1] == sent[2]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_removal_with_hot_anchors(spark, seed):
+    rows = corpus(seed, "abé\n", 6, 60)
+    want = brute(rows, 12, lambda t: list(t.encode()), bytes)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = suffix_dedup.removed(df, length=12, gram=4, hot=3).collect()
+    assert sorted(tuple(r) for r in got) == sorted((d, *want[d, t]) for d, t in rows)
+    rows = [(d, t.replace("c", " ").replace("d", " \t")) for d, t in corpus(seed, "abcdcd", 6, 60)]
+    want = brute(rows, 6, lambda t: t.encode().split(), b" ".join)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = phrase_dedup.removed(df, length=6, gram=2, hot=3).collect()
+    assert sorted(tuple(r) for r in got) == sorted((d, n, g, k) for d, t in rows for n, g, _, k in [want[d, t]])
+
+
+def test_a_hot_anchor_is_not_one_group(spark):
+    r = random.Random(8)
+    phrase = "".join(r.choice("abcdefghij") for _ in range(60))     # too short to be removed
+    docs = spark.createDataFrame([(d, f"{r.getrandbits(200):060x}{phrase}{r.getrandbits(200):060x}") for d in range(20_000)],
+                                 "doc_id long, text string")
+    source = tagged(docs, "doc_id", "text")
+    joined = source.join(recurring_hashes(source, byte_units, 100, 32, 16), "tag")
+    sizes = contexts(joined, byte_units, 100, 32).selectExpr("h", "length(ctx) size").groupBy("h").sum("size")
+    assert max(n or 0 for _, n in sizes.collect()) <= BATCH_BYTES
