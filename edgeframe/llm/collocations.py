@@ -8,12 +8,14 @@ shorter ones.  A phrase's parts and its longer phrases are at least as frequent
 frequent ones are kept after that.
 
 The windows of a slice of texts are made and counted column by column (Arrow and numpy) before
-they are shuffled by all their columns; the frequent phrases meet their parts in plain joins.
+they are shuffled; the frequent phrases meet their parts in plain joins.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add, and_
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,7 @@ LONGEST = 3
 LEAST = 10
 SHARE = 50
 TOP = 2000
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 
 #: A-Z become a-z; every other byte stays
 LOWER = np.array([c + 32 if 0x41 <= c <= 0x5A else c for c in range(256)], np.uint8)
@@ -52,11 +54,12 @@ def word_columns(col: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 
 def windows(b: pa.RecordBatch, longest: int) -> pa.RecordBatch:
-    """(lang, w1, .., n): the padded windows of a slice of texts, counted."""
+    """(head, tail, n): the padded windows of a slice of texts, counted.  ``tail`` is the last
+    word of a window, ``head`` the others and the language, joined by tabs (no word holds one)."""
     words, piece, text = word_columns(column(b, "text"))
     coded = words.dictionary_encode()
     order = pc.sort_indices(coded.dictionary)
-    vocabulary = pa.concat_arrays([pa.array([b""], pa.large_binary()), coded.dictionary.take(order)])
+    vocabulary = pa.concat_arrays([pa.array([b""], pa.large_binary()), coded.dictionary.take(order)]).cast(pa.large_string())
     place = np.empty(len(order), np.int64)
     place[order.to_numpy()] = np.arange(1, len(order) + 1)
     code = place[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
@@ -79,38 +82,47 @@ def windows(b: pa.RecordBatch, longest: int) -> pa.RecordBatch:
         new = np.any([np.diff(c[at], prepend=-1) != 0 for c in lead], axis=0)
     first = np.flatnonzero(new)
     pick = at[first]
-    cols = {"lang": langs.dictionary.take(pa.array(lead[0][pick]))}
-    for k in range(longest):
-        cols[f"w{k + 1}"] = vocabulary.take(pa.array(lead[k + 1][pick])).cast(pa.large_string())
-    cols["n"] = pa.array(np.diff(np.concatenate([first, [len(at)]])), pa.int64())
-    return pa.RecordBatch.from_pydict(cols)
+    *front, tail = [vocabulary.take(pa.array(c[pick])) for c in lead[1:]]
+    lang = langs.dictionary.cast(pa.large_string()).take(pa.array(lead[0][pick]))
+    return pa.RecordBatch.from_pydict({
+        "head": pc.binary_join_element_wise(*front, lang, pa.scalar("\t", pa.large_string())).cast(pa.string()), "tail": tail.cast(pa.string()),
+        "n": pa.array(np.diff(np.concatenate([first, [len(at)]])), pa.int64())})
 
 
 def frequencies(docs: DataFrame, longest: int, least: int, text_col: str, lang_col: str) -> DataFrame:
     """Written (lang, k, phrase, f): phrases of 1 to ``longest`` words found ``least`` times or
-    more, and as k = 0 the number of all words of a language."""
+    more, and as k = 0 the number of all words of a language.
+
+    Windows are shuffled once, by their head.  There a window found too rarely is put to the
+    rest of its head, and a head found too rarely to the rest of the head without its last word:
+    neither can be a phrase of its length, and the ROLLUP, which sums them to all that is shorter,
+    gets few rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, most=SLICE_BYTES):
-            yield windows(b, longest).cast(schema)
+            yield windows(b, longest)
 
-    cols = ["lang", *[f"w{k}" for k in range(1, longest + 1)]]
-    schema = pa.schema([*[(c, pa.string()) for c in cols], ("n", pa.int64())])
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                          F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    dealt = source.mapInArrow(count, ", ".join([*(f"{c} string" for c in cols), "n long"])).repartition(parts, *cols)
-    top = dealt.groupBy(*cols).agg(F.sum("n").alias("f"))
-    # grouping_id has a bit for every column that is summed over: 0 for the longest prefix
-    level = sum((F.when(F.grouping(c) == 0, 1).otherwise(0) for c in cols[1:-1]), F.lit(0))
-    shorter = top.rollup(*cols[:-1]).agg(F.sum("f").alias("f"), level.alias("k"), F.grouping("lang").alias("every")) \
-        .where("every = 0").withColumn(cols[-1], F.lit(None).cast("string"))
-    whole = top.withColumn("k", F.lit(longest)).unionByName(shorter.drop("every"))
-    # a window that is shorter than its level ends in padding; it is counted at its own level
-    full = F.array(*[F.col(c) != "" for c in cols[1:]])
-    real = F.aggregate(F.slice(full, 1, longest), F.lit(True), lambda a, x: a & F.coalesce(x, F.lit(True)))
-    return written(whole.where((F.col("k") == 0) | (F.col("f") >= least) & real)
-                   .select("lang", "k", F.concat_ws(" ", *cols[1:]).alias("phrase"), "f"), "phrases")
+    dealt = source.mapInArrow(count, "head string, tail string, n long").repartition(parts, "head")
+    top = dealt.groupBy("head", "tail").agg(F.sum("n").alias("n"))
+    rare = F.col("n") < least
+    rest = top.groupBy("head").agg(F.sum("n").alias("all"), F.sum(F.when(rare, F.col("n")).otherwise(0)).alias("n"))
+    cols = [f"w{k}" for k in range(1, longest + 1)]
+    front = F.split("head", "\t", longest)
+    word = [front[k].alias(c) for k, c in enumerate(cols[:-1])]
+    lang, blank = front[longest - 1].alias("lang"), F.lit("").alias(cols[-1])
+    thin = F.col("all") < least
+    kept = top.where(~rare).select(lang, *word, F.col("tail").alias(cols[-1]), "n").unionByName(
+        rest.where("n > 0").select(lang, *word[:-1], F.when(thin, "").otherwise(word[-1]).alias(cols[-2]), blank, "n"))
+    # how many words of the window a sum keeps
+    level = reduce(add, [F.when(F.grouping(c) == 0, 1).otherwise(0) for c in cols])
+    sums = kept.rollup("lang", *cols).agg(F.sum("n").alias("f"), level.alias("k"), F.grouping("lang").alias("every"))
+    # a prefix that holds padding or a rest is no phrase
+    real = reduce(and_, [F.coalesce(F.col(c) != "", F.lit(True)) for c in cols])
+    return written(sums.where((F.col("every") == 0) & ((F.col("k") == 0) | (F.col("f") >= least) & real))
+                   .select("lang", "k", F.concat_ws(" ", *cols).alias("phrase"), "f"), "phrases")
 
 
 def part(words: Column, start: Column, length: Column) -> Column:
