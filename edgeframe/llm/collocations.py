@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 from operator import add, and_
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -53,25 +54,32 @@ def word_columns(col: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return words, np.cumsum(kind == 2)[starts] + text if len(starts) else text, text
 
 
-def windows(b: pa.RecordBatch, longest: int) -> pa.RecordBatch:
-    """(head, tail, n): the padded windows of a slice of texts, counted.  ``tail`` is the last
-    word of a window, ``head`` the others and the language, joined by tabs (no word holds one)."""
+def coded_words(b: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+    """(vocabulary in byte order after '', place in it, languages, language, piece) of all words."""
     words, piece, text = word_columns(column(b, "text"))
     coded = words.dictionary_encode()
     order = pc.sort_indices(coded.dictionary)
     vocabulary = pa.concat_arrays([pa.array([b""], pa.large_binary()), coded.dictionary.take(order)]).cast(pa.large_string())
     place = np.empty(len(order), np.int64)
     place[order.to_numpy()] = np.arange(1, len(order) + 1)
-    code = place[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
     langs = column(b, "lang").dictionary_encode()
-    lead = [langs.indices.to_numpy()[text].astype(np.int64)]
+    code = place[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
+    return vocabulary, code, langs.dictionary, langs.indices.to_numpy()[text].astype(np.int64), piece
+
+
+def windows(b: pa.RecordBatch, longest: int, hot: frozenset = frozenset(), salts: int = 1) -> pa.RecordBatch:
+    """(lang, w1, salt, packed): the padded windows of a slice of texts, counted.  ``packed`` has a
+    line for each window of a first word: its other words and its count, parted by tabs, which no
+    word holds.  Windows that begin with a hot (lang, word) are dealt by their second word."""
+    vocabulary, code, langs, lang, piece = coded_words(b)
+    lead = [lang]
     for k in range(longest):
         same = np.zeros(len(code), bool)
         rest = max(0, len(code) - k)
         same[:rest] = piece[len(code) - rest:] == piece[:rest]
         lead.append(np.where(same, np.roll(code, -k), 0))
     base = len(vocabulary)
-    if len(langs.dictionary) * base ** longest < 1 << 63:   # one number per window
+    if len(langs) * base ** longest < 1 << 63:              # one number per window
         key = lead[0]
         for c in lead[1:]:
             key = key * base + c
@@ -81,41 +89,80 @@ def windows(b: pa.RecordBatch, longest: int) -> pa.RecordBatch:
         at = np.lexsort(lead[::-1])
         new = np.any([np.diff(c[at], prepend=-1) != 0 for c in lead], axis=0)
     first = np.flatnonzero(new)
-    pick = at[first]
-    *front, tail = [vocabulary.take(pa.array(c[pick])) for c in lead[1:]]
-    lang = langs.dictionary.cast(pa.large_string()).take(pa.array(lead[0][pick]))
+    n = np.diff(np.concatenate([first, [len(at)]]))
+    lead = [c[at[first]] for c in lead]
+    salt = np.zeros(len(first), np.int64)
+    if hot:
+        number = {w: i for i, w in enumerate(vocabulary.to_pylist())}
+        hot_at = {(i, number[w]) for i, x in enumerate(langs.to_pylist()) for y, w in hot if x == y and w in number}
+        of = np.fromiter((1 + crc32(w.encode()) % salts for w in number), np.int64, base)
+        for i, c in hot_at:
+            mine = (lead[0] == i) & (lead[1] == c)
+            salt[mine] = of[lead[2][mine]]
+    again = np.lexsort((salt, lead[1], lead[0]))            # stable: lines stay in order
+    lead, n, salt = [c[again] for c in lead], n[again], salt[again]
+    group = np.flatnonzero(np.any([np.diff(c, prepend=-1) != 0 for c in (lead[0], lead[1], salt)], axis=0))
+    word = lambda c: vocabulary.take(pa.array(c))
+    lines = pc.binary_join_element_wise(*map(word, lead[2:]), pa.array(n).cast(pa.large_string()), pa.scalar("\t", pa.large_string()))
+    packed = pa.LargeListArray.from_arrays(pa.array(np.concatenate([group, [len(n)]]), pa.int64()), lines)
     return pa.RecordBatch.from_pydict({
-        "head": pc.binary_join_element_wise(*front, lang, pa.scalar("\t", pa.large_string())).cast(pa.string()), "tail": tail.cast(pa.string()),
-        "n": pa.array(np.diff(np.concatenate([first, [len(at)]])), pa.int64())})
+        "lang": langs.cast(pa.string()).take(pa.array(lead[0][group])), "w1": word(lead[1][group]).cast(pa.string()),
+        "salt": pa.array(salt[group], pa.int32()),
+        "packed": pc.binary_join(packed, pa.scalar("\n", pa.large_string())).cast(pa.string())})
+
+
+def hot_words(source: DataFrame, share: float) -> frozenset:
+    """The (lang, word) that are more than about ``share`` of all words: fewer than 3 / share, as words take
+    two characters with their blank, and six are counted for one."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, most=SLICE_BYTES):
+            vocabulary, code, langs, lang, _ = coded_words(b)
+            n = np.bincount(lang * len(vocabulary) + code, minlength=1)
+            often = np.flatnonzero(n * 2 > share * len(code))
+            yield pa.RecordBatch.from_pydict({
+                "lang": langs.cast(pa.string()).take(pa.array(often // len(vocabulary))),
+                "word": vocabulary.take(pa.array(often % len(vocabulary))).cast(pa.string()),
+                "n": pa.array(n[often], pa.int64()), "every": pa.array(np.full(len(often), len(code)), pa.int64())})
+
+    found = source.mapInArrow(count, "lang string, word string, n long, every long") \
+        .groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    every = source.select(F.sum(F.length("text")).alias("c")).first()["c"] or 0
+    return frozenset((r["lang"], r["word"]) for r in found.where(F.col("n") * 6 > share * every).collect())
 
 
 def frequencies(docs: DataFrame, longest: int, least: int, text_col: str, lang_col: str) -> DataFrame:
     """Written (lang, k, phrase, f): phrases of 1 to ``longest`` words found ``least`` times or
     more, and as k = 0 the number of all words of a language.
 
-    Windows are shuffled once, by their head.  There a window found too rarely is put to the
-    rest of its head, and a head found too rarely to the rest of the head without its last word:
-    neither can be a phrase of its length, and the ROLLUP, which sums them to all that is shorter,
-    gets few rows."""
+    Windows are shuffled once, by language and first word (hot ones by second word too).  There a
+    window found too rarely is put to the rest of its head, the window without its last word,
+    and a head found too rarely to the rest of its own: neither can be a phrase of its length, and the
+    ROLLUP, which sums them to all that is shorter, gets few rows."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    source = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
+                         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    hot = hot_words(source, 1 / (4 * parts))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, most=SLICE_BYTES):
-            yield windows(b, longest)
+            yield windows(b, longest, hot, parts)
 
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    source = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
-                         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    dealt = source.mapInArrow(count, "head string, tail string, n long").repartition(parts, "head")
-    top = dealt.groupBy("head", "tail").agg(F.sum("n").alias("n"))
+    line = F.explode(F.split("packed", "\n")).alias("line")
+    top = source.mapInArrow(count, "lang string, w1 string, salt int, packed string") \
+        .repartition(parts, "lang", "w1", "salt").select("lang", "w1", "salt", line) \
+        .groupBy("lang", "w1", "salt", F.substring_index("line", "\t", longest - 1).alias("tail")) \
+        .agg(F.sum(F.substring_index("line", "\t", -1).cast("long")).alias("n"))
     rare = F.col("n") < least
-    rest = top.groupBy("head").agg(F.sum("n").alias("all"), F.sum(F.when(rare, F.col("n")).otherwise(0)).alias("n"))
+    rest = top.groupBy("lang", "w1", "salt", F.substring_index("tail", "\t", longest - 2).alias("middle")) \
+        .agg(F.sum("n").alias("all"), F.sum(F.when(rare, F.col("n")).otherwise(0)).alias("n")).where("n > 0")
     cols = [f"w{k}" for k in range(1, longest + 1)]
-    front = F.split("head", "\t", longest)
-    word = [front[k].alias(c) for k, c in enumerate(cols[:-1])]
-    lang, blank = front[longest - 1].alias("lang"), F.lit("").alias(cols[-1])
-    thin = F.col("all") < least
-    kept = top.where(~rare).select(lang, *word, F.col("tail").alias(cols[-1]), "n").unionByName(
-        rest.where("n > 0").select(lang, *word[:-1], F.when(thin, "").otherwise(word[-1]).alias(cols[-2]), blank, "n"))
+    split = lambda c, names: [F.split(c, "\t")[i].alias(x) for i, x in enumerate(names)]
+    front = split("middle", cols[1:-1])
+    if front:
+        front[-1] = F.when(F.col("all") < least, "").otherwise(front[-1]).alias(cols[-2])
+    kept = top.where(~rare).select("lang", "w1", *split("tail", cols[1:]), "n").unionByName(
+        rest.select("lang", "w1", *front, F.lit("").alias(cols[-1]), "n"))
     # how many words of the window a sum keeps
     level = reduce(add, [F.when(F.grouping(c) == 0, 1).otherwise(0) for c in cols])
     sums = kept.rollup("lang", *cols).agg(F.sum("n").alias("f"), level.alias("k"), F.grouping("lang").alias("every"))

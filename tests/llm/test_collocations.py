@@ -65,10 +65,35 @@ def test_scores_are_exact_beyond_64_bits(spark):
     assert got == 10**6 * a * a // (l * r)
 
 
-def test_windows_with_a_vocabulary_too_large_for_one_number(monkeypatch):
+def unpacked(batch, longest):
+    """{window: count}, and the rows that hold each first word."""
+    out, rows = Counter(), Counter()
+    for r in batch.to_pylist():
+        rows[r["lang"], r["w1"]] += 1
+        for line in r["packed"].split("\n"):
+            *tail, n = line.split("\t")
+            assert len(tail) == longest - 1
+            out[(r["lang"], r["w1"], *tail)] += int(n)
+    return out, rows
+
+
+def test_windows_of_a_slice(monkeypatch):
     b = pa.RecordBatch.from_pydict({"lang": ["x", "y", "x"], "text": ["a b a b a, b a", "a b", ""]})
-    small = col.windows(b, 3).to_pylist()
-    monkeypatch.setattr(np, "argsort", None)            # the wide path does not use it
-    wide = col.windows(pa.RecordBatch.from_pydict({"lang": b["lang"], "text": b["text"]}), 60)
-    assert len({(*r["head"].split("\t")[:3], r["head"].split("\t")[-1]) for r in wide.to_pylist()}) == len(small)
-    assert sum(r["n"] for r in wide.to_pylist()) == sum(r["n"] for r in small) == 9
+    small, rows = unpacked(col.windows(b, 3), 3)
+    assert small["x", "a", "b", "a"] == 2 and small["x", "a", "", ""] == 2 and sum(small.values()) == 9
+    assert set(rows.values()) == {1}
+    dealt, rows = unpacked(col.windows(b, 3, frozenset([("x", "a"), ("z", "b"), ("x", "none")]), 50), 3)
+    assert dealt == small and rows["x", "a"] == 2 and rows["x", "b"] == rows["y", "a"] == 1
+    monkeypatch.setattr(np, "argsort", None)            # a vocabulary too large for one number
+    wide, _ = unpacked(col.windows(b, 60), 60)
+    assert Counter({k[:4]: 0 for k in wide}) == Counter({k: 0 for k in small}) and sum(wide.values()) == 9
+
+
+def test_hot_words_are_found_and_change_nothing(spark, monkeypatch):
+    rows = [("en", f"hot w{k % 7} hot v{k % 5}. hot") for k in range(200)] + [("en", f"cold{k} word{k}") for k in range(300)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    assert ("en", "hot") in col.hot_words(docs, 1 / 16) and len(col.hot_words(docs, 1 / 16)) < 32
+    want = brute(rows)
+    assert mined(docs) == want
+    monkeypatch.setattr(col, "hot_words", lambda *_: frozenset())
+    assert mined(docs) == want
