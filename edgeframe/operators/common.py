@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 import uuid
 
@@ -161,6 +162,8 @@ class BucketedTable:
         self.path = scratch_path(self.spark, name)
         self.table = f"edgeframe_{name}_{uuid.uuid4().hex[:12]}"
         self.seen = self._write(df.repartition(self.n, key) if shuffle else df, "overwrite", metrics)
+        self.rows: int | None = None     # known after the first count
+        self.appends = 0
 
     def _write(self, df: DataFrame, mode: str, metrics: tuple) -> dict:
         obs = Observation(f"rows_{uuid.uuid4().hex[:12]}")
@@ -177,9 +180,24 @@ class BucketedTable:
         """Append ``df`` (ideally already hash-partitioned by ``key``); returns how many
         rows it had, from the files' footers.  (An observed metric never arrives if
         the adaptive planner finds the appended plan empty and drops the node.)"""
-        before = self.spark.read.parquet(self.path).count()
+        before = self.count()
         self._write(df, "append", ())
-        return self.spark.read.parquet(self.path).count() - before
+        self.rows = self.spark.read.parquet(self.path).count()
+        self.appends += 1
+        return self.rows - before
+
+    def count(self) -> int:
+        """All rows, from the files' footers; read only after a write."""
+        if self.rows is None:
+            self.rows = self.spark.read.parquet(self.path).count()
+        return self.rows
+
+    def compacted(self, rows: DataFrame, name: str) -> "BucketedTable":
+        """A table of ``rows`` (computed from this one and still laid out by its buckets) in place
+        of this one, with one file per bucket."""
+        new = BucketedTable(rows, self.key, name, self.n, shuffle=False)
+        self.drop()
+        return new
 
     def files(self) -> DataFrame:
         """The rows as plain files; the catalog entry goes, the files stay."""
@@ -231,6 +249,52 @@ class HubSplitEdges:
         self.cold.drop()
 
 
+class Small:
+    """Frames of a loop kept in memory, each proven small when it is made.
+
+    ``keep`` persists a frame (memory, else disk of the executors) and counts its rows, or those that
+    fulfil a condition, which fills the cache.  A lost block is computed again from the frames
+    before it; ``cut`` writes a frame to the shared folder instead, which bounds that chain (and the plan, which
+    names all frames of the chain).  ``release`` gives up all kept frames but the given ones."""
+
+    #: rounds between two written frames
+    EVERY = 3
+
+    def __init__(self):
+        self.held: list[DataFrame] = []
+
+    def keep(self, df: DataFrame, counted: Column | None = None) -> tuple[DataFrame, int]:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        self.held.append(df)
+        return df, (df if counted is None else df.where(counted)).count()
+
+    def cut(self, df: DataFrame, name: str) -> DataFrame:
+        return written_table(df, name)
+
+    def release(self, *but: DataFrame) -> None:
+        for df in [h for h in self.held if not any(h is b for b in but)]:
+            df.unpersist()
+        self.held = [h for h in self.held if any(h is b for b in but)]
+
+
+def global_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+    """``df`` with its place in ``order`` as a bigint from 0.
+
+    Rows are range-partitioned and sorted by ``order`` and written; a row's place is its number in its
+    partition plus the sizes of the partitions before it, one row each, so no
+    window runs over the table."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = written_table(df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+                           .withColumn("_at", F.monotonically_increasing_id()), "ranked")
+    part = F.shiftright("_at", 33)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
+    within = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.withColumn("_part", part).join(F.broadcast(sizes), "_part") \
+        .withColumn(name, F.col("_ahead") + within).drop("_part", "_at", "_ahead")
+
+
 def chunked_lists(pairs: DataFrame, key: str, item: str, max_group: int = DEFAULT_MAX_GROUP
                   ) -> DataFrame:
     """Group ``item`` values by ``key`` into sorted lists of at most ``max_group`` items.

@@ -12,8 +12,8 @@ Semantics (all count directed closed walks a->b->c->a, vertices may repeat):
 Strategies:
 
 * ``shuffle``   - the reference's reduce-side plan: multiplicity-weighted
-  2-paths by a sort-merge self-join, pre-aggregated per endpoint pair, then
-  joined with the closing edge.
+  2-paths by a sort-merge self-join, those that may close (a bit set of the
+  reversed edges tells) joined with the closing edge by another.
 * ``broadcast`` - the replicated plan: the edge table is broadcast to every
   task when its row count is proven small; beyond the bound it falls back to
   ``shuffle``.
@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from edgeframe.operators.common import (DEFAULT_BROADCAST_ROWS, big_sum, bounded_broadcast, hot_key_join,
+from edgeframe.operators.common import (DEFAULT_BROADCAST_ROWS, big_sum, bounded_broadcast, hot_key_join, hot_keys,
                                         spread, wide, written_table)
 from edgeframe.operators.relational import filter_max_id
 
@@ -50,18 +50,61 @@ def multiplicity(edges: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- 2-paths
 
-def path2(edges: DataFrame, strategy: str = "merge", max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+#: rows of either side of a block, where a middle vertex's in-list times out-list is cut up
+PATH_BLOCK = 1024
+
+
+def _path2_blocks(edges: DataFrame) -> DataFrame:
+    """2-paths with the lists of hubs cut into blocks.
+
+    A middle vertex with ``in * out`` paths above ``PATH_BLOCK`` squared is a hub; its in-edges are dealt
+    to I blocks and its out-edges to J, every in-block meets every out-block under a key of its
+    own, and so no key makes more than about ``PATH_BLOCK`` squared paths.  Edges of a hub are
+    copied once per block of the other side, a ``PATH_BLOCK``-th of its paths.  All other vertices join as
+    they are; without a hub that is the whole plan.  The hubs are broadcast, at most ``DEFAULT_BROADCAST_ROWS``."""
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    ends = edges.select(F.col("src").alias("v"), one.alias("o"), none.alias("i")).union(
+        edges.select(F.col("dst").alias("v"), none.alias("o"), one.alias("i")))
+    deg = ends.groupBy("v").agg(F.sum("o").alias("o"), F.sum("i").alias("i"))
+    # the square roots of the paths sum up to at most the edges, so the hubs are few
+    root = F.ceil(F.sqrt(F.col("o").cast("double") * F.col("i")))
+    deg = deg.withColumn("root", root.cast("bigint"))
+    keys, threshold, _ = hot_keys(deg, "v", "root", PATH_BLOCK)
+    a = edges.select(F.col("src").alias("a"), F.col("dst").alias("b"))
+    b = edges.select(F.col("src").alias("b"), F.col("dst").alias("c"))
+    if keys is None:
+        return a.join(b.hint("merge"), "b").select(F.col("a").alias("src"), F.col("c").alias("dst"))
+    blocks = lambda n: F.ceil(F.col(n) / PATH_BLOCK).cast("bigint")
+    hubs = written_table(deg.where(F.col("root") > threshold).select(
+        F.col("v").alias("b"), blocks("i").alias("ins"), blocks("o").alias("outs")), "path_hubs")
+    light = lambda side: side.join(F.broadcast(hubs.select("b")), "b", "left_anti")
+
+    def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
+        """Edges of hubs, written, numbered, and copied to every block of the other side."""
+        rows = written_table(side.join(F.broadcast(hubs.select("b")), "b", "left_semi"), "hub_edges")
+        numbered = spread(rows.withColumn("n", F.monotonically_increasing_id()))
+        return numbered.join(F.broadcast(hubs), "b").withColumn(own, F.col("n") % F.col(own)) \
+            .withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1))).drop("n")
+
+    heavy = dealt(a, "ins", "outs").join(dealt(b, "outs", "ins").hint("merge"), ["b", "ins", "outs"])
+    return light(a).join(light(b).hint("merge"), "b").select("a", "c").union(heavy.select("a", "c")).toDF("src", "dst")
+
+
+def path2(edges: DataFrame, strategy: str = "blocks", max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
           max_id: int | None = None) -> DataFrame:
     """All 2-hop paths ``(src, dst)`` as a bag (a->b->a walks included).
 
-    ``merge``: sort-merge self-join; ``broadcast``: replicate the edge side
-    when proven small (else merge); ``auto``: ``broadcast``; ``implicit``: join
+    ``blocks``: sort-merge self-join in which a hub's paths are spread over many keys
+    (:func:`_path2_blocks`); ``merge``: the plain sort-merge self-join; ``broadcast``: replicate the edge side
+    when proven small (else a shuffle join); ``auto``: ``broadcast``; ``implicit``: join
     without a condition plus an equality filter, which Catalyst turns into the
     same equi-join.  ``max_id`` keeps edges with both ids at most that.  Every
     2-path is a row: :func:`path2_count` tells how many before any is made.
     """
     if max_id is not None:
         edges = filter_max_id(edges, max_id)
+    if strategy == "blocks":
+        return _path2_blocks(edges)
     a = edges.select(F.col("src").alias("a"), F.col("dst").alias("b"))
     b = edges.select(F.col("src").alias("b2"), F.col("dst").alias("c"))
     if strategy == "merge":
@@ -110,10 +153,39 @@ def _written_multiplicity(edges: DataFrame) -> DataFrame:
     return written_table(multiplicity(edges), "multiplicity")
 
 
+#: most bits of the filter before the closing join: 64 to a row, so the rows are at most
+#: ``DEFAULT_BROADCAST_ROWS``
+FILTER_BITS = 1 << 26
+
+
+def _closing_filter(m: DataFrame, n_edges: int) -> tuple[DataFrame, int] | None:
+    """A bit set of the hashed reversed edges as ``(word, bits)`` rows, and its number of bits.
+    None where the edges would fill more than half of it."""
+    bits = 1 << max(10, (16 * n_edges).bit_length())
+    bits = min(bits, FILTER_BITS)
+    if 2 * n_edges > bits:
+        return None
+    at = F.pmod(F.xxhash64(F.col("dst"), F.col("src")), F.lit(bits))
+    one = F.lit(1).cast("bigint")
+    words = m.select(F.shiftright(at, 6).alias("word"), F.call_function("shiftleft", one, (at % 64).cast("int")).alias("bit")) \
+        .groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    return words, bits
+
+
+def _may_close(paths: DataFrame, words: DataFrame, bits: int) -> DataFrame:
+    """The 2-paths ``(a, c)`` whose closing edge's bit is set."""
+    at = F.pmod(F.xxhash64(F.col("a"), F.col("c")), F.lit(bits))
+    probed = paths.withColumn("at", at).join(F.broadcast(words), F.shiftright(F.col("at"), 6) == F.col("word"))
+    own = F.call_function("shiftright", F.col("bits"), (F.col("at") % 64).cast("int"))
+    return probed.where(own.bitwiseAND(F.lit(1).cast("bigint")) == 1).drop("at", "word", "bits")
+
+
 def _count_path_plan(m: DataFrame, semantics: str, strategy: str, max_broadcast_rows: int) -> DataFrame:
     """2-paths of the written multiplicity table joined with the closing edge.
 
-    ``shuffle``: both joins are shuffle joins (the reduce-side plan).
+    ``shuffle``: both joins are sort-merge joins (the reduce-side plan), so either may spill.  A
+    2-path is shuffled to the closing join only if the bit set of the reversed edges, a broadcast
+    of bounded size, has its bit; beyond that bound all are.
     ``broadcast``: the edge table is replicated to both probes when proven small.
     """
     small = strategy == "broadcast" and bounded_broadcast(m, max_broadcast_rows)[1]
@@ -123,10 +195,10 @@ def _count_path_plan(m: DataFrame, semantics: str, strategy: str, max_broadcast_
     if small:
         b, close, a = F.broadcast(b), F.broadcast(close), spread(a)
     else:
-        # reduce-side joins; hashing the (smaller) edge side avoids sorting
-        # the much larger stream of 2-paths before the closing join
-        b, close = b.hint("shuffle_hash"), close.hint("shuffle_hash")
+        b, close = b.hint("merge"), close.hint("merge")
     p = a.join(b, F.col("b") == F.col("b2"))
+    if not small and (bloom := _closing_filter(m, m.count())):
+        p = _may_close(p, *bloom)
     j = p.join(close, (F.col("c") == F.col("cs")) & (F.col("a") == F.col("cd")))
     if semantics == "join":
         hits = wide(F.col("w1")) * wide(F.col("w2") * F.col("wc"))
@@ -137,6 +209,23 @@ def _count_path_plan(m: DataFrame, semantics: str, strategy: str, max_broadcast_
     return j.agg(big_sum(hits).alias("hits"))
 
 
+def closed_by_side(rows: DataFrame, path_side: str = "P", edge_side: str = "E") -> DataFrame:
+    """Bag semantics over tagged rows ``(side, src, dst)`` of 2-paths and edges: both sides meet under the
+    path's endpoint pair, counted per task before they are shuffled, and each pair adds paths times
+    closing edges.  One row like :func:`triangle_count`."""
+    is_path = F.col("side") == path_side
+    keyed = rows.where(F.col("side").isin(path_side, edge_side)).select(
+        F.when(is_path, F.col("src")).otherwise(F.col("dst")).alias("a"),
+        F.when(is_path, F.col("dst")).otherwise(F.col("src")).alias("c"), is_path.cast("int").alias("p"))
+    pairs = keyed.groupBy("a", "c").agg(F.sum("p").alias("p"), F.sum(1 - F.col("p")).alias("e"))
+    return _hits_row(pairs.agg(big_sum(wide(F.col("p")) * wide(F.col("e"))).alias("hits")), "closed_paths")
+
+
+def _hits_row(hits: DataFrame, name: str) -> DataFrame:
+    whole = F.col("hits").cast("decimal(38,0)")
+    return hits.select(whole.alias(name), ((whole - whole % 3) / 3).cast("decimal(38,0)").alias("triangles"))
+
+
 def _implicit_join_count(edges: DataFrame) -> DataFrame:
     """Bag semantics: the implicit-join 2-paths that meet a closing edge."""
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
@@ -327,6 +416,4 @@ def triangle_count(edges: DataFrame, semantics: str = "join", strategy: str = "a
             _count_path_plan(m, semantics, strategy, max_broadcast_rows)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
-    whole = F.col("hits").cast("decimal(38,0)")
-    name = "closed_pairs" if semantics == "distinct_pairs" else "closed_paths"
-    return hits.select(whole.alias(name), ((whole - whole % 3) / 3).cast("decimal(38,0)").alias("triangles"))
+    return _hits_row(hits, "closed_pairs" if semantics == "distinct_pairs" else "closed_paths")

@@ -114,10 +114,25 @@ def q_src_whitespace_pairs(spark, d):
     "SELECT 'E' AS side, src, dst FROM eco UNION ALL "
     "SELECT 'P' AS side, a.src, b.dst FROM eco a JOIN eco b ON a.dst = b.src", "eco"))
 def q_src_multi_input_union(spark, d):
+    """A TAB path file and a CSV edge file, read by one job with a parser for each."""
+    return files.read_inputs(spark, _path_and_edge_files(spark, d))[0]
+
+
+def _path_and_edge_files(spark, d) -> dict:
     e = edges_co(spark, d)
-    p = paths.path2(e, "merge")
-    return e.select(F.lit("E").alias("side"), "src", "dst").unionByName(
-        p.select(F.lit("P").alias("side"), "src", "dst"))
+    at = {"E": (scratch_path(spark, "edges_csv"), ","), "P": (scratch_path(spark, "paths_tsv"), "\t")}
+    files.write_edges_csv(e, at["E"][0])
+    files.write_pairs_tsv(paths.path2(e), at["P"][0])
+    return at
+
+
+@register("closed_paths_two_inputs", sql(
+    "SELECT count(*) AS closed_paths, count(*) // 3 AS triangles FROM eco a JOIN eco b ON a.dst = b.src "
+    "JOIN eco c ON b.dst = c.src AND c.dst = a.src", "eco"))
+def q_closed_paths_two_inputs(spark, d):
+    """The second job of the reduce-side triangle chain: the stored 2-paths meet the edge file."""
+    rows, _ = files.read_inputs(spark, _path_and_edge_files(spark, d))
+    return paths.closed_by_side(rows)
 
 
 @register("src_synthetic_chain_graph", sql("SELECT src, dst FROM chain", "chain"))
@@ -392,6 +407,11 @@ _TRI_PAIRS = "SELECT count(*) AS closed_pairs, count(*) // 3 AS triangles FROM (
 
 @register("path2_join", sql(_P2.format(v="eps"), "eps"))
 def q_path2_join(spark, d):
+    return paths.path2(edges_ps(spark, d), "blocks")
+
+
+@register("path2_merge_join", sql(_P2.format(v="eps"), "eps"))
+def q_path2_merge_join(spark, d):
     return paths.path2(edges_ps(spark, d), "merge")
 
 
@@ -500,6 +520,20 @@ def q_sample_vertices_edges(spark, d):
     return sampling.sample_edges(e, s)
 
 
+_DRAWS = (f"SELECT ('0x' || substr(md5('{SAMPLE_SEED}-' || i), 1, 15))::BIGINT % (SELECT count(*) FROM srcs) AS place "
+          f"FROM range({SAMPLE_K}) t(i)")
+
+
+@register("sample_vertices_replacement", sql(
+    f"SELECT id, (coalesce(n, 0) + (id = {SOURCE})::INT)::BIGINT AS draws FROM "
+    f"(SELECT id, row_number() OVER (ORDER BY id) - 1 AS place FROM srcs) LEFT JOIN "
+    f"(SELECT place, count(*) AS n FROM ({_DRAWS}) GROUP BY place) USING (place) WHERE n IS NOT NULL OR id = {SOURCE}",
+    "eps", ("srcs", "SELECT DISTINCT src AS id FROM eps")))
+def q_sample_vertices_replacement(spark, d):
+    e = edges_ps(spark, d)
+    return sampling.draw_vertices(e.select(F.col("src").alias("id")), SAMPLE_K, SAMPLE_SEED, SOURCE)
+
+
 # ================================================================ P5 shortest paths
 
 def _bfs_sql(view: str, rounds: int, body: str) -> str:
@@ -531,6 +565,31 @@ def q_sssp_from_adjacency(spark, d):
     return sssp.sssp(e, SOURCE, ROUNDS)
 
 
+BREAK = 3             # rounds before a written state, in the queries that go on from one
+
+
+def _stored(spark, e, weighted: bool):
+    """The search state after ``BREAK`` rounds, written as text and read again."""
+    path = scratch_path(spark, "search_state")
+    dist = sssp.sssp(e, SOURCE, BREAK, weight="w" if weighted else None)
+    files.write_search_state(sssp.search_state(e, dist, BREAK, weighted), path)
+    return files.read_search_state(spark, path)
+
+
+@register("sssp_resumed", _bfs_sql("eco", ROUNDS, o.SSSP_OUT))
+def q_sssp_resumed(spark, d):
+    """The search broken off after a few rounds and carried on from its written state."""
+    e = edges_co(spark, d)
+    return sssp.sssp(e, SOURCE, ROUNDS, state=_stored(spark, e, False), first_round=BREAK + 1)
+
+
+@register("sssp_weighted_resumed", sql(o.SSSP_OUT, "eco", *o.weighted_ctes("eco", SOURCE, ROUNDS, "1 + src % 3"),
+                                       recursive=True))
+def q_sssp_weighted_resumed(spark, d):
+    e = edges_co(spark, d).withColumn("w", 1 + F.col("src") % 3)
+    return sssp.sssp(e, SOURCE, ROUNDS, weight="w", state=_stored(spark, e, True), first_round=BREAK + 1)
+
+
 @register("sssp_weighted", sql(o.SSSP_OUT, "eco", *o.weighted_ctes("eco", SOURCE, ROUNDS, "1 + src % 3"),
                                recursive=True))
 def q_sssp_weighted(spark, d):
@@ -672,6 +731,22 @@ def q_nearest_centroid(spark, d):
     return kmeans.assign(pts, kmeans.equal_interval_seeds(pts, K_SEEDS))
 
 
+# centroids by the order table, far too many for a list in a plan; points are item prices
+_MANY = ("SELECT DISTINCT floor(o_totalprice)::BIGINT AS c FROM orders WHERE o_totalprice IS NOT NULL")
+_PRICES = "SELECT row_number() OVER () AS i, floor(l_extendedprice)::BIGINT AS v FROM lineitem WHERE l_extendedprice IS NOT NULL"
+
+
+@register("nearest_centroid_many", sql(
+    "SELECT v, CASE WHEN up IS NULL OR v - down <= up - v THEN down ELSE up END AS centroid FROM "
+    "(SELECT x.i, x.v, x.down, c.c AS up FROM (SELECT pr.i, pr.v, c.c AS down FROM pr ASOF LEFT JOIN cs c ON pr.v >= c.c) x "
+    "ASOF LEFT JOIN cs c ON x.v <= c.c)", ("cs", _MANY), ("pr", _PRICES)))
+def q_nearest_centroid_many(spark, d):
+    c = load_table(spark, d, "orders").select(F.floor("o_totalprice").cast("bigint").alias("centroid"))
+    pts = load_table(spark, d, "lineitem").where(F.col("l_extendedprice").isNotNull()) \
+        .select(F.floor("l_extendedprice").cast("bigint").alias("v"))
+    return kmeans.assign_many(pts, c)
+
+
 @register("cluster_update", _km_sql("pts", _PTS, o.seeds_sql("pts", K_SEEDS),
                                      "SELECT old_centroid, centroid, n, sse FROM g1"))
 def q_cluster_update(spark, d):
@@ -723,6 +798,18 @@ def q_kmeans_centroid_file(spark, d):
     return clusters
 
 
+@register("kmeans_resumed", _km_sql("pts", _PTS, o.seeds_sql("pts", K_SEEDS),
+                                    f"SELECT centroid, n, sse FROM g{ROUNDS}"))
+def q_kmeans_resumed(spark, d):
+    """k-means broken off after a few rounds and carried on from that round's output folder."""
+    pts = points_chars(spark, d)
+    early, _ = kmeans.kmeans_1d(pts, kmeans.equal_interval_seeds(pts, K_SEEDS), BREAK, materialize=False)
+    path = scratch_path(spark, "centroids")
+    files.write_pairs_tsv(early, path)
+    clusters, _ = kmeans.kmeans_1d(pts, files.read_centroids(spark, path), ROUNDS, materialize=False, first_round=BREAK + 1)
+    return clusters
+
+
 @register("longest_distance_file", _bfs_sql(
     "eps", ROUNDS, f"SELECT coalesce(max(dist), 0)::BIGINT AS longest FROM ({o.SSSP_OUT}) "
                    "WHERE dist <> 2147483647"))

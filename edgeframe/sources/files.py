@@ -7,6 +7,8 @@ is offered only as the separate ``read_edges_csv_inferred``).  Writers always
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,3 +116,26 @@ def read_search_state(spark: SparkSession, path: str) -> DataFrame:
         F.get(toks, 0).cast("bigint").alias("id"), nbrs.alias("nbrs"),
         F.get(toks, 2).cast("bigint").alias("dist"),
         F.coalesce(F.get(toks, 3) == "V", F.lit(False)).alias("visited"))
+
+
+def parsed_pairs(spark: SparkSession, path: str, sep: str) -> DataFrame:
+    """``(src, dst, value)`` of every line ``src<sep>dst``; both ids are null where the line is not
+    two whole numbers (blanks around them are allowed, further fields are not)."""
+    fields = F.split(F.col("value"), f"[{sep}]")
+    ids = [F.expr(f"try_cast(trim(fields[{i}]) AS BIGINT)") for i in (0, 1)]
+    good = (F.size("fields") == 2) & ids[0].isNotNull() & ids[1].isNotNull()
+    return spark.read.text(path).withColumn("fields", F.when(F.size(fields) == 2, fields)) \
+        .select(*[F.when(good, c).alias(n) for c, n in zip(ids, ("src", "dst"))], "value")
+
+
+def read_inputs(spark: SparkSession, inputs: dict[str, tuple[str, str]]) -> tuple[DataFrame, DataFrame]:
+    """One job over several inputs, each with a parser of its own.
+
+    ``inputs`` names each side's path and field separator.  Returns ``(rows, rejects)``: ``(side, src,
+    dst)`` of the lines that parse and ``(side, value)`` of those that do not; an empty line is neither.
+    """
+    both = [parsed_pairs(spark, path, sep).select(F.lit(side).alias("side"), "src", "dst", "value")
+            for side, (path, sep) in inputs.items()]
+    lines = reduce(DataFrame.unionByName, both).where(F.trim("value") != "")
+    return (lines.where(F.col("src").isNotNull()).select("side", "src", "dst"),
+            lines.where(F.col("src").isNull()).select("side", "value"))
