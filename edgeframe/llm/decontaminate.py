@@ -253,5 +253,5 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     are named by id and text, so rows that share an id are judged one by one."""
     tag = F.xxhash64(F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     found = find_phrases(docs.select(tag.alias("doc_id"), F.col(text_col).alias("text")), items)
-    bad = found.where(F.size("spans") > 0).select(F.col("doc_id").alias("_bad_tag")).distinct()
-    return docs.join(bad, tag == F.col("_bad_tag"), "left_anti")
+    bad = found.where(F.size("spans") > 0).select(F.col("doc_id").alias("tag")).distinct()
+    return docs.select(tag.alias("tag"), F.struct("*").alias("row")).join(bad, "tag", "left_anti").select("row.*")

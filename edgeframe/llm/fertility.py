@@ -197,5 +197,5 @@ def keep(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc_id
                      F.col(lang_col).cast("string"))
     seen = judged(docs.select(tag.alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")),
                   byte_path, piece_path, **options)
-    bad = seen.where(~F.col("kept")).select(F.col("doc_id").alias("_bad_tag")).distinct()
-    return docs.join(bad, tag == F.col("_bad_tag"), "left_anti")
+    bad = seen.where(~F.col("kept")).select(F.col("doc_id").alias("tag")).distinct()
+    return docs.select(tag.alias("tag"), F.struct("*").alias("row")).join(bad, "tag", "left_anti").select("row.*")

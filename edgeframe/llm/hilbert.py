@@ -1,7 +1,7 @@
 """Hilbert-curve sharding with DataFrame operations only.
 
-Metadata dimensions are cut into 2**bits cells at approximate quantiles (a text dimension by the
-number that its first seven bytes make, which keeps its order), the cell becomes an index on the
+Metadata dimensions are cut into 2**bits cells at quantiles (approximate ones of numbers, exact
+ones of whole strings), the cell becomes an index on the
 Hilbert curve, and the rows, in curve order, are cut into runs whose lengths differ by at most
 one.  A shard is then a compact box in every dimension, so files of a shard can be pruned by the
 minima and maxima of any of them.
@@ -28,22 +28,38 @@ BITS = 4
 DIMENSIONS = ("lang", "source", "n_chars", "doc_id")
 
 
-def as_number(df: DataFrame, col: str) -> Column:
+def as_number(col: str) -> Column:
     """A number in the column's order; null is lowest."""
-    if isinstance(df.schema[col].dataType, StringType):
-        head = F.rpad(F.hex(F.substring(F.col(col).cast("binary"), 1, 7)), 14, "0")
-        return F.coalesce(F.conv(head, 16, 10).cast("double"), F.lit(-1.0))
     return F.coalesce(F.col(col).cast("double"), F.lit(float("-inf")))
 
 
+def string_cuts(df: DataFrame, col: str, shares: list[float]) -> list[str | None]:
+    """For each share the least value up to which that share of the (non-null) rows lies, by whole
+    strings: values are counted, range-partitioned, and summed from partition to partition."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    ranged = written(counted.repartitionByRange(parts, "v").withColumn("part", F.spark_partition_id()), "values")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    held = ranged.groupBy("part").agg(F.sum("n").alias("held"))     # one row per partition
+    held = held.select("part", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("before"),
+                       F.sum("held").over(Window.partitionBy()).alias("all"))
+    upto = F.col("before") + F.sum("n").over(Window.partitionBy("part").orderBy("v"))
+    placed = ranged.join(F.broadcast(held), "part").select("v", "all", upto.alias("upto"))
+    return list(placed.agg(*[F.min(F.when(F.col("upto") >= F.lit(x) * F.col("all"), F.col("v"))).alias(f"_{i}")
+                             for i, x in enumerate(shares)]).first())
+
+
 def cells(df: DataFrame, dims: tuple[str, ...], bits: int) -> dict[str, Column]:
     """The cell of each dimension, 0 .. 2**bits - 1, from quantiles over all rows."""
-    cuts = [k / (1 << bits) for k in range(1, 1 << bits)]
-    # a sketch per task is merged; 2**bits - 1 numbers per dimension come to the driver
-    at = df.agg(*[F.percentile_approx(as_number(df, d), cuts, 1000).alias(f"_{i}") for i, d in enumerate(dims)]).collect()[0]
+    shares = [k / (1 << bits) for k in range(1, 1 << bits)]
+    texts = [d for d in dims if isinstance(df.schema[d].dataType, StringType)]
+    numbers = [d for d in dims if d not in texts]
+    # a sketch per task is merged; 2**bits - 1 values per dimension come to the driver
+    at = df.agg(F.count(F.lit(1)), *[F.percentile_approx(as_number(d), shares, 1000).alias(d) for d in numbers]).first()
     # an empty table has no quantiles; a constant would be copied into every step of the curve
-    return {f"x{i}": reduce(add, [(as_number(df, d) > F.lit(v)).cast("int") for v in at[i] or [float("inf")]])
-            for i, d in enumerate(dims)}
+    above = {d: [as_number(d) > F.lit(v) for v in at[d] or [float("inf")]] for d in numbers}
+    above |= {d: [F.coalesce(F.col(d) > F.lit(v), F.lit(False)) for v in string_cuts(df, d, shares)] for d in texts}
+    return {f"x{i}": reduce(add, [c.cast("int") for c in above[d]]) for i, d in enumerate(dims)}
 
 
 def curve_index(df: DataFrame, n: int, bits: int) -> DataFrame:
@@ -73,12 +89,9 @@ def curve_index(df: DataFrame, n: int, bits: int) -> DataFrame:
     return df.withColumn("curve", index).drop("_turn", *x)
 
 
-def placed(docs: DataFrame, shards: int = SHARDS, dims: tuple[str, ...] = DIMENSIONS, bits: int = BITS,
-           id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """Query op4, one row per row of ``docs``: doc_id, size, text_crc32, law (``rows``), shard, slot,
-    grown_shard (null: of law ``key`` only), curve; ``carry`` adds columns.  A null text has size 16
-    and checksum 0; null dimensions are in the lowest cell; repeated rows are rows; with fewer rows
-    than shards some shards are empty."""
+def on_shards(docs: DataFrame, shards: int, dims: tuple[str, ...], bits: int, id_col: str, text_col: str,
+              carry: tuple[Column, ...] = ()) -> DataFrame:
+    """(_id, size, text_crc32, curve, shard, slot) and what is carried."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     base = docs.select(F.col(id_col).alias("_id"), *[F.col(d).alias(f"d{i}") for i, d in enumerate(dims)],
                        (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
@@ -99,20 +112,30 @@ def placed(docs: DataFrame, shards: int = SHARDS, dims: tuple[str, ...] = DIMENS
     shard = F.expr(f"rank * {shards} div all")
     first = F.expr(f"(shard * all + {shards - 1}) div {shards}")
     return (ranked.withColumn("part", part).join(F.broadcast(sizes), "part").withColumn("rank", rank)
-            .withColumn("shard", shard).withColumn("slot", F.col("rank") - first)
-            .select(F.col("_id").cast("long").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"),
-                    F.col("shard").cast("int").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard"),
-                    "curve", *carry))
-
-
-def write_shards(docs: DataFrame, path: str, **options) -> DataFrame:
-    """Write the columns of ``docs`` as one folder per shard, rows in curve order, and return the
-    pruning table: per shard the rows and each dimension's minimum and maximum."""
-    options["carry"] = tuple(c for c in docs.columns if c != options.get("id_col", "doc_id"))
-    rows = placed(docs, **options)
-    keep = [F.col("doc_id").alias(options.get("id_col", "doc_id")), *options["carry"]]
-    (rows.repartition("shard").sortWithinPartitions("shard", "slot").select("shard", *keep)
-     .write.partitionBy("shard").parquet(path))
-    dims = options.get("dims", DIMENSIONS)
-    return docs.sparkSession.read.parquet(path).groupBy("shard").agg(
+            .withColumn("shard", shard.cast("int")).withColumn("slot", F.col("rank") - first))
+
+
+def placed(docs: DataFrame, shards: int = SHARDS, dims: tuple[str, ...] = DIMENSIONS, bits: int = BITS,
+           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Query op4, one row per row of ``docs``: doc_id, size, text_crc32, law (``rows``), shard, slot,
+    grown_shard (null: of law ``key`` only), curve.  A null text has size 16 and checksum 0; null
+    dimensions are in the lowest cell; repeated rows are rows; with fewer rows than shards some
+    shards are empty; columns of any other name are not read."""
+    return on_shards(docs, shards, dims, bits, id_col, text_col).select(
+        F.col("_id").cast("long").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "curve")
+
+
+def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, dims: tuple[str, ...] = DIMENSIONS, bits: int = BITS,
+                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Write all columns of ``docs`` as one folder per shard, rows in curve order, and return the
+    pruning table: per shard the rows and each dimension's minimum and maximum.  The folders are
+    named by ``shard``, with underscores before it if ``docs`` has such a column."""
+    name = "shard"
+    while name in docs.columns:
+        name = f"_{name}"
+    whole = F.struct("*").alias("row")
+    rows = on_shards(docs, shards, dims, bits, id_col, text_col, (whole,)).repartition("shard").sortWithinPartitions("shard", "slot")
+    rows.select(F.col("shard").alias(name), "row.*").write.partitionBy(name).parquet(path)
+    return docs.sparkSession.read.parquet(path).groupBy(F.col(name).alias("shard")).agg(
         F.count(F.lit(1)).alias("rows"), *[f(d).alias(f"{k}_{d}") for d in dims for k, f in (("min", F.min), ("max", F.max))])

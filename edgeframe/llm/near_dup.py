@@ -326,7 +326,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     found = classes(docs, id_col=id_col, text_col=text_col, **options)
     first = found.groupBy("class").agg(F.min(F.struct("key", "node")).alias("who"))
     node = F.unhex(F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    return (docs.withColumns({"_key": doc_key(id_col), "_node": node})
-            .join(first.select(F.col("who.key").alias("_key"), F.col("who.node").alias("_node")),
-                  ["_key", "_node"], "left_semi")
-            .dropDuplicates(["_key", "_node"]).drop("_key", "_node"))
+    rows = docs.select(doc_key(id_col).alias("key"), node.alias("node"), F.struct("*").alias("row"))
+    return (rows.join(first.select("who.key", "who.node"), ["key", "node"], "left_semi")
+            .dropDuplicates(["key", "node"]).select("row.*"))

@@ -62,3 +62,13 @@ def test_written_shards_prune(spark, sf, tmp_path):
 
 def test_no_python_on_the_main_path(spark, sf):
     assert "Python" not in plan_text(hilbert.placed(spark.read.parquet(f"{sf}/documents.parquet")))
+
+
+def test_strings_are_cut_by_their_whole_value(spark):
+    rows = [(k, "t", f"https://one-long-prefix/{k % 160:04d}", 1) for k in range(1600)] + [(None, None, None, None)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size int")
+    cut = docs.withColumns(hilbert.cells(docs, ("source",), 4)).where("source is not null")
+    sizes = {r["x0"]: r["count"] for r in cut.groupBy("x0").count().collect()}
+    assert set(sizes) == set(range(16)) and set(sizes.values()) == {100}
+    assert hilbert.placed(docs, dims=("source", "size")).count() == len(rows)
+    assert hilbert.placed(docs.limit(0), dims=("source",)).count() == 0

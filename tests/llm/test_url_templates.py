@@ -61,3 +61,60 @@ def test_tree_and_purity(spark):
 def test_last_number(spark):
     df = spark.createDataFrame([("/en/12.html",), ("/en/3/",), ("/en/x",), ("",), ("/9/y4",), ("/" + "9" * 40,)], "path string")
     assert [r[0] for r in df.select(u.last_number()).collect()] == [12, 3, None, None, None, None]
+
+
+def plain_templates(pages, fanout=20, heavy=0.05):
+    """{(host, path): template} by a dictionary tree over distinct paths with counts."""
+    from collections import Counter
+    seen = Counter(map(plain, pages))
+    done = {}
+
+    def grow(rows, prefix, d):
+        ended = [x for x in rows if len(x[1]) <= d]
+        for key, _, _ in ended:
+            done[key] = prefix
+        below = {}
+        for x in rows:
+            if len(x[1]) > d:
+                below.setdefault(x[1][d], []).append(x)
+        every = sum(x[2] for v in below.values() for x in v)
+        again = {}
+        for segment, v in below.items():
+            wild = len(below) > fanout and sum(x[2] for x in v) < heavy * every
+            again.setdefault("*" if wild else segment, []).extend(v)
+        for label, v in again.items():
+            grow(v, f"{prefix}/{label}", d + 1)
+
+    by_host = {}
+    for (host, path), n in seen.items():
+        parts = re.sub("[0-9]+", "#", re.sub("^/", "", path)).replace("*", "%2A").replace("~", "%7E").split("/")
+        by_host.setdefault(host, []).append(((host, path), parts, n))
+    for host, rows in by_host.items():
+        grow(rows, "", 0)
+    return done
+
+
+def test_templates_of_odd_paths_like_a_plain_tree(spark):
+    import random
+    rng = random.Random(2)
+    odd = ["http://h.net/a/b\nc", "http://h.net/a\nb/c", "http://h\nn.net/a", "http://h.net/~user/1", "http://h.net/*/1", "http://h.net/~0/x",
+           "http://h.net/a#b", None, "http://h.net/" + "/".join(map(str, range(60))), "http://h.net/%2A/1"]
+    deep = ["http://d.net/" + "s/" * 12 + f"leaf-{chr(97 + k)}{chr(97 + k % 7)}" for k in range(26)]
+    many = [f"http://m.net/{rng.choice('abc')}/{''.join(rng.choices('uvwxyz', k=3))}/{rng.randrange(9)}" for _ in range(400)]
+    urls = odd + deep + many + many[:30]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    tree = u.template_tree(u.paths(pages))
+    got = {(r.host, r.path): r.template for r in tree.collect()}
+    want = plain_templates(urls)
+    assert got == want and want["d.net", "/" + "s/" * 12 + "leaf-aa"].endswith("/s/*")
+    assert u.verdicts(pages).count() == len(urls)
+
+
+def test_a_bad_branch_is_blocked_against_the_rest(spark):
+    urls = [f"http://x{k % 9}.net/{'bad' if k % 3 == 0 else 'fine'}/{k}" for k in range(900)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    good = spark.createDataFrame([(k, k % 3 != 0 or k % 2 == 0) for k in range(900)], "number long, good boolean")
+    got = u.verdicts(pages, good, u.last_number()).collect()
+    # half of /bad/ is good: above LEAST less smoothing, but far below the share of all
+    assert {r.verdict for r in got if "/bad/" in r.path} == {"block"}
+    assert {r.verdict for r in got if "/fine/" in r.path} == {"allow"}
