@@ -33,7 +33,7 @@ from edgeframe.operators.common import hot_key_join
 
 FANOUT, HEAVY = 20, 0.05
 Z = 2.0
-PRIOR, LEAST, UPPER = 20.0, 0.5, 1.0
+PRIOR, LEAST, UPPER = 20.0, 0.5, 1.64
 
 #: (verdict, host, path prefix)
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
