@@ -34,8 +34,10 @@ from edgeframe.llm.textcol import column, slices, spans, sums, texts
 #: fixed value: the byte-level pattern of the vocabulary's pre-tokenizer
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: distinct pieces whose ids a task keeps; the memo is emptied when it is full
+#: distinct pieces whose ids a task keeps, and the longest of them (characters): at most some 200 MB,
+#: whatever the texts hold; the memo is emptied when it is full, longer pieces are encoded each time
 MEMO = 400_000
+MEMO_PIECE = 64
 
 #: bytes of text that a task encodes at a time
 SLICE = 2 << 20
@@ -50,13 +52,16 @@ def byte_letters() -> dict[str, int]:
 
 
 class Memo(dict):
-    """Keeps what ``make`` gives for a key; starts anew when it holds MEMO keys."""
+    """Keeps what ``make`` gives for a key; starts anew when it holds MEMO keys, and does not keep
+    strings above MEMO_PIECE."""
 
     def __init__(self, make):
         super().__init__()
         self.make = make
 
     def __missing__(self, key):
+        if isinstance(key, str) and len(key) > MEMO_PIECE:
+            return self.make(key)
         if len(self) >= MEMO:
             self.clear()
         got = self[key] = self.make(key)

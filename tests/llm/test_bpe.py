@@ -36,6 +36,14 @@ def test_long_pieces_are_linear(library):
     assert bpe.vocabulary(PATH).encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_long_pieces_are_not_kept(library):
+    made = bpe.vocabulary(PATH)
+    made.memo.clear()
+    text = " ".join("".join(random.Random(k).choice("abcdef") for _ in range(10 + k)) for k in range(100))
+    assert made.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert made.memo and max(map(len, made.memo)) == bpe.MEMO_PIECE
+
+
 def test_documents(spark, library):
     rows = [(1, "Hello world"), (2, ""), (3, None), (None, "x"), (1, "Hello world"), (4, "é" * 30_000)]
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, ids int")
