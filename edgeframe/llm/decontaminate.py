@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -90,7 +91,7 @@ def query_blocks(items: DataFrame, item_col: str, text_col: str, window: int,
     rows = items.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),
                         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     phrases: dict[tuple, set] = {}
-    held = 0
+    held = blocks = 0
     for r in rows.toLocalIterator():
         w = words(r["text"].encode())
         for i in range(0, len(w), 4096):        # a very long item is dealt over several blocks
@@ -102,8 +103,9 @@ def query_blocks(items: DataFrame, item_col: str, text_col: str, window: int,
             held += len(part)
             if held >= block_words:
                 yield coded_block(phrases)
-                phrases, held = {}, 0
-    yield coded_block(phrases)
+                phrases, held, blocks = {}, 0, blocks + 1
+    if phrases or not blocks:       # at least one block, even of no phrases: it reports every document
+        yield coded_block(phrases)
 
 
 def coded_block(phrases: dict[tuple, set]) -> dict:
@@ -213,13 +215,13 @@ def find_phrases(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     (proximity), and a span is the phrase's nominal range.  Null or empty texts give 0 words
     and no items; repeated rows each get their own row; equal items count once per id."""
     index = build_index(docs, id_col, text_col) if index is None else index
-    found = None
-    for k, block in enumerate(query_blocks(items, item_col, item_text_col, window, block_words)):
-        part = probe(index, block, every_doc=k == 0, slop=slop)
-        if k:       # each block's matches are written, so the driver holds one block at a time
-            found = written(found, "matches").unionByName(written(part, "matches"))
-        else:
-            found = part
+    blocks = query_blocks(items, item_col, item_text_col, window, block_words)
+    found = [probe(index, next(blocks), every_doc=True, slop=slop)]
+    for block in blocks:    # each block's matches are written, once, so the driver holds one block at a time
+        if len(found) == 1:
+            found[0] = written(found[0], "matches")
+        found.append(written(probe(index, block, every_doc=False, slop=slop), "matches"))
+    found = reduce(DataFrame.unionByName, found)
     merged = F.aggregate(
         F.array_sort("ranges"), F.array().cast("array<struct<s:long,e:long>>"),
         lambda acc, r: F.when(

@@ -8,6 +8,7 @@ import pytest
 
 from edgeframe.llm import decontaminate as d
 from edgeframe.llm.queries import op1_decontaminate
+from edgeframe.llm.textcol import written
 
 
 def words(t):
@@ -51,6 +52,19 @@ def test_exact_phrases(spark, seed, block_words):
     assert sorted(map(tuple, got.collect()), key=repr) == brute(docs, items, 4)
 
 
+def test_each_block_is_written_once_and_none_is_empty(spark, monkeypatch):
+    items = spark.createDataFrame([(k, f"w{k} x y z") for k in range(6)], "item_id long, text string")
+    docs = spark.createDataFrame([(k, f"a w{k} x y z b") for k in range(6)], "doc_id long, text string")
+    sizes = [len(b["items"]) for b in d.query_blocks(items, "item_id", "text", 4, 4)]
+    assert sizes == [1] * 6
+    assert [len(b["items"]) for b in d.query_blocks(items.limit(0), "item_id", "text", 4, 4)] == [0]
+    names = []
+    monkeypatch.setattr(d, "written", lambda df, name: names.append(name) or written(df, name))
+    got = d.contamination(docs, items, window=4, block_words=4)
+    assert names.count("matches") == 6
+    assert [(r.doc_id, r.n_hit, r.n_items) for r in got.orderBy("doc_id").collect()] == [(k, 4, 1) for k in range(6)]
+
+
 def test_proximity(spark):
     docs = [(1, "one two x three four"), (2, "four three two one"), (3, "one two"), (4, "three four"), (5, "one two three four")]
     items = spark.createDataFrame([(7, "one two three four")], "item_id long, text string")
