@@ -3,7 +3,8 @@
 A document is the mean of the vectors of its words and of their byte 3- to 5-grams, hashed into
 ``CLASSES`` rows; a softmax layer gives the two labels.  Vectors and layer are learned together by
 stochastic gradient descent in numpy, inside one Spark task, from at most ``SAMPLE`` labelled
-documents (those of the least hash of their id).  A score is linear in the mean, so each row of
+documents (those of the least hash of their id, one text per id) with at most ``FEATURES`` distinct
+features between them.  A score is linear in the mean, so each row of
 the table is reduced to one number before all texts are scored, and a word's features are summed
 once per slice.
 """
@@ -16,13 +17,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from edgeframe.llm.ngrams import fold, hashed_ngrams
-from edgeframe.llm.textcol import column, slices, spans, sums, texts
+from edgeframe.llm.textcol import column, slices, spans, sums, texts, written
 
 SAMPLE = 6000
+#: features (8 bytes each) of all documents that the training task holds
+FEATURES = 24_000_000
 CLASSES = 1 << 17
 SIZES = (3, 4, 5)
 DIMS, EPOCHS, RATE = 16, 6, 0.4
@@ -75,9 +78,12 @@ def train(sample: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed:
     return np.append(table @ (layer[:, 1] - layer[:, 0]), np.log(share / (1 - share))).astype(np.float32)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample: int = SAMPLE) -> np.ndarray:
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample: int = SAMPLE,
+        most: int = FEATURES) -> np.ndarray:
     """The scorer, learned from rows of (doc_id, label) outside the held-out fold.  The sample is
-    bounded by ``sample`` rows; a document is brought as its words' features, not as text."""
+    bounded by ``sample`` labels, by one document for each (of those that share an id, the text of the
+    least hash) and by ``most`` features: documents in the order of their id's hash, as long as all up
+    to them hold no more.  A document is brought as its words' features, not as text."""
     rows = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
             .where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & (fold(FOLDS) != HELD_OUT))
             .groupBy("doc_id").agg(F.max("label").alias("label")))
@@ -87,7 +93,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample:
         for b in slices(batches):
             got = list(bags(b))
             yield pa.RecordBatch.from_pydict({
-                "label": column(b, "label"), "feature": pa.array([f.astype(np.int32).tobytes() for f, _ in got], pa.binary()),
+                "doc_id": column(b, "doc_id"), "label": column(b, "label"),
+                "many": pa.array([len(f) for f, _ in got], pa.int64()), "feature": pa.array([f.astype(np.int32).tobytes() for f, _ in got], pa.binary()),
                 "share": pa.array([s.tobytes() for _, s in got], pa.binary())})
 
     def learn(t: pa.Table) -> pa.Table:
@@ -98,8 +105,15 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample:
         model = train(got, np.array(t.column("label").to_pylist()))
         return pa.table({"model": pa.array([model.tobytes()], pa.binary())})
 
-    found = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-             .join(F.broadcast(chosen), "doc_id").select("label", "text").mapInArrow(bag, "label int, feature binary, share binary")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    one = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+           .join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label")
+           .agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"].alias("text")))
+    bagged = written(one.mapInArrow(bag, "doc_id long, label int, many long, feature binary, share binary"), "bags")
+    # a running sum over at most ``sample`` numbers
+    fits = (bagged.select("doc_id", F.sum("many").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id")).alias("held"))
+            .where(F.col("held") <= most).select("doc_id"))
+    found = (bagged.join(F.broadcast(fits), "doc_id").select("label", "feature", "share")
              .withColumn("all", F.lit(1)).groupBy("all").applyInArrow(learn, "model binary").collect())
     return np.frombuffer(found[0]["model"], np.float32) if found else np.zeros(CLASSES + 1, np.float32)
 
@@ -107,7 +121,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample:
 def scores(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample: int = SAMPLE) -> DataFrame:
     """Query op5, one row per row of ``docs``: doc_id, held_out, score, predicted.  A text without
     words (null or empty) gets the share of label 1 in the sample; without any labels every score
-    is 0.5.  Repeated rows get equal scores; other columns are not read."""
+    is 0.5.  Repeated rows get equal scores, rows that share an id each the score of their text; other
+    columns are not read."""
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, label_col, sample))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

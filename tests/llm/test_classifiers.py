@@ -2,6 +2,9 @@
 
 import zlib
 
+import pyarrow as pa
+from pyspark.sql import functions as F
+
 from edgeframe.llm import langid, quality
 from edgeframe.llm.textcol import table
 
@@ -37,6 +40,23 @@ def test_quality_edges(spark):
     assert quality.scores(docs.limit(0), some).count() == 0
 
 
+def test_quality_trains_on_one_text_per_id_and_a_bounded_number_of_features(spark):
+    rows = [(1, f"text number {k}") for k in range(3000)] + [(2, "bad bad"), (3, "fine words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
+    learned = [d for d in (1, 2, 3) if zlib.crc32(str(d).encode()) % 3 != 1]
+    assert 1 in learned
+    first = docs.where("doc_id = 1").orderBy(F.xxhash64("text")).limit(1)
+    one = first.unionByName(docs.where("doc_id > 1"))
+    assert (quality.fit(docs.repartition(5), labels) == quality.fit(one, labels)).all()
+    by_hash = [r.doc_id for r in labels.orderBy(F.xxhash64("doc_id"), "doc_id").collect() if r.doc_id in learned]
+    alone = quality.fit(one, labels.where(F.col("doc_id") == by_hash[0]))
+    size = len(next(quality.bags(pa.RecordBatch.from_pydict(
+        {"text": [r.text for r in one.collect() if r.doc_id == by_hash[0]]})))[0])
+    assert (quality.fit(docs, labels, most=size) == alone).all()
+    assert (quality.fit(docs, labels, most=size - 1) == 0).all()
+
+
 def test_language_held_out(spark):
     docs = table(spark, SF, "documents")
     lang = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
