@@ -6,7 +6,8 @@ word with a blank before it, and give per document
 
 * characters per token of each vocabulary (low: the text is not what the vocabulary knows),
 * the byte-fallback share (tokens that are single bytes because no piece fits),
-* the entropy of the document's tokens, as a share of the most that as many tokens can have.
+* the entropy of the document's tokens, block by block, as a share of the most that as many tokens
+  can have.
 
 A document is rejected where a measure leaves the band of its language.  Bands come from all
 documents: per language (or, without one, the script of most letters) the quartiles, widened by
@@ -38,6 +39,8 @@ MIN_WORDS = 10
 REPEAT_WINDOW = 5
 REPEAT_PERCENT = 20
 
+#: tokens of an entropy block: all blocks count, the last may be shorter
+ENTROPY_BLOCK = 512
 FENCES = 3.0
 STEADY = 100
 #: measure: (side that is rejected, least half-width of the band)
@@ -98,21 +101,25 @@ def dup_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def entropy_share(doc: np.ndarray, token: np.ndarray, n_docs: int) -> np.ndarray:
-    """Per document the entropy of its tokens over log2 of their number (1: below two tokens)."""
-    pair, n = np.unique(doc * (int(token.max(initial=0)) + 1) + token, return_counts=True)
-    of = pair // (int(token.max(initial=0)) + 1)
-    total = np.bincount(of, n, n_docs)
-    nlogn = np.bincount(of, n * np.log2(n), n_docs)
+def entropy_share(lens: np.ndarray, token: np.ndarray, block: int = ENTROPY_BLOCK) -> np.ndarray:
+    """Per document of ``lens`` tokens the entropy of its blocks of ``block`` tokens, each over log2 of
+    the block's tokens (1: below two), in the mean over tokens: it does not fall with the length."""
+    parts = -(-lens // block)
+    part = np.repeat(np.cumsum(parts) - parts, lens) + spans(lens) // block
+    pair, n = np.unique(part * (int(token.max(initial=0)) + 1) + token, return_counts=True)
+    of, many = pair // (int(token.max(initial=0)) + 1), int(parts.sum())
+    total = np.bincount(of, n, many)
+    nlogn = np.bincount(of, n * np.log2(n), many)
     with np.errstate(divide="ignore", invalid="ignore"):
-        share = (np.log2(total) - nlogn / total) / np.log2(total)
-    return np.where(total < 2, 1.0, share)
+        share = np.where(total < 2, 1.0, (np.log2(total) - nlogn / total) / np.log2(total))
+    return sums(share * total, np.cumsum(parts)) / np.maximum(lens, 1)
 
 
 def measures(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc_id",
              text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The base figures and the fertility measures, one row per row of ``docs``.  A text without
-    words (null or empty) has zeros and null measures."""
+    words (null or empty) has zeros and null measures; a null id is kept; repeated rows are measured
+    row by row; a very long text is measured whole, its entropy in blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, (sp, is_byte) = byte_vocabulary(byte_path), piece_vocabulary(piece_path)
@@ -133,13 +140,12 @@ def measures(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "do
             n_fall = sums(is_byte[flat].astype(np.int64), np.cumsum(n_piece))
             lens = n_piece[word]
             token = flat[np.repeat((np.cumsum(n_piece) - n_piece)[word], lens) + spans(lens)]
-            doc = np.repeat(np.arange(len(n)), sums(lens, ends))
             word_chars, pieces = sums(chars[word], ends), sums(lens, ends)
             none = n == 0
             with np.errstate(divide="ignore", invalid="ignore"):
                 given = {"cpt_byte": word_chars / sums(n_byte[word], ends), "cpt_piece": word_chars / pieces,
                          "fallback_share": sums(n_fall[word], ends) / pieces,
-                         "entropy_share": entropy_share(doc, token, len(n))}
+                         "entropy_share": entropy_share(pieces, token)}
             langs = column(b, "lang").to_pylist()
             yield pa.RecordBatch.from_pydict({
                 "doc_id": column(b, "doc_id"), "lang": pa.array(langs, pa.string()),
@@ -155,7 +161,8 @@ def measures(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "do
 
 
 def bands(measured: DataFrame, fences: float = FENCES) -> DataFrame:
-    """One row per language or script: ``grp`` and per measure the band's low and high end."""
+    """One row per language or script: ``grp`` and per measure the band's middle and half width.  A
+    quartile is a value that occurs, the smaller one on ties."""
     at = [F.percentile_approx(m, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10_000).alias(m) for m in MEASURES]
     q = measured.groupBy(group().alias("grp")).agg(*at)
     ends = []
