@@ -42,6 +42,9 @@ REPEAT_PERCENT = 20
 #: tokens of an entropy block: all blocks count, the last may be shorter
 ENTROPY_BLOCK = 512
 FENCES = 3.0
+#: how much wider a two-sided band is above: there a text is only better known to the vocabulary than
+#: others, until it is rulers and runs of one character
+HIGH = 2.0
 STEADY = 100
 #: measure: (side that is rejected, least half-width of the band)
 MEASURES = {"cpt_byte": ("both", 0.1), "cpt_piece": ("both", 0.1), "fallback_share": ("high", 0.05),
@@ -189,7 +192,7 @@ def judged(docs: DataFrame, byte_path: str, piece_path: str, fences: float = FEN
     reason = F.lit(None).cast("string")
     for m, (side, _) in MEASURES.items():
         off = (F.col(m) - F.col(f"{m}_mid")) * scale
-        out = {"both": F.abs(off), "high": off, "low": -off}[side] > F.col(f"{m}_half")
+        out = {"both": F.greatest(-off, off / HIGH), "high": off, "low": -off}[side] > F.col(f"{m}_half")
         reason = F.when(out, F.lit(m)).otherwise(reason)
     return row.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       base.alias("base_failed"), (~base & reason.isNull()).alias("kept"),

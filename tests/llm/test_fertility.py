@@ -98,7 +98,7 @@ def test_verdicts_equal_plain_python(spark, sf):
             low, mid, high = (values[math.ceil(p * len(values)) - 1] for p in (0.25, 0.5, 0.75))
             off = (m[name] - mid) * math.sqrt(n / (n + fertility.STEADY))
             half = max(fertility.FENCES * (high - low), floor)
-            if {"both": abs(off), "high": off, "low": -off}[side] > half:
+            if {"both": max(-off, off / fertility.HIGH), "high": off, "low": -off}[side] > half:
                 reason = name
         want[d] = (failed, not failed and reason is None, reason)
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
