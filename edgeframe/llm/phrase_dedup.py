@@ -2,9 +2,10 @@
 
 Every word covered by a window of ``length`` words that also starts earlier (in a document of a
 smaller id, or further up in the same one) is removed.  ``recurrence`` brings the passages that
-can recur together, sharded by anchor hash; each batch of a shard confirms which windows recur,
-compiles them into one pyahocorasick automaton over word numbers, and streams its passages
-through it to locate every occurrence.
+can recur together, sharded by anchor hash, and does not fold equal ones; each batch of a shard
+confirms which windows recur, compiles them into one pyahocorasick automaton over word numbers,
+and streams every passage, copies included, through it to locate every occurrence.  Windows whose
+anchor is hot are combined by their task before that: the earliest one it saw is streamed for all.
 """
 
 from __future__ import annotations
@@ -47,9 +48,14 @@ def equal_windows(length: int):
         begin = np.cumsum(lens) - lens
         within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
         start = np.repeat(begin, n) + within
-        # phrases worth a place in the automaton: a window whose hash comes twice
-        _, of, count = np.unique(window_hashes(word, length)[start], return_inverse=True, return_counts=True)
-        again = start[count[of] > 1]
+        # phrases worth a place in the automaton: a window whose hash comes twice, once for each hash
+        # and again for every window that has the hash and other words
+        _, at, of, count = np.unique(window_hashes(word, length)[start], return_index=True, return_inverse=True,
+                                     return_counts=True)
+        same = np.ones(len(start), bool)
+        for k in range(length):
+            same &= word[start + k] == word[start[at[of]] + k]
+        again = np.concatenate([start[at[count > 1]], start[~same]])
         found = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
         numbers = word.tolist()
         for s in again.tolist():
@@ -99,7 +105,7 @@ def removed(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str
             yield pa.RecordBatch.from_pydict(out)
 
     marked = with_marks(docs, word_units, length, gram, equal_windows(length), id_col, text_col, carry, BATCH_BYTES,
-                        hot)
+                        hot, fold=False)
     schema = StructType.fromDDL("doc_id long, n_words long, n_removed long, kept_sha256 string")
     if carry:
         schema = schema.add("kept", "string").add(marked.schema["rest"])

@@ -16,7 +16,11 @@ Units are bytes or words.  The plan, shared by the suffix-array and the automato
 3. *Verdicts.*  Contexts meet by anchor hash, so all occurrences of a window are together.
    Equal contexts fold to the earliest; where an anchor has several contexts, ``find`` (suffix
    array or automaton) tells which windows are equal.  All but the earliest are marked.
-4. Marks meet their documents.
+
+Without ``fold`` every context of an anchor that is not hot is sent, and ``find`` gets all that
+meet, copies included; only windows of hot anchors are combined before they are sent.
+
+At last marks meet their documents.
 
 It is one lazy plan: the documents are dealt by their tag once and that exchange is used twice.
 Nothing is kept on the driver.  A task holds one batch of groups; a group has at most ``hot``
@@ -189,7 +193,7 @@ def recurring_hashes(docs: DataFrame, units: Callable, length: int, gram: int, b
             .groupBy("tag").agg(F.collect_list("h").alias("hashes")))
 
 
-def contexts(joined: DataFrame, units: Callable, length: int, gram: int) -> DataFrame:
+def contexts(joined: DataFrame, units: Callable, length: int, gram: int, fold: bool = True) -> DataFrame:
     """Rows (h, key, tag, lo, n, ctx) for the judges; ctx is null where the row is a mark.
 
     Which copy of a passage is sent and which is marked depends on the order of the rows, and the two
@@ -232,7 +236,7 @@ def contexts(joined: DataFrame, units: Callable, length: int, gram: int) -> Data
                                         h[keep].tolist(), hot[keep].tolist()):
                 ctx = u.passage(s, s + m - 1 + length)
                 me = (keys[d], tags[d], s - begin[d])
-                fresh = new(seen, SEEN, ctx, me)
+                fresh = new(seen, SEEN, ctx, me) if fold or many else True
                 if fresh and not many:
                     rows.append((x, *me, m, ctx))
                 elif fresh is not None:
@@ -263,10 +267,11 @@ def contexts(joined: DataFrame, units: Callable, length: int, gram: int) -> Data
         cut, "h long, key long, tag long, lo long, n long, ctx binary")
 
 
-def verdicts(cut: DataFrame, length: int, partitions: int, find: Callable, batch_bytes: int) -> DataFrame:
+def verdicts(cut: DataFrame, length: int, partitions: int, find: Callable, batch_bytes: int,
+             fold: bool = True) -> DataFrame:
     """Marks (tag, key, lo, n): windows lo .. lo + n - 1 of the document start earlier elsewhere.
 
-    ``find(passages, n)`` gets distinct passages and their numbers of windows, and returns for
+    ``find(passages, n)`` gets passages (distinct ones with ``fold``) and their numbers of windows, and returns for
     each window, passage by passage, the number of its class of equal windows."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,21 +294,25 @@ def verdicts(cut: DataFrame, length: int, partitions: int, find: Callable, batch
         col = {k: column(b, k).to_numpy() for k in names}
         order = np.lexsort((col["lo"], col["tag"], col["key"]))
         col = {k: v[order] for k, v in col.items()}
-        coded = column(b, "ctx").take(pa.array(order)).dictionary_encode()
-        code = coded.indices.fill_null(-1).to_numpy()
-        sent = code < 0                                 # marked by their task
-        _, first, of = np.unique(code, return_index=True, return_inverse=True)
-        first = first[of]                               # the earliest row with this context
+        ctx = column(b, "ctx").take(pa.array(order))
+        done = ctx.is_null().to_numpy(False)            # marked by their task
         me = np.stack([col["key"], col["tag"], col["lo"]])
-        later = ~sent & (me != me[:, first]).any(0)
-        whole = np.flatnonzero(sent | later)
+        twice = np.zeros(len(done), bool)               # repeated rows are one document
+        twice[1:] = (me[:, 1:] == me[:, :-1]).all(0)
+        own = np.flatnonzero(~done & ~twice)
+        if fold:
+            coded = ctx.dictionary_encode()
+            _, first, of = np.unique(coded.indices.fill_null(-1).to_numpy(), return_index=True, return_inverse=True)
+            first = first[of]                           # the earliest row with this context
+            own = np.flatnonzero(~done & (first == np.arange(len(done))))   # distinct contexts, by order
+            done |= (me != me[:, first]).any(0)
+        whole = np.flatnonzero(done)
         out = [[col[k][whole] for k in ("tag", "key", "lo", "n")]]
-        own = np.flatnonzero(~sent & (first == np.arange(len(code))))   # distinct contexts, by order
-        n_ctx = dict(zip(*np.unique(col["h"][own], return_counts=True)))
-        own = own[[n_ctx[x] > 1 for x in col["h"][own].tolist()]] if len(own) else own
+        _, anchor, many = np.unique(col["h"][own], return_inverse=True, return_counts=True)
+        own = own[many[anchor] > 1]
         if len(own):
             n = col["n"][own]
-            cls = find([coded.dictionary[int(c)].as_py() for c in code[own]], n)
+            cls = find(ctx.take(pa.array(own)).to_pylist(), n)
             row = np.repeat(np.arange(len(own)), n)
             within = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
             # rows stand in the order (key, tag, lo), but one document's contexts may interleave
@@ -326,15 +335,15 @@ def verdicts(cut: DataFrame, length: int, partitions: int, find: Callable, batch
 
 def with_marks(docs: DataFrame, units: Callable, length: int, gram: int, find: Callable, id_col: str = "doc_id",
                text_col: str = "text", carry: tuple[str, ...] = (), batch_bytes: int = BATCH_BYTES,
-               hot: int | None = None) -> DataFrame:
+               hot: int | None = None, fold: bool = True) -> DataFrame:
     """``tagged`` rows with ``marks``: structs (key, lo, n), null where none.  Anchors in more than
     ``hot`` places are split (as many as a batch may hold by default)."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     source = tagged(docs, id_col, text_col, carry)
     dealt = source.repartition(parts, "tag")
     answers = recurring_hashes(source, units, length, gram, 4 * parts, hot or batch_bytes // HOT_BYTES)
-    cut = contexts(dealt.join(answers.hint("shuffle_hash"), "tag"), units, length, gram)
-    found = (verdicts(cut, length, parts, find, batch_bytes).groupBy("tag")
+    cut = contexts(dealt.join(answers.hint("shuffle_hash"), "tag"), units, length, gram, fold)
+    found = (verdicts(cut, length, parts, find, batch_bytes, fold).groupBy("tag")
              .agg(F.collect_list(F.struct("key", "lo", "n")).alias("marks")))
     return dealt.join(found.hint("shuffle_hash"), "tag", "left")
 

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from edgeframe.llm import phrase_dedup, suffix_dedup
-from edgeframe.llm.recurrence import BATCH_BYTES, byte_units, contexts, recurring_hashes, tagged
+from edgeframe.llm.recurrence import BATCH_BYTES, byte_units, contexts, recurring_hashes, tagged, word_units
 
 
 def brute(docs, length, split, glue):
@@ -106,6 +106,25 @@ def test_contexts_do_not_depend_on_the_order_of_rows(spark):
     assert sent[0] == sent[1] == sent[2]
 
 
+def test_every_copy_goes_through_the_automaton(spark):
+    text = " ".join(f"w{k}" for k in range(40))
+    docs = spark.createDataFrame([(d, f"{text} own{d}") for d in range(9)], "doc_id long, text string").coalesce(1)
+    source = tagged(docs, "doc_id", "text")
+    joined = source.join(recurring_hashes(source, word_units, 20, 8, 4), "tag")
+    sent = contexts(joined, word_units, 20, 8, fold=False).collect()
+    assert all(r.ctx is not None for r in sent) and {r.key for r in sent} == set(range(9))
+    folded = contexts(joined, word_units, 20, 8).collect()
+    assert any(r.ctx is None for r in folded)
+    assert {(r.n_removed, r.n_words) for r in phrase_dedup.removed(docs).where("doc_id > 0").collect()} == {(40, 41)}
+
+
+def test_windows_of_one_hash_and_other_words_stay_apart(monkeypatch):
+    monkeypatch.setattr(phrase_dedup, "window_hashes", lambda word, length: np.zeros(len(word) - length + 1, np.uint64))
+    cls = phrase_dedup.equal_windows(2)([b"a b c", b"x a b", b"b c d"], np.array([2, 2, 2]))
+    ab, bc, xa, ab2, bc2, cd = cls.tolist()
+    assert ab == ab2 and bc == bc2 and len({ab, bc, xa, cd}) == 4
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_removal_with_hot_anchors(spark, seed):
     rows = corpus(seed, "abé\n", 6, 60)
