@@ -4,8 +4,9 @@ Every word covered by a window of ``length`` words that also starts earlier (in
 smaller id, or further up in the same one) is removed.  ``recurrence`` brings the passages that
 can recur together, sharded by anchor hash, and does not fold equal ones; each batch of a shard
 confirms which windows recur, compiles them into one pyahocorasick automaton over word numbers,
-and streams every passage, copies included, through it to locate every occurrence.  Windows whose
-anchor is hot are combined by their task before that: the earliest one it saw is streamed for all.
+and streams every passage through it to locate every occurrence (those of a batch that are equal
+byte by byte once for all).  Windows whose anchor is hot are combined by their task before that:
+the earliest one it saw is streamed for all.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 from edgeframe.llm.recurrence import BASE, covered, mixed, rewritten, with_marks, word_units
-from edgeframe.llm.textcol import column, slices, sums, texts
+from edgeframe.llm.textcol import column, slices, spans, sums, texts
 
 LENGTH = 20
 GRAM = 8
@@ -42,7 +43,12 @@ def equal_windows(length: int):
     """``find`` of ``recurrence.verdicts`` for words."""
 
     def find(passages: list[bytes], n: np.ndarray) -> np.ndarray:
-        cut = [p.split() for p in passages]
+        # copies of a passage, byte by byte, are streamed once for all of them
+        coded = pa.array(passages, pa.binary()).dictionary_encode()
+        copy, row_n = coded.indices.to_numpy(), n
+        _, first = np.unique(copy, return_index=True)
+        n, copies = n[first], np.bincount(copy)
+        cut = [p.split() for p in coded.dictionary.to_pylist()]
         lens = np.fromiter(map(len, cut), np.int64, len(cut))
         word = pa.array(list(itertools.chain.from_iterable(cut)), pa.binary()).dictionary_encode().indices.to_numpy()
         begin = np.cumsum(lens) - lens
@@ -50,8 +56,8 @@ def equal_windows(length: int):
         start = np.repeat(begin, n) + within
         # phrases worth a place in the automaton: a window whose hash comes twice, once for each hash
         # and again for every window that has the hash and other words
-        _, at, of, count = np.unique(window_hashes(word, length)[start], return_index=True, return_inverse=True,
-                                     return_counts=True)
+        _, at, of = np.unique(window_hashes(word, length)[start], return_index=True, return_inverse=True)
+        count = np.bincount(of, np.repeat(copies, n))
         same = np.ones(len(start), bool)
         for k in range(length):
             same &= word[start + k] == word[start[at[of]] + k]
@@ -63,16 +69,18 @@ def equal_windows(length: int):
             if not found.exists(phrase):
                 found.add_word(phrase, len(found))
         cls = np.arange(len(start)) + len(found)        # a window of its own
+        begin_cls = np.cumsum(n) - n
+        rows = np.repeat(begin_cls[copy], row_n) + spans(row_n)
         if not len(found):
-            return cls
+            return cls[rows]
         found.make_automaton()
-        first = (np.cumsum(n) - n).tolist()
+        first = begin_cls.tolist()
         for k, (b, m, many) in enumerate(zip(begin.tolist(), lens.tolist(), n.tolist())):
             for end, phrase in found.iter(tuple(numbers[b:b + m])):
                 s = end - length + 1
                 if s < many:
                     cls[first[k] + s] = phrase
-        return cls
+        return cls[rows]
 
     return find
 
