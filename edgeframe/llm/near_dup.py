@@ -1,10 +1,12 @@
 """Near-duplicate documents by improved consistent weighted sampling.
 
 A document is the weighted set of its five-word shingles (a text of one to four words is one
-shingle).  The weight is tf * (1 + ``idf_share`` * idf), idf = ln(1 + N / df) / ln(1 + N), df
-being the documents with a shingle of the same of 2**18 hash classes, counted over all
-documents.  The share is small on purpose: in a large group of near copies the shared shingles
-are the frequent ones, and a full idf would weigh the few edits above all that is shared.
+shingle).  The weight is tf * (1 + ``idf_share`` * idf), idf = ln(1 + N / df) / ln(1 + N / f).  df,
+the documents with the shingle, is counted exactly over all documents where it is above f, and is
+f elsewhere; f is 1 / ``FREQUENT`` of all (document, shingle) pairs, a fixed share of the documents
+(0.3 % at 200 shingles each), so weights do not change as the corpus grows.  The share is small on
+purpose: in a large group of near copies the shared shingles are the frequent ones, and a full idf
+would weigh the few edits above all that is shared.
 
 Each of ``BANDS * ROWS`` samplers picks a shingle and a level with the consistent law: two
 documents get the same pick with a probability equal to their weighted Jaccard similarity.
@@ -25,9 +27,11 @@ from __future__ import annotations
 import hashlib
 import itertools
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +42,9 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 12, 4
 IDF_SHARE = 0.25
+#: shingles with a weight of their own, at most: they are broadcast, in 1 MB
+FREQUENT = 1 << 16
+#: hash classes, four for each of them, that say which shingles may be among them
 DF_BITS = 18
 #: members that meet one copy of a hub's text
 SALTED = 256
@@ -47,61 +54,112 @@ BLOCK = 512
 DRAWS = 1 << 16
 
 
-def shingles(values: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of a document's words, and their counts."""
+def shingle_hashes(values: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    """A hash of every shingle of a document's words, in the order of the text."""
     n = len(values)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64)
     size = min(n, size)
     with np.errstate(over="ignore"):
         h = np.zeros(n - size + 1, np.uint64)
         for k in range(size):
             h = h * BASE + values[k:n - size + 1 + k]
-        return np.unique(mixed(h + np.uint64(size)), return_counts=True)
+        return mixed(h + np.uint64(size))
 
 
-def each(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def shingles(values: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of a document's words, and their counts."""
+    return np.unique(shingle_hashes(values, size), return_counts=True)
+
+
+def documents(b: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """The word values of each document."""
     u = word_units(b)
     begin = u.ends - np.diff(u.ends, prepend=0)
     for s, e in zip(begin.tolist(), u.ends.tolist()):
-        yield shingles(u.values[s:e])
+        yield u.values[s:e]
 
 
-def document_frequency(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """Documents per hash class of shingles (a table of fixed size), and all documents."""
+def each(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    return map(shingles, documents(b))
+
+
+@dataclass(frozen=True)
+class Idf:
+    """The weight of one occurrence of a shingle: ``own`` for ``hashes`` (ascending), else ``rare``."""
+
+    hashes: np.ndarray
+    own: np.ndarray
+    rare: float
+
+    def of(self, h: np.ndarray) -> np.ndarray:
+        out = np.full(len(h), self.rare)
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+            known = self.hashes[at] == h
+            out[known] = self.own[at[known]]
+        return out
+
+
+def class_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
+    """Distinct shingles of all documents per hash class (a table of fixed size), and all documents."""
+    parts, lane = 64, 256
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, n = np.zeros(1 << DF_BITS, np.int64), 0
+        total, n = np.zeros(1 << DF_BITS, np.int64), 0
         for b in slices(batches):
-            for h, _ in each(b):
-                df[np.unique(h >> np.uint64(64 - DF_BITS))] += 1
+            found = [np.unique(shingle_hashes(v)) for v in documents(b)]
+            at = (np.concatenate(found) >> np.uint64(64 - DF_BITS)).astype(np.int64)
+            total += np.bincount(at, minlength=1 << DF_BITS)
             n += b.num_rows
-        part = df.reshape(64, -1)
         yield pa.RecordBatch.from_pydict({
-            "part": pa.array(range(64), pa.int32()), "n": pa.array([n] + [0] * 63, pa.int64()),
-            "df": pa.array([x.tobytes() for x in part], pa.binary())})
+            "part": pa.array(range(parts), pa.int32()), "n": pa.array([n] + [0] * (parts - 1), pa.int64()),
+            "lane": pa.array([TaskContext.get().partitionId() // lane] * parts, pa.int32()),
+            "total": pa.array([x.tobytes() for x in total.reshape(parts, -1)], pa.binary())})
 
-    def total(t: pa.Table) -> pa.Table:
-        df = sum(np.frombuffer(x, np.int64) for x in t.column("df").to_pylist())
+    def add(t: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x, np.int64) for x in t.column("total").to_pylist())
         return pa.table({"part": t.column("part")[:1], "n": pa.array([sum(t.column("n").to_pylist())], pa.int64()),
-                         "df": pa.array([df.tobytes()], pa.binary())})
-
-    rows = (docs.select("text").mapInArrow(count, "part int, n long, df binary")
-            .groupBy("part").applyInArrow(total, "part int, n long, df binary").collect())   # 64 rows
-    df = np.zeros((64, (1 << DF_BITS) // 64), np.int64)
-    for r in rows:
-        df[r["part"]] = np.frombuffer(r["df"], np.int64)
-    return df.ravel(), sum(r["n"] for r in rows)
+                         "total": pa.array([total.tobytes()], pa.binary())})
+
+    # summed in two steps, so that a group holds the rows of ``lane`` tasks
+    shape = "part int, n long, total binary"
+    rows = (docs.select("text").mapInArrow(count, "part int, n long, lane int, total binary")
+            .groupBy("part", "lane").applyInArrow(add, shape).groupBy("part").applyInArrow(add, shape).collect())
+    total = np.zeros((parts, (1 << DF_BITS) // parts), np.int64)
+    for r in rows:                                                                          # 64 rows
+        total[r["part"]] = np.frombuffer(r["total"], np.int64)
+    return total.ravel(), sum(r["n"] for r in rows)
+
+
+def idf_table(docs: DataFrame, share: float, most: int = FREQUENT) -> Idf:
+    """Weights by exact document frequencies.  A shingle in more than 1 / ``most`` of all (document,
+    shingle) pairs, so one of fewer than ``most``, has its own; all others have that of this share.
+    Only shingles of hash classes that hold more than the share can be of the first kind."""
+    total, n = class_counts(docs)
+    floor = max(1, int(total.sum()) // most)
+    open_ = docs.sparkSession.sparkContext.broadcast(total > floor)
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            found = []
+            for v in documents(b):
+                h = shingle_hashes(v)
+                found.append(np.unique(h[open_.value[h >> np.uint64(64 - DF_BITS)]]))
+            h, df = np.unique(np.concatenate(found), return_counts=True)
+            yield pa.RecordBatch.from_pydict({"h": pa.array(h.view(np.int64), pa.int64()), "df": pa.array(df, pa.int64())})
 
-def idf_table(docs: DataFrame, share: float) -> np.ndarray:
-    """The weight of one occurrence of a shingle, by hash class."""
-    df, n = document_frequency(docs)
-    return 1 + share * np.log1p(n / np.maximum(df, 1)) / np.log1p(max(n, 1))
+    rows = (docs.select("text").mapInArrow(count, "h long, df long").groupBy("h").agg(F.sum("df").alias("df"))
+            .where(F.col("df") > floor).collect())      # fewer than ``most``
+    h = np.array([r["h"] for r in rows], np.int64).view(np.uint64)
+    df = np.array([r["df"] for r in rows], np.float64)
+    order = np.argsort(h)
+    idf = np.log1p(n / df[order]) / np.log1p(max(n, 1) / floor)
+    return Idf(h[order], 1 + share * idf, 1 + share)
 
 
-def weights(h: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    return tf * idf[h >> np.uint64(64 - DF_BITS)]
+def weights(h: np.ndarray, tf: np.ndarray, idf: Idf) -> np.ndarray:
+    return tf * idf.of(h)
 
 
 class Sampler:
@@ -143,7 +201,7 @@ class Sampler:
         return out.view(np.int64)
 
 
-def signatures(docs: DataFrame, idf: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def signatures(docs: DataFrame, idf: Idf, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, key, node, bands): node is the MD5 of the text, bands is empty without words."""
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
@@ -166,16 +224,15 @@ def signatures(docs: DataFrame, idf: np.ndarray, bands: int = BANDS, rows: int =
         sign, "doc_id long, key long, node binary, bands array<long>")
 
 
-def similarity(a: tuple, b: tuple, idf: np.ndarray) -> float:
+def similarity(a: tuple, b: tuple, idf: Idf) -> float:
     """Weighted Jaccard similarity of two (hashes, counts)."""
     both, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    w = idf[both >> np.uint64(64 - DF_BITS)]
-    least = float((np.minimum(a[1][i], b[1][j]) * w).sum())
+    least = float((np.minimum(a[1][i], b[1][j]) * idf.of(both)).sum())
     whole = float(weights(*a, idf).sum() + weights(*b, idf).sum())
     return least / (whole - least) if whole else 0.0
 
 
-def verified(pairs: DataFrame, bodies: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
+def verified(pairs: DataFrame, bodies: DataFrame, idf: Idf, threshold: float) -> DataFrame:
     """The pairs (a, b, salt) whose texts are similar, as (a, b).  Text b comes to the pair; text
     a is laid out once per salt, so the rows of a hub are spread."""
     shared = pairs.sparkSession.sparkContext.broadcast(idf)
@@ -200,7 +257,7 @@ def verified(pairs: DataFrame, bodies: DataFrame, idf: np.ndarray, threshold: fl
     return right.join(left, ["a", "salt"]).select("a", "b", "text_a", "text_b").mapInArrow(judge, "a binary, b binary")
 
 
-def cross_links(members: DataFrame, joined: DataFrame, bodies: DataFrame, idf: np.ndarray,
+def cross_links(members: DataFrame, joined: DataFrame, bodies: DataFrame, idf: Idf,
                 threshold: float) -> DataFrame:
     """Links (a, b) between members of a bucket that round one left in different components: each
     member outside the bucket's largest component against all members, in blocks of about
@@ -244,7 +301,7 @@ def cross_links(members: DataFrame, joined: DataFrame, bodies: DataFrame, idf: n
             first = np.searchsorted(h, own, "left")
             n = np.searchsorted(h, own, "right") - first
             at = np.repeat(first, n) + spans(n)
-            weight = np.repeat(shared.value[own >> np.uint64(64 - DF_BITS)], n) * np.minimum(np.repeat(count, n), tf[at])
+            weight = np.repeat(shared.value.of(own), n) * np.minimum(np.repeat(count, n), tf[at])
             both = np.bincount(who[at], weight, len(others))
             like = both / np.maximum(whole[x] + whole[others] - both, 1e-12)
             hit = others[(like >= threshold) & (kind[others] != kind[x])]

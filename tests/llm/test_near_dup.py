@@ -1,6 +1,8 @@
 """Consistent weighted sampling near duplicates against brute force."""
 
+import math
 import random
+from collections import Counter
 
 import numpy as np
 
@@ -74,6 +76,27 @@ def test_blocks_lose_no_link(spark, monkeypatch):
     assert sorted(sorted(x) for x in groups.values()) == brute(rows, idf, near_dup.THRESHOLD)
 
 
+def test_weights_are_of_exact_document_frequencies(spark):
+    rows = corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    df = Counter()
+    for _, t in rows:
+        w = (t or "").split()
+        own = {tuple(w[i:i + 5]) for i in range(max(len(w) - 4, min(len(w), 1)))}
+        df.update(own)
+    values = {g: near_dup.shingle_hashes(next(near_dup.documents(pa.RecordBatch.from_pydict({"text": [" ".join(g)]}))))[0] for g in df}
+    assert len(set(values.values())) == len(df)
+    for most in (near_dup.FREQUENT, 1000, 200, 1):
+        floor = max(1, sum(df.values()) // most)
+        idf = near_dup.idf_table(docs, 0.5, most)
+        got = idf.of(np.array([values[g] for g in df], np.uint64))
+        want = [1 + 0.5 * math.log1p(len(rows) / max(n, floor)) / math.log1p(len(rows) / floor) for n in df.values()]
+        assert np.allclose(got, want, rtol=1e-12)
+        assert len(idf.hashes) == sum(n > floor for n in df.values()) < most
+    none = near_dup.idf_table(docs.limit(0), 0.5)
+    assert len(none.hashes) == 0 and none.rare == 1.5
+
+
 def test_sampling_matches_similarity():
     r = np.random.default_rng(2)
     s = near_dup.Sampler(400, 1)
