@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from edgeframe.llm.recurrence import BASE, mixed, word_units
 from edgeframe.llm.textcol import NO_ID, column, doc_key, slices, spans, texts, written
+from edgeframe.operators.common import HOT_KEY_ROWS, hot_key_join
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -50,6 +51,9 @@ DF_BITS = 18
 SALTED = 256
 #: members of a bucket that meet in one task, on either side
 BLOCK = 512
+#: members from which a bucket is hot: its rows are joined where they are, against a broadcast of
+#: at most ``MOST_HOT`` hot buckets
+HOT_BUCKET, MOST_HOT = 2048, 200_000
 #: entries of the table of random numbers that samplers draw from
 DRAWS = 1 << 16
 
@@ -268,7 +272,8 @@ def cross_links(members: DataFrame, joined: DataFrame, bodies: DataFrame, idf: I
                                        F.count(F.lit(1)).alias("parts")).where("parts > 1"))
     rows = F.ceil((F.col("m") - F.col("top.n")) / BLOCK).cast("int")
     cols = F.ceil(F.col("m") / BLOCK).cast("int")
-    open_ = at.join(parts.select("bucket", F.col("top.class").alias("top"), rows.alias("rows"), cols.alias("cols")), "bucket")
+    parts = written(parts.select("bucket", "m", F.col("top.class").alias("top"), rows.alias("rows"), cols.alias("cols")), "parts")
+    open_ = hot_key_join(at, parts, "bucket", "m", HOT_BUCKET, MOST_HOT)
     spot = F.xxhash64("node")
     row, col = F.pmod(spot, "rows").cast("int"), F.pmod(spot, "cols").cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -317,27 +322,35 @@ def cross_links(members: DataFrame, joined: DataFrame, bodies: DataFrame, idf: I
             .groupBy("bucket", "i", "j").applyInArrow(match, "a binary, b binary"))
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, hot: int = HOT_KEY_ROWS) -> DataFrame:
     """(node, class) for every node that is not the least of its connected component: the least.
     Alternating large-star and small-star steps, until the links (by number and sum of hashes)
-    no longer change: then every link goes from a node to the least of its component."""
+    no longer change: then every link goes from a node to the least of its component.  A node
+    with more than ``hot`` links is not gathered: its links meet its least neighbour where they
+    are.  ``links`` is a written table."""
     u, v = F.col("u"), F.col("v")
     edges = (links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
              .where(u != v).distinct())
-    before = None
+    before, n = None, links.count()
+
+    def with_least(pairs: DataFrame, least: DataFrame) -> DataFrame:
+        # no node can be hot among so few links, each of which is laid out twice at most
+        return pairs.join(least.drop("n"), "u") if 2 * n <= hot else hot_key_join(pairs, least, "u", "n", hot).drop("n")
+
     while True:
         both = edges.union(edges.select(v, u)).toDF("u", "v")
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where(v > u).select(v.alias("u"), F.col("m").alias("v")).where(u != v)
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
+        size = F.count(F.lit(1)).alias("n")
+        least = both.groupBy("u").agg(F.min("v").alias("m"), size).select("u", F.least("u", "m").alias("m"), "n")
+        large = with_least(both, least).where(v > u).select(v.alias("u"), F.col("m").alias("v")).where(u != v)
+        least = large.groupBy("u").agg(F.min("v").alias("m"), size)
+        small = with_least(large, least)
         step = (small.select(v.alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
                 .where(u != v).distinct())
         edges = written(step, "edges")
         seen = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if seen == before:
             return edges.select(u.alias("node"), v.alias("class"))
-        before = seen
+        before, n = seen, seen["n"]
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, idf_share: float = IDF_SHARE, bands: int = BANDS,
@@ -351,10 +364,11 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, idf_share: float = ID
                          F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     idf = idf_table(source, idf_share)
     signed = written(signatures(source, idf, bands, rows), "signatures")
-    nodes = written(signed.groupBy("node").agg(F.min("key").alias("key"), F.first("bands").alias("bands")), "nodes")
+    nodes = written(signed.groupBy("node").agg(F.min("key").alias("key"), F.first("bands").alias("bands"),
+                                               F.count(F.lit(1)).alias("copies")), "nodes")
     members = nodes.select("node", F.explode("bands").alias("bucket"))
     hubs = members.groupBy("bucket").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = written(members.join(hubs, "bucket"), "members")
+    members = written(hot_key_join(members, written(hubs, "hubs"), "bucket", "size", HOT_BUCKET, MOST_HOT), "members")
     wanted = members.select("node").distinct().join(nodes.select("node", "key"), "node")
     # one document per node brings the text: copies are dealt by id and text, not all to one task
     texts_of = source.select("key", F.unhex(F.md5("text")).alias("node"), "text")
@@ -366,11 +380,12 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, idf_share: float = ID
     joined = components(written(verified(pairs, bodies, idf, threshold), "links"))
     rest = written(cross_links(members, joined, bodies, idf, threshold), "links")
     joined = components(joined.toDF("a", "b").union(rest))
-    named = nodes.join(joined, "node", "left").select("node", "key", F.coalesce("class", "node").alias("class"))
-    first = named.groupBy("class").agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("n_texts"))
-    of_node = named.join(first, "class").select("node", "class", "least", "n_texts")
+    named = nodes.join(joined, "node", "left").select("node", "key", "copies", F.coalesce("class", "node").alias("class"))
+    first = written(named.groupBy("class").agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("n_texts")), "classes")
+    of_node = written(hot_key_join(named, first, "class", "n_texts"), "named").select("node", "class", "least", "n_texts", "copies")
     least = F.when(F.col("least") != F.lit(NO_ID), F.col("least"))
-    return signed.join(of_node, "node").select("doc_id", least.alias("class_id"), "n_texts", "class", "key", "node")
+    return (hot_key_join(signed, of_node, "node", "copies")
+            .select("doc_id", least.alias("class_id"), "n_texts", "class", "key", "node"))
 
 
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:

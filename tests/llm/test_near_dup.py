@@ -5,10 +5,10 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from edgeframe.llm import near_dup
-from edgeframe.llm.recurrence import word_units
-import pyarrow as pa
+from edgeframe.operators import common
 
 
 def brute(rows, idf, threshold):
@@ -67,6 +67,9 @@ def test_classes(spark):
 def test_blocks_lose_no_link(spark, monkeypatch):
     """Bands of one sampler put strangers into a bucket; the blocks must sort them out."""
     monkeypatch.setattr(near_dup, "BLOCK", 5)
+    monkeypatch.setattr(near_dup, "HOT_BUCKET", 4)      # hot buckets, copies, classes and nodes are split out
+    monkeypatch.setattr(common, "HOT_KEY_ROWS", 2)
+    monkeypatch.setattr(near_dup.components, "__defaults__", (2,))
     rows = corpus()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     idf = near_dup.idf_table(docs, near_dup.IDF_SHARE)
