@@ -25,6 +25,8 @@ Strategies:
 * ``auto`` (default) - ``broadcast`` (path plan) unless the exact 2-path
   count is well above a bound of the oriented plan's wedges; both come from one
   degree aggregate over the multiplicity table that the chosen plan then uses.
+
+All but ``implicit`` work on the edges that may lie on a closed walk (:func:`cyclic_core`).
 """
 
 from __future__ import annotations
@@ -148,9 +150,41 @@ def closed_pairs(edges: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_R
     return p.intersect(rev)
 
 
+#: :func:`cyclic_core` goes on while a round drops more than one in so many of its edges
+CORE_SHARE = 8
+
+
+def _with_end(edges: DataFrame, end: str, vertices: DataFrame) -> DataFrame:
+    """The edges whose ``end`` is one of the written ``vertices(v)``."""
+    vertices, _ = bounded_broadcast(vertices.select(F.col("v").alias(end)))
+    return edges.join(vertices, end, "left_semi").select("src", "dst")
+
+
+def cyclic_core(edges: DataFrame) -> DataFrame:
+    """The written edges ``(src, dst)`` that may lie on a closed walk, with all their copies.
+
+    On a closed walk every vertex has an edge in and an edge out, so an edge whose source has
+    no in-edge or whose target has no out-edge is on none; without it, others are without
+    one, and so on.  A round is two semi-joins with the ids of one side, which are
+    broadcast where proven few.  Rounds end when one drops no more than a ``CORE_SHARE``-th of its
+    edges: each round has at most 1 - 1 / ``CORE_SHARE`` times the edges of the one before,
+    so all rounds cost at most ``CORE_SHARE`` times the first."""
+    while True:
+        counted = lambda side, rows: written_table(
+            rows.groupBy(F.col(side).alias("v")).agg(F.count(F.lit(1)).alias("n")), f"core_{side}")
+        targets = counted("dst", edges)
+        before = targets.agg(F.sum("n")).first()[0] or 0
+        left = written_table(_with_end(edges, "src", targets), "core_out")
+        edges = written_table(_with_end(left, "dst", counted("src", left)), "core")
+        after = edges.count()
+        if CORE_SHARE * (before - after) <= before or not after:
+            return edges
+
+
 def _written_multiplicity(edges: DataFrame) -> DataFrame:
-    """The multiplicity table, written once: every plan reads it several times."""
-    return written_table(multiplicity(edges), "multiplicity")
+    """The multiplicity table of the edges that closed walks can have, written once: every plan
+    reads it several times."""
+    return written_table(multiplicity(cyclic_core(edges)), "multiplicity")
 
 
 #: most bits of the filter before the closing join: 64 to a row, so the rows are at most
