@@ -245,6 +245,10 @@ class HubSplitEdges:
         hubs = state.join(F.broadcast(self.keys), F.col(key) == self.keys["src"], "left_semi")
         return out.unionByName(self.hot.join(F.broadcast(hubs), F.col("src") == F.col(key)))
 
+    def rows(self) -> DataFrame:
+        """All edges."""
+        return self.cold.read() if self.hot is None else self.cold.read().unionByName(self.hot)
+
     def drop(self) -> None:
         self.cold.drop()
 

@@ -14,6 +14,11 @@ moved nor sorted) and the vertex/contribution join need no exchange, and a
 round shuffles only the per-target partial sums.  Rank total and dangling mass
 of a round are observed by the job that writes it; a round's table is dropped
 as soon as the next one is written.
+
+A dangling vertex sends nothing on, so between two rounds only the mass of all of them counts.
+Where most vertices dangle, all rounds but the last run over the other vertices and the edges
+between them (:class:`Inner`); a vertex knows what share of its rank goes to dangling ones.  The
+last round runs over all edges and gives every vertex its rank.
 """
 
 from __future__ import annotations
@@ -21,10 +26,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeframe.operators.common import BucketedTable, HubSplitEdges, hot_key_join
+from edgeframe.operators.common import BucketedTable, HubSplitEdges, bounded_broadcast, hot_key_join, written_table
 from edgeframe.sources.tables import vertices_of
 
 
+class Inner:
+    """The vertices that have out-edges, with the share of their rank that goes to those without
+    (``lost``), and the edges between them."""
+
+    def __init__(self, adj: HubSplitEdges, live: DataFrame, od: DataFrame):
+        ids, _ = bounded_broadcast(written_table(live.select(F.col("id").alias("dst")), "pr_live"))
+        rows = adj.rows().where(F.col("dst").isNotNull())
+        self.adj = HubSplitEdges(rows.join(ids, "dst", "left_semi").select("src", "dst", "share"), "pr_inner", od, adj.n)
+        lost = rows.join(ids, "dst", "left_anti").groupBy(F.col("src").alias("id")).agg(F.sum("share").alias("lost"))
+        self.vt = BucketedTable(live.join(lost, "id", "left").select("id", "dangling", F.coalesce("lost", F.lit(0.0)).alias("lost")),
+                                "id", "pr_inner_vertices", adj.n)
+
+    def drop(self) -> None:
+        self.adj.drop()
+        self.vt.drop()
+
+
 def pagerank(edges: DataFrame, vertices: DataFrame | None = None, iters: int = 10,
              damping: float = 1.0, partitions: int | None = None
              ) -> tuple[DataFrame, DataFrame]:
@@ -41,7 +63,7 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, iters: int = 1
     else:
         verts = vertices.select("id").distinct()
         inside = edges.join(verts.select(F.col("id").alias("dst")), "dst", "left_semi")
-    od = inside.groupBy("src").agg(F.count(F.lit(1)).alias("od"))
+    od = written_table(inside.groupBy("src").agg(F.count(F.lit(1)).alias("od")), "pr_out_degrees")
     weighted = hot_key_join(inside.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w")), od, "src", "od") \
         .select("src", "dst", (F.col("w") / F.col("od")).alias("share"))
     adj = HubSplitEdges(weighted, "pr_edges", od, partitions)
@@ -51,16 +73,33 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, iters: int = 1
         verts.join(od.select(F.col("src").alias("id"), F.lit(False).alias("dangling")), "id", "left")
         .select("id", F.coalesce("dangling", F.lit(True)).alias("dangling")), "id", "pr_vertices", adj.n)
     n = vt.read().count()
-    pr = BucketedTable(vt.read().withColumn("pr", F.lit(1.0 / n if n else 0.0)), "id", "pr_round0", adj.n,
-                       shuffle=False, metrics=sums if n else ())
+    live = vt.read().where(~F.col("dangling"))
+    n_live = live.count()
+    n_dangling = n - n_live
+    inner = Inner(adj, live, od) if iters > 1 and 0 < 2 * n_live <= n else None
+    inner_sums = (F.sum("pr").alias("total"), F.sum(F.col("pr") * F.col("lost")).alias("lost"))
+    start = inner.vt if inner else vt
+    pr = BucketedTable(start.read().withColumn("pr", F.lit(1.0 / n if n else 0.0)), "id", "pr_round0", adj.n,
+                       shuffle=False, metrics=(inner_sums if inner else sums) if n else ())
+    dmass = n_dangling / n if n else 0.0
     rows = []
     for i in range(1, iters + 1) if n else ():
-        dmass = pr.seen["dmass"] or 0.0
-        nxt = BucketedTable(pagerank_round(pr.read(), adj, vt.read(), n, damping, dmass), "id",
-                            f"pr_round{i}", adj.n, shuffle=False, metrics=sums)
-        rows += [(i, "delta", float(dmass)), (i, "total", nxt.seen["total"])]
+        within = inner is not None and i < iters
+        of, at = (inner.adj, inner.vt) if within else (adj, vt)
+        nxt = BucketedTable(pagerank_round(pr.read(), of, at.read(), n, damping, dmass), "id",
+                            f"pr_round{i}", adj.n, shuffle=False, metrics=inner_sums if within else sums)
+        rows.append((i, "delta", float(dmass)))
+        if within:
+            # every dangling vertex gets what the others send and its part of their own mass
+            dmass = damping * (pr.seen["lost"] + n_dangling * dmass / n) + n_dangling * (1.0 - damping) / n
+            rows.append((i, "total", nxt.seen["total"] + dmass))
+        else:
+            dmass = nxt.seen["dmass"] or 0.0
+            rows.append((i, "total", nxt.seen["total"]))
         pr.drop()
         pr = nxt
+    if inner:
+        inner.drop()
     ranks = pr.files().select("id", "pr")
     vt.drop()
     adj.drop()
@@ -69,7 +108,7 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, iters: int = 1
 
 def pagerank_round(pr: DataFrame, adj: HubSplitEdges, vt: DataFrame, n: int,
                    damping: float = 1.0, dmass: float | None = None) -> DataFrame:
-    """One round: ``(id, dangling, pr)`` from the previous ranks.
+    """One round: the columns of ``vt`` and ``pr`` from the previous ranks.
 
     ``pr`` and ``vt`` are bucketed by ``id`` and ``adj`` (:class:`HubSplitEdges`) by
     ``src`` with one bucket count, so the only exchange is the partial
@@ -85,7 +124,7 @@ def pagerank_round(pr: DataFrame, adj: HubSplitEdges, vt: DataFrame, n: int,
         dmass = F.lit(float(dmass))
     new_pr = F.lit(damping) * (F.coalesce(F.col("c"), F.lit(0.0)) + dmass / F.lit(float(n))) \
         + F.lit((1.0 - damping) / n)
-    return vt.join(recv, "id", "left").select("id", "dangling", new_pr.alias("pr"))
+    return vt.join(recv, "id", "left").select(*vt.columns, new_pr.alias("pr"))
 
 
 def in_contributions(edges: DataFrame, vertices: DataFrame | None = None) -> DataFrame:

@@ -38,3 +38,27 @@ def test_rounds_end(spark):
     assert paths.cyclic_core(make_edges(spark, chain)).count() == 198
     assert paths.cyclic_core(make_edges(spark, chain[::2])).count() == 0
     assert paths.cyclic_core(make_edges(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("damping", [1.0, 0.85])
+def test_dangling_vertices_meet_the_last_round_only(spark, monkeypatch, damping):
+    from edgeframe.operators import pagerank as pr
+    rng = random.Random(5)
+    e = [(rng.randrange(8), rng.randrange(60)) for _ in range(120)] + [(1, 1), (2, 3), (2, 3)]
+    seen, whole = [], pr.pagerank_round
+    monkeypatch.setattr(pr, "pagerank_round", lambda r, adj, vt, *a: seen.append(adj.rows().count()) or whole(r, adj, vt, *a))
+    ranks, trace = pr.pagerank(make_edges(spark, e), iters=4, damping=damping)
+    ids, out = {v for x in e for v in x}, {a: sum(a == b for b, _ in e) for a, _ in e}
+    inside = len({x for x in e if x[1] in out})
+    assert seen == [inside] * 3 + [len(set(e))] and inside < 40
+    want, deltas = dict.fromkeys(ids, 1 / len(ids)), []
+    for _ in range(4):
+        deltas.append(sum(want[v] for v in ids if v not in out))
+        got = dict.fromkeys(ids, deltas[-1] / len(ids))
+        for a, b in e:
+            got[b] += want[a] / out[a]
+        want = {v: damping * got[v] + (1 - damping) / len(ids) for v in ids}
+    assert {r["id"]: r["pr"] for r in ranks.collect()} == pytest.approx(want, abs=1e-14)
+    at = {(r["round"], r["metric"]): r["value"] for r in trace.collect()}
+    assert [at[i, "delta"] for i in range(1, 5)] == pytest.approx(deltas, abs=1e-14)
+    assert [at[i, "total"] for i in range(1, 5)] == pytest.approx([1.0] * 4, abs=1e-14)
