@@ -153,16 +153,21 @@ def frequencies(docs: DataFrame, longest: int, least: int, text_col: str, lang_c
         .repartition(parts, "lang", "w1", "salt").select("lang", "w1", "salt", line) \
         .groupBy("lang", "w1", "salt", F.substring_index("line", "\t", longest - 1).alias("tail")) \
         .agg(F.sum(F.substring_index("line", "\t", -1).cast("long")).alias("n"))
+    # in one pass: every window counts for its head, and one that is not rare stands for itself too
     rare = F.col("n") < least
-    rest = top.groupBy("lang", "w1", "salt", F.substring_index("tail", "\t", longest - 2).alias("middle")) \
-        .agg(F.sum("n").alias("all"), F.sum(F.when(rare, F.col("n")).otherwise(0)).alias("n")).where("n > 0")
+    roles = F.when(rare, F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
+    whole = F.col("whole")
+    both = top.withColumn("whole", F.explode(roles)) \
+        .groupBy("lang", "w1", "salt", "whole",
+                 F.when(whole, F.col("tail")).otherwise(F.substring_index("tail", "\t", longest - 2)).alias("others")) \
+        .agg(F.sum("n").alias("all"), F.sum(F.when(whole | rare, F.col("n")).otherwise(0)).alias("n")).where("n > 0")
     cols = [f"w{k}" for k in range(1, longest + 1)]
-    split = lambda c, names: [F.split(c, "\t")[i].alias(x) for i, x in enumerate(names)]
-    front = split("middle", cols[1:-1])
-    if front:
-        front[-1] = F.when(F.col("all") < least, "").otherwise(front[-1]).alias(cols[-2])
-    kept = top.where(~rare).select("lang", "w1", *split("tail", cols[1:]), "n").unionByName(
-        rest.select("lang", "w1", *front, F.lit("").alias(cols[-1]), "n"))
+    others = F.split("others", "\t")
+    own = [F.get(others, F.lit(i)) for i in range(longest - 1)]
+    own[-1] = F.when(whole, own[-1]).otherwise("")
+    if longest > 2:
+        own[-2] = F.when(~whole & (F.col("all") < least), "").otherwise(own[-2])
+    kept = both.select("lang", "w1", *[c.alias(x) for c, x in zip(own, cols[1:])], "n")
     # how many words of the window a sum keeps
     level = reduce(add, [F.when(F.grouping(c) == 0, 1).otherwise(0) for c in cols])
     sums = kept.rollup("lang", *cols).agg(F.sum("n").alias("f"), level.alias("k"), F.grouping("lang").alias("every"))

@@ -97,3 +97,14 @@ def test_hot_words_are_found_and_change_nothing(spark, monkeypatch):
     assert mined(docs) == want
     monkeypatch.setattr(col, "hot_words", lambda *_: frozenset())
     assert mined(docs) == want
+
+
+def test_windows_are_counted_once(spark, monkeypatch):
+    from edgeframe.llm import collocations as c
+    from edgeframe.plans.inspect import plan_text
+    seen, put = [], c.written
+    monkeypatch.setattr(c, "written", lambda df, name: seen.append(plan_text(df)) or put(df, name))
+    docs = spark.createDataFrame([(i, "en", "a b c d. a b x") for i in range(12)], "doc_id long, lang string, text string")
+    got = {(r["k"], r["phrase"]): r["f"] for r in c.frequencies(docs, 3, 10, "text", "lang").collect()}
+    assert got[3, "a b c"] == got[3, "b c d"] == got[3, "a b x"] == 12 and got[2, "a b"] == got[1, "a"] == 24 and got[0, ""] == 84
+    assert seen[0].split("\n\n")[0].count("MapInArrow") == 1
