@@ -187,10 +187,16 @@ class Sampler:
         low = (h & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         ln = np.log(weight).astype(np.float32)
         for i in range(0, len(h), 1024):
-            at = (low[i:i + 1024, None] * self.spin) >> np.uint32(16)
-            r, beta = self.r[at], self.beta[at]
-            t = np.floor(ln[i:i + 1024, None] * self.inverse[at] + beta)
-            a = self.ln_c[at] - r * (t - beta + 1)
+            at = ((low[i:i + 1024, None] * self.spin) >> np.uint32(16)).astype(np.intp)
+            # sixteen bits are always a place in a table: "clip" only spares the test of it
+            r, inverse, beta, ln_c = [x.take(at, mode="clip") for x in (self.r, self.inverse, self.beta, self.ln_c)]
+            inverse *= ln[i:i + 1024, None]
+            inverse += beta
+            t = np.floor(inverse, inverse)
+            a = np.subtract(t, beta, beta)
+            a += 1
+            a *= r
+            a = np.subtract(ln_c, a, ln_c)
             j = a.argmin(0)
             low_a = a[j, np.arange(k)]
             better = low_a < best

@@ -119,3 +119,27 @@ def test_keep_one_and_empty(spark):
         [r for r in docs.collect() if r.doc_id in (1, 3, None)], key=repr)
     assert near_dup.near_duplicates(docs.limit(0)).count() == 0
     assert near_dup.keep_one(docs.limit(0)).columns == ["doc_id", "text", "node"]
+
+
+def test_sketch_follows_its_law():
+    """One shingle at a time, in the same single precision: the least c / exp(r (t - beta + 1)) wins."""
+    from edgeframe.llm.recurrence import BASE, mixed
+    rng = np.random.default_rng(2)
+    s = near_dup.Sampler(2, 2)
+    for n in (1, 40, 2500):
+        h, w = rng.integers(0, 1 << 63, n).astype(np.uint64), 1 + rng.random(n)
+        picks = []
+        for spin in s.spin:
+            at = [int(x & np.uint64(0xFFFFFFFF)) * int(spin) % (1 << 32) >> 16 for x in h]
+            t = [np.floor(np.float32(np.log(v)) * s.inverse[k] + s.beta[k]) for k, v in zip(at, w)]
+            a = [s.ln_c[k] - s.r[k] * (x - s.beta[k] + np.float32(1)) for k, x in zip(at, t)]
+            picks.append((h[int(np.argmin(a))], int(t[int(np.argmin(a))])))
+        with np.errstate(over="ignore"):
+            one = [mixed(p + mixed(np.array([t], np.int64).astype(np.uint64) + BASE)) for p, t in picks]
+            want = []
+            for band in (0, 1):
+                out = np.array([band + 1], np.uint64) * BASE
+                for row in (0, 1):
+                    out = mixed(out * BASE + one[2 * band + row])
+                want.append(int(out.view(np.int64)[0]))
+        assert s.sketch(h, w).tolist() == want
